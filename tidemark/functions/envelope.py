@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.order import MAX_MILLIS
 from tidemark.schemas import envelope_schema
 
 
@@ -21,7 +22,8 @@ def parse_envelope(
     """Add the envelope's fields to each event; malformed or empty text gives NULL fields.
 
     Adds ``before_image, after_image, source_db, source_table, source_ts_ms, source_snapshot,
-    operation_type, operation_timestamp_ms, event_time``. The text is parsed by a generator
+    operation_type, operation_timestamp_ms, event_time``; the last is NULL for a missing or absurd
+    time. The text is parsed by a generator
     rather than a projection: filters on parsed fields then stay above it, where Catalyst would
     otherwise push them below and parse each text a second time.
     """
@@ -29,6 +31,7 @@ def parse_envelope(
     parsed = events.select("*", F.inline(F.array(payload)).alias(
         "_before", "_after", "_source", "_op", "_ts_ms"
     ))
+    plausible = F.col("_ts_ms").between(1 - MAX_MILLIS, MAX_MILLIS - 1)
     return parsed.select(
         *events.columns,
         F.col("_before").alias("before_image"),
@@ -39,5 +42,5 @@ def parse_envelope(
         F.col("_source.snapshot").alias("source_snapshot"),
         F.col("_op").alias("operation_type"),
         F.col("_ts_ms").alias("operation_timestamp_ms"),
-        F.timestamp_millis("_ts_ms").alias("event_time"),
+        F.when(plausible, F.timestamp_millis("_ts_ms")).alias("event_time"),
     )

@@ -56,7 +56,7 @@ def _rejection(table: str, schema: T.StructType) -> Column:
         .when(foreign, "wrong_table")
         .when(~holds(VALID_OPERATION["valid_operation"]), "invalid_operation")
         .when(cast_text(key_text, key.dataType).isNull(), "missing_key")
-        .when(F.col("operation_timestamp_ms").isNull(), "missing_time")
+        .when(F.col("event_time").isNull(), "bad_time")
     )
 
 
@@ -78,7 +78,7 @@ def quarantine(bronze: DataFrame, table: str, schema: T.StructType | None = None
     """Events kept out of the change log, and those let in with a value that did not fit its type.
 
     ``reason`` is ``malformed``, ``wrong_table``, ``invalid_operation``, ``missing_key``,
-    ``missing_time`` or ``cast_failure``. Tombstones are not faults and do not appear.
+    ``bad_time`` or ``cast_failure``. Tombstones are not faults and do not appear.
     """
     schema = schema or table_schema(table)
     parsed = parsed_events(bronze, table, schema)
