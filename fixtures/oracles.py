@@ -283,6 +283,13 @@ ORACLES = {
     "stream_latest": f"WITH {LATEST} SELECT {CHANGE} FROM newest",
     "stream_scd2": f"WITH {HISTORY} SELECT * FROM h",
     "stream_daily_balances_append": CLOSED_DAYS,
+    "stream_daily_transactions_append": f"""WITH {C}
+        SELECT CAST(ts AS DATE) AS transaction_date, account_id, transaction_type,
+          CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) AS total_transaction_amount,
+          count(transaction_id) AS number_of_transactions
+        FROM c WHERE CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL 1 DAY <= (
+          SELECT max(ts) - INTERVAL 10 MINUTE FROM c)
+        GROUP BY ALL""",
     "stream_daily_balances_update": f"WITH {DAILY} SELECT * FROM daily",
     "compact_partitions": f"SELECT {BASIC}, CAST(ts AS DATE) AS event_day FROM events",
 }

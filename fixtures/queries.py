@@ -17,6 +17,7 @@ from tidemark.schemas import table_schema
 from tidemark.sources.tables import (
     append,
     compact_partitions,
+    materialize,
     publish,
     read_bronze,
     read_bronze_stream,
@@ -279,7 +280,8 @@ def silver(spark, sf_dir):
 
 
 def history(spark, sf_dir):
-    return scd.customer_history(log(spark, sf_dir, "customers"))
+    changes = scd.customer_dimension_changes(log(spark, sf_dir, "customers"))
+    return scd.customer_history(materialize(changes, "customer_changes"))
 
 
 def scd2_history(spark, sf_dir):
@@ -316,10 +318,11 @@ def live_accounts(spark, sf_dir):
 
 
 def enrich_accounts(spark, sf_dir):
+    changes = materialize(log(spark, sf_dir, "accounts"), "accounts_log")
     wide = joins.enrich_accounts(
-        live_accounts(spark, sf_dir),
+        latest.latest_per_key(changes, "account_id", live=True),
         scd.current(history(spark, sf_dir)),
-        daily_account_balances(spark, sf_dir),
+        facts.daily_account_balances(changes),
     )
     return wide.select(
         "account_id",
@@ -341,7 +344,7 @@ def temporal_join(spark, sf_dir):
     )
     return joins.temporal_join(
         moved,
-        history(spark, sf_dir),
+        materialize(history(spark, sf_dir), "customer_history"),
         on={"account_id": "customer_id"},
         at="operation_timestamp_ms",
         columns=["city", "__START_AT", "__END_AT"],
@@ -461,6 +464,26 @@ def stream_daily_balances_append(spark, sf_dir):
     )
 
 
+def stream_daily_transactions_append(spark, sf_dir):
+    """Closed days of all transaction events; corrections of a transaction count as events."""
+    lake = LakeConfig.under(scratch_dir(spark, "stream_daily_transactions"))
+    rows = record_stream(spark, sf_dir, "lineitem", cdc.transactions)
+    changes = changelog.change_log(
+        bronze_ops.to_bronze(rows, route_by="topic"), "atm_transactions"
+    )
+    closed = streams.daily_transactions_stream(changes, lake.watermark)
+    streams.run_closed_days(
+        closed, "daily_transactions", "transaction_date", lake, once=True
+    ).awaitTermination()
+    return spark.read.parquet(f"{lake.gold_path}/daily_transactions").select(
+        "transaction_date",
+        "account_id",
+        "transaction_type",
+        "total_transaction_amount",
+        "number_of_transactions",
+    )
+
+
 def stream_daily_balances_update(spark, sf_dir):
     lake = LakeConfig.under(scratch_dir(spark, "stream_daily_update"))
     live = streams.daily_balances_stream(accounts_log_stream(spark, sf_dir), lake.watermark)
@@ -535,6 +558,7 @@ QUERIES = {
     "stream_latest": stream_latest,
     "stream_scd2": stream_scd2,
     "stream_daily_balances_append": stream_daily_balances_append,
+    "stream_daily_transactions_append": stream_daily_transactions_append,
     "stream_daily_balances_update": stream_daily_balances_update,
     "compact_partitions": compacted,
 }

@@ -199,10 +199,13 @@ CUSTOMER_HISTORY = {
 CUSTOMER_HIDDEN = ("cdc_operation_type", "kafka_partition", "kafka_offset")
 
 
-def customer_history(log: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
-    """Type 2 customer dimension from the customers change log."""
+def customer_history(changes: DataFrame, rows_per_task: int | None = ROWS_PER_TASK) -> DataFrame:
+    """Type 2 customer dimension from ``customer_dimension_changes``.
+
+    The changes are read twice (keys first), so hand in a stored frame where they are costly.
+    """
     return scd2_apply(
-        customer_dimension_changes(log),
+        changes,
         **CUSTOMER_HISTORY,
         except_cols=CUSTOMER_HIDDEN,
         rows_per_task=rows_per_task,

@@ -11,7 +11,13 @@ from tidemark.config import LakeConfig
 from tidemark.operators.changelog import change_log
 from tidemark.operators.facts import daily_account_balances, daily_transactions
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.scd import branch_dimension, current, customer_history
+from tidemark.operators.quality import enforce_schema
+from tidemark.operators.scd import (
+    branch_dimension,
+    current,
+    customer_dimension_changes,
+    customer_history,
+)
 from tidemark.plans.views import create_gold_views, create_schema
 from tidemark.schemas import TABLES, key_of, table_schema
 from tidemark.sources.tables import publish
@@ -47,7 +53,7 @@ def gold_tables(
     customers: DataFrame, accounts: DataFrame, transactions: DataFrame, branches: DataFrame
 ) -> dict[str, DataFrame]:
     """The five gold tables from change logs (for transactions: from the snapshot)."""
-    history = customer_history(customers)
+    history = customer_history(customer_dimension_changes(customers))
     return {
         "gold_customer_dimension_history": history,
         "gold_customer_dimension": current(history),
@@ -69,7 +75,7 @@ def refresh(
     stored: dict[str, Silver] = {}
     for table in tables:
         log = publish(
-            change_log(bronze, table),
+            enforce_schema(change_log(bronze, table), table_schema(table)),
             f"silver.silver_{table}_log",
             f"{config.silver_path}/{table}_log",
             f"Every valid change of {table}",

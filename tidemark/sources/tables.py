@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemark.config import scratch_dir
+
 BRONZE_SCHEMA = (
     "raw_cdc_json STRING, kafka_topic STRING, kafka_partition INT, kafka_offset BIGINT, "
     "kafka_timestamp TIMESTAMP, processing_timestamp TIMESTAMP, table_name STRING, "
@@ -14,9 +16,18 @@ BRONZE_SCHEMA = (
 )
 
 
-def read_bronze(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The raw log; columns that were added over time are merged from all files."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+def read_bronze(
+    spark: SparkSession, path: str, fmt: str = "parquet", merge_schema: bool = False
+) -> DataFrame:
+    """The raw log with its declared columns.
+
+    ``merge_schema`` also brings in columns that were added over time. It reads the footer of
+    every file to find them, so keep it for jobs that need those columns.
+    """
+    reader = spark.read.format(fmt)
+    if merge_schema:
+        return reader.option("mergeSchema", "true").load(path)
+    return (reader if fmt == "delta" else reader.schema(BRONZE_SCHEMA)).load(path)
 
 
 def read_bronze_stream(
@@ -63,6 +74,17 @@ def union_evolving(*frames: DataFrame) -> DataFrame:
     return first
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back.
+
+    For frames that several later passes read: they then scan the columns they need instead of
+    computing the frame again, and a lost executor costs a re-read, not a re-run.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
