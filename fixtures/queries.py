@@ -21,6 +21,7 @@ from tidemark.sources.tables import (
     publish,
     read_bronze,
     read_bronze_stream,
+    union_evolving,
 )
 from tidemark.streaming import keyed
 from tidemark.streaming import queries as streams
@@ -247,13 +248,12 @@ def field_changes(spark, sf_dir):
 
 
 def silver(spark, sf_dir):
-    """All thirteen silver tables from one raw log: changes, keys and live keys of each."""
-    rows = None
-    for name in MAKERS:
-        part = raw(spark, sf_dir, name)
-        rows = part if rows is None else rows.unionByName(part)
+    """All thirteen silver tables from one stored raw log: changes, keys and live keys of each."""
+    path = scratch_dir(spark, "bronze")
+    everything = union_evolving(*[raw(spark, sf_dir, name) for name in MAKERS])
+    append(everything, path, bronze_ops.PARTITIONS)
     counts = None
-    for name, table in silver_tables(rows).items():
+    for name, table in silver_tables(read_bronze(spark, path)).items():
         of_log = table.log.agg(F.count(F.lit(1)).alias("changes"))
         of_keys = table.snapshot.agg(
             F.count(F.lit(1)).alias("keys"),
@@ -423,7 +423,7 @@ def stream_change_log(spark, sf_dir):
 
 def stream_latest(spark, sf_dir):
     lake = LakeConfig.under(scratch_dir(spark, "stream_latest"))
-    table = keyed.latest_table(spark, f"{lake.silver_path}/accounts", "account_id", buckets=4)
+    table = keyed.latest_table(spark, f"{lake.silver_path}/accounts", "account_id", 4, "month")
     changes = accounts_log_stream(spark, sf_dir)
     table.run(changes, "silver_accounts", lake, once=True).awaitTermination()
     return plain(table.read(), *CHANGE_FIELDS)
@@ -433,8 +433,9 @@ def stream_scd2(spark, sf_dir):
     """Customers replayed from files in several micro-batches into an incremental history."""
     lake = LakeConfig.under(scratch_dir(spark, "stream_scd2"))
     replay = f"{lake.bronze_path}_replay"
-    append(raw(spark, sf_dir, "customers").repartition(3, "kafka_offset"), replay)
-    rows = read_bronze_stream(spark, replay, max_files_per_trigger=1)
+    append(raw(spark, sf_dir, "customers"), replay)
+    per_batch = max(1, spark.sparkContext.defaultParallelism // 2)
+    rows = read_bronze_stream(spark, replay, max_files_per_trigger=per_batch)
     changes = scd.customer_dimension_changes(changelog.change_log(rows, "customers"))
     changes = changes.withColumn("event_time", F.timestamp_millis("effective_timestamp"))
     table = keyed.history_table(

@@ -1,0 +1,117 @@
+"""What Spark is going to do: pruning, single parse, shuffles, no Python in the data path."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import cdc
+from fixtures.queries import QUERIES
+from tidemark.config import scratch_dir
+from tidemark.operators import scd
+from tidemark.operators.bronze import PARTITIONS, to_bronze
+from tidemark.operators.changelog import change_log
+from tidemark.operators.facts import daily_account_balances, daily_transactions
+from tidemark.operators.joins import temporal_join
+from tidemark.operators.latest import latest_per_key
+from tidemark.sources.tables import append, read_bronze
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def count(plan, node):
+    return len(re.findall(rf"\b{node}\b", plan))
+
+
+@pytest.fixture(scope="module")
+def stored(spark, sf_dir):
+    path = scratch_dir(spark, "plans")
+    made = cdc.accounts(cdc.table(spark, sf_dir, "events"))
+    append(to_bronze(made), path, PARTITIONS)
+    return read_bronze(spark, path)
+
+
+@pytest.fixture(scope="module")
+def log(spark, stored):
+    path = scratch_dir(spark, "plans_log")
+    change_log(stored, "accounts").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_raw_log_is_pruned_by_table_and_parsed_once(stored):
+    plan = plan_of(change_log(stored, "accounts"))
+    filters = re.search(r"PartitionFilters: \[[^\n]*?\]", plan).group()
+    assert "table_name" in filters and "accounts" in filters
+    assert plan.count("from_json(") == 1
+    assert "Exchange" not in plan
+
+
+def test_latest_per_key_limits_groups_before_the_shuffle(log):
+    plan = plan_of(latest_per_key(log, "account_id"))
+    assert count(plan, "Exchange") == 1
+    assert count(plan, "WindowGroupLimit") == 2
+
+
+def test_daily_balances_combine_before_the_shuffle_by_hashing(log):
+    plan = plan_of(daily_account_balances(log))
+    assert count(plan, "Exchange") == 1
+    assert count(plan, "HashAggregate") == 2 and "SortAggregate" not in plan
+    assert "before_" not in re.search(r"ReadSchema: [^\n]*", plan).group()
+
+
+def test_daily_transactions_combine_by_hashing(spark):
+    frame = spark.createDataFrame(
+        [], "transaction_id BIGINT, account_id BIGINT, transaction_type STRING, amount DOUBLE, "
+        "operation_type STRING, event_time TIMESTAMP, x BIGINT"
+    )
+    plan = plan_of(daily_transactions(frame))
+    assert count(plan, "HashAggregate") == 2 and "SortAggregate" not in plan
+
+
+CHANGES = "k INT, seq BIGINT, off BIGINT, op STRING, city STRING"
+
+
+def test_history_takes_one_shuffle_and_one_sort(spark):
+    changes = spark.createDataFrame([(1, 1, 1, "c", "A")], CHANGES)
+    plan = plan_of(scd.scd2_apply(changes, ["k"], "seq", ["city"], "op = 'd'", tie_break=["off"]))
+    assert count(plan, "Exchange") == 1
+    assert count(plan, "Sort") == 1
+
+
+def test_heavy_key_is_spread_over_its_slices(spark):
+    rows = [(0 if i % 3 else i, i, i, "c", f"c{i}") for i in range(600)]
+    changes = spark.createDataFrame(rows, CHANGES)
+    history = scd.scd2_apply(
+        changes, ["k"], "seq", ["city"], "op = 'd'", tie_break=["off"], rows_per_task=50
+    )
+    plan = plan_of(history)
+    windows = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan)
+    assert windows and all("_slice0" in w or "_seat__slice0" in w for w in windows)
+    assert history.count() == 600
+
+
+def test_temporal_join_shapes(spark):
+    facts = spark.createDataFrame([(1, 5)], "a INT, t BIGINT")
+    history = spark.createDataFrame([(1, "A", 1, None)], "k INT, city STRING, __START_AT BIGINT, __END_AT BIGINT")
+    few = plan_of(temporal_join(facts, history, {"a": "k"}, "t", ["city"]))
+    many = plan_of(temporal_join(facts, history, {"a": "k"}, "t", ["city"], max_versions=0))
+    assert "Join" in few and "Window" not in few
+    assert "Window" in many and "Join" not in many
+    assert "Cartesian" not in few + many and "NestedLoop" not in few + many
+
+
+@pytest.mark.parametrize(
+    "name", [n for n in QUERIES if not n.startswith(("stream_", "vw_", "compact", "silver"))]
+)
+def test_no_python_in_the_data_path(spark, sf_dir, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir))
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct",
+                 "BroadcastNestedLoopJoin"):
+        assert node not in plan
+
+
+def test_time_filter_reaches_the_scan(log):
+    plan = plan_of(log.filter(F.col("event_time") <= F.lit("2024-01-15").cast("timestamp")))
+    assert re.search(r"PushedFilters: \[[^\]]*event_time", plan)
