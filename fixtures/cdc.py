@@ -99,7 +99,7 @@ def customers(orders: DataFrame, rows_per_task: int | None = 2_000_000) -> DataF
         F.unix_millis("_time").alias("registration_date"),
     )
     rows = rows.select("o_custkey", "o_orderkey", "o_orderstatus", "_time", image.alias("_image"))
-    rows, part = split_hot_keys(rows, ["o_custkey"], "_time", rows_per_task)
+    rows, part, _ = split_hot_keys(rows, ["o_custkey"], "_time", rows_per_task)
     rows = fill_from_earlier(
         rows,
         ["o_custkey"],

@@ -115,6 +115,14 @@ def test_history_equals_brute_force(spark, seed, rows_per_task):
     assert versions(result) == brute_force(rows)
 
 
+@pytest.mark.parametrize("others", [0, 40])
+def test_a_pile_of_copies_counts_once(spark, others):
+    pile = [(0, 7, off, "u", "A", f"n{off}") for off in range(100)]
+    rest = [(0, 8 + i, 100 + i, "u", "AB"[i % 2], "m") for i in range(others)]
+    result = history(spark, pile + rest, rows_per_task=10)
+    assert versions(result) == brute_force(pile + rest)
+
+
 def test_interval_properties(spark):
     result = history(spark, random_rows(99, n=600))
     w = "PARTITION BY k ORDER BY __START_AT"
@@ -141,7 +149,7 @@ def test_as_of_and_current(spark):
 def test_slices_follow_the_order_and_cut_bunched_times_again(spark):
     rows = [(0, 0)] + [(0, 1_000_000 + i) for i in range(300)] + [(k, 5) for k in range(1, 9)]
     df = spark.createDataFrame(rows, "k INT, t BIGINT")
-    sliced, part = split_hot_keys(df, ["k"], "t", rows_per_task=20)
+    sliced, part, _ = split_hot_keys(df, ["k"], "t", rows_per_task=20)
     assert len(part) > 2  # cut on more than one level
     slices = part[1:]
     sizes = sliced.filter("k = 0").groupBy(*slices).count().agg(F.max("count")).first()[0]
@@ -154,8 +162,8 @@ def test_slices_follow_the_order_and_cut_bunched_times_again(spark):
 
 def test_no_heavy_key_leaves_the_frame_alone(spark):
     df = spark.createDataFrame([(1, 1)], "k INT, t BIGINT")
-    same_df, part = split_hot_keys(df, ["k"], "t")
-    assert same_df is df and part == ["k"]
+    same_df, part, piled = split_hot_keys(df, ["k"], "t")
+    assert same_df is df and part == ["k"] and not piled
     with pytest.raises(TypeError):
         split_hot_keys(df.withColumn("t", F.lit("x")), ["k"], "t")
 
@@ -169,7 +177,7 @@ def test_fill_from_earlier_across_slices(spark, include_current):
     ]
     df = spark.createDataFrame(rows, "k INT, t BIGINT, id INT, v STRING")
     whole = fill_from_earlier(df, ["k"], ["k"], ["t", "id"], "v", "f", include_current)
-    cut, part = split_hot_keys(df, ["k"], "t", rows_per_task=15)
+    cut, part, _ = split_hot_keys(df, ["k"], "t", rows_per_task=15)
     assert len(part) > 1
     pieces = fill_from_earlier(cut, ["k"], part, ["t", "id"], "v", "f", include_current)
     assert same(whole.select("id", "f"), pieces.select("id", "f"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.latest import latest_per_key, top_row
-from tidemark.operators.skew import ROWS_PER_TASK, split_hot_keys
+from tidemark.operators.skew import ROWS_PER_TASK, by_heat, split_hot_keys
 
 START, END = "__START_AT", "__END_AT"
 
@@ -102,30 +102,35 @@ def version_rows(
     ties = list(tie_break) or ["_tie"]
     if not tie_break:
         usable = usable.withColumn("_tie", F.xxhash64(*stored))
-    rows, part = split_hot_keys(usable, keys, sequence_by, rows_per_task)
-    slices = part[len(keys):]
-    if slices:
-        # Copies of one change are thinned out before the shuffle; without heavy keys the window
-        # below does it on the way.
+    rows, part, piled = split_hot_keys(usable, keys, sequence_by, rows_per_task)
+    if piled:
+        # Many rows of one key share a sequence and count once: thin them out before the shuffle.
         rows = top_row(rows, [*part, sequence_by], ties)
-    ordered = Window.partitionBy(*part).orderBy(sequence_by, *ties)
-    rows = (
-        rows.withColumn("_next", F.lead(sequence_by).over(ordered))
-        .filter(F.col("_next").isNull() | (F.col("_next") != F.col(sequence_by)))
-        .drop("_next", "_tie")
-        .withColumns(
-            {
-                START: F.col(sequence_by),
-                END: F.lit(None).cast(changes.schema[sequence_by].dataType),
-                "_deleted": F.coalesce(F.expr(delete_when), F.lit(False)),
-                "_joinable": F.lit(True),
-            }
+
+    def merged(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        ordered = Window.partitionBy(*by).orderBy(sequence_by, *ties)
+        single = (
+            rows.withColumn("_next", F.lead(sequence_by).over(ordered))
+            .filter(F.col("_next").isNull() | (F.col("_next") != F.col(sequence_by)))
+            .drop("_next", "_tie")
+            .withColumns(
+                {
+                    START: F.col(sequence_by),
+                    END: F.lit(None).cast(changes.schema[sequence_by].dataType),
+                    "_deleted": F.coalesce(F.expr(delete_when), F.lit(False)),
+                    "_joinable": F.lit(True),
+                }
+            )
         )
-    )
-    versions = _merge_runs(rows, part, tracked)
-    if slices:
-        versions = stitch_versions(versions, keys, slices, tracked)
-    return versions.select(*stored, START, END, "_deleted", "_joinable")
+        return _merge_runs(single, by, tracked)
+
+    columns = [*stored, START, END, "_deleted", "_joinable"]
+    ordinary, heavy = by_heat(rows, keys, part)
+    versions = merged(ordinary, keys).select(*columns)
+    if heavy is None:
+        return versions
+    stitched = stitch_versions(merged(heavy, part), keys, part[len(keys):], tracked)
+    return versions.unionByName(stitched.select(*columns))
 
 
 def scd2_apply(

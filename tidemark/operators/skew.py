@@ -35,24 +35,32 @@ def _position(df: DataFrame, column: str) -> Column:
 
 
 def split_hot_keys(
-    df: DataFrame, keys: Sequence[str], order: str, rows_per_task: int | None = ROWS_PER_TASK
-) -> tuple[DataFrame, list[str]]:
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    rows_per_task: int | None = ROWS_PER_TASK,
+    count_on: DataFrame | None = None,
+) -> tuple[DataFrame, list[str], bool]:
     """Give each heavy key's rows a slice number that grows with ``order``.
 
-    Returns the frame and the columns to partition ordered windows by: just ``keys`` when no key
-    is heavy, else ``keys`` plus slice columns, all NULL on the rows of ordinary keys and none NULL
-    on those of heavy ones. Counting the keys is one aggregation over the key and order columns alone, run at once. Slices that are
-    still too big (their times were bunched) are cut again on the next level. Only a speed choice
-    hangs on the counts: any cut along the order gives the same final result.
+    Returns the frame, the columns to partition ordered windows by, and whether some key has more
+    than ``rows_per_task`` rows at one point of the order, where no cut can part them. The columns
+    are just ``keys`` when no key is heavy, else ``keys`` plus slice columns, all NULL on the rows
+    of ordinary keys and none NULL on those of heavy ones.
+
+    Counting the keys is one aggregation over the key and order columns alone, run at once. Slices
+    that are still too big (their times were bunched) are cut again on the next level. Only a
+    speed choice hangs on the counts: any cut along the order gives the same final result. So
+    ``count_on`` may name a cheaper frame with the same key and order columns to count on.
 
     ``rows_per_task=None`` skips the count, for inputs known to hold no heavy key.
     """
-    part = list(keys)
+    part, piled = list(keys), False
     if rows_per_task is None:
-        return df, part
+        return df, part, piled
     position = _position(df, order)
+    counted = df if count_on is None else count_on
     for level in range(MAX_LEVELS):
-        counted = df.filter(F.col(part[-1]).isNotNull()) if level else df
         heavy = (
             counted.select(*part, position.alias("_pos"))
             .groupBy(*part)
@@ -61,30 +69,48 @@ def split_hot_keys(
                 F.min("_pos").alias("_lo"),
                 F.max("_pos").alias("_hi"),
             )
-            .filter((F.col("_rows") > rows_per_task) & (F.col("_hi") > F.col("_lo")))
+            .filter(F.col("_rows") > rows_per_task)
             .orderBy(F.desc("_rows"))
             .limit(MAX_HOT_KEYS)
             .withColumn("_cuts", F.ceil(F.col("_rows") * OVERSPLIT / rows_per_task))
             .withColumn("_width", F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.col("_cuts")))
-            .select(*part, "_lo", F.col("_width").cast("bigint"))
+            .select(*part, "_lo", "_hi", F.col("_width").cast("bigint"))
         )
         found = heavy.collect()  # at most MAX_HOT_KEYS short rows
-        if not found:
-            break
+        can_cut = [row for row in found if row["_hi"] > row["_lo"]]
+        piled = piled or len(can_cut) < len(found)
+        if not can_cut:
+            return df, part, piled
         # A literal table of at most MAX_HOT_KEYS rows: its size is bounded, so it may broadcast.
-        cuts = F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema))
+        cuts = F.broadcast(df.sparkSession.createDataFrame(can_cut, heavy.schema))
         name = f"_slice{level}"
         slice_no = F.expr("(_at_pos - _lo) div _width")
         if level:
             slice_no = F.when(F.col(part[-1]).isNotNull(), F.coalesce(slice_no, F.lit(-1)))
-        df = (
-            df.join(cuts, part, "left")
-            .withColumn("_at_pos", position)
-            .withColumn(name, slice_no)
-            .drop("_lo", "_width", "_at_pos")
-        )
-        part.append(name)
-    return df, part
+
+        def cut(rows: DataFrame) -> DataFrame:
+            return (
+                rows.join(cuts, part, "left")
+                .withColumn("_at_pos", position)
+                .withColumn(name, slice_no)
+                .drop("_lo", "_hi", "_width", "_at_pos")
+            )
+
+        df, counted = cut(df), cut(counted).filter(F.col(name).isNotNull())
+        part = [*part, name]
+    return df, part, True
+
+
+def by_heat(
+    df: DataFrame, keys: Sequence[str], part: Sequence[str]
+) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ordinary keys, and those of heavy keys with their slices (None if there are
+    none), so that only the heavy ones pay for being cut up."""
+    slices = list(part[len(keys):])
+    if not slices:
+        return df, None
+    heavy = F.col(slices[0]).isNotNull()
+    return df.filter(~heavy).drop(*slices), df.filter(heavy)
 
 
 def fill_from_earlier(
@@ -103,12 +129,16 @@ def fill_from_earlier(
     of a heavy key. That join is on the window's own partitioning, so the rows do not move again.
     """
     through = 0 if include_current else -1
-    ordered = Window.partitionBy(*part).orderBy(*order)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, through)
-    filled = df.withColumn(into, F.last(value, ignorenulls=True).over(upto))
-    if list(part) == list(keys):
-        return filled
-    slices = [c for c in part if c not in keys]
+
+    def filled(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        ordered = Window.partitionBy(*by).orderBy(*order)
+        upto = ordered.rowsBetween(Window.unboundedPreceding, through)
+        return rows.withColumn(into, F.last(value, ignorenulls=True).over(upto))
+
+    ordinary, heavy = by_heat(df, keys, part)
+    if heavy is None:
+        return filled(ordinary, keys)
+    slices = part[len(keys):]
     earlier = (
         Window.partitionBy(*keys)
         .orderBy(*slices)
@@ -116,11 +146,11 @@ def fill_from_earlier(
     )
     present = F.when(F.col(value).isNotNull(), F.struct(*order))
     carried = (
-        df.filter(F.col(slices[0]).isNotNull())
-        .groupBy(*part)
+        heavy.groupBy(*part)
         .agg(F.max_by(value, present).alias("_end"))
         .withColumn("_carry", F.last("_end", ignorenulls=True).over(earlier))
         .select(*part, "_carry")
     )
-    joined = filled.join(carried, list(part), "left")
-    return joined.withColumn(into, F.coalesce(into, "_carry")).drop("_carry")
+    joined = filled(heavy, part).join(carried, list(part), "left")
+    joined = joined.withColumn(into, F.coalesce(into, "_carry")).drop("_carry", *slices)
+    return filled(ordinary, keys).unionByName(joined)
