@@ -13,11 +13,11 @@ from tidemark.config import LakeConfig, scratch_dir
 from tidemark.operators import scd
 from tidemark.operators.bronze import to_bronze
 from tidemark.operators.changelog import change_log
-from tidemark.operators.facts import daily_account_balances
+from tidemark.operators.facts import daily_account_balances, daily_transactions
 from tidemark.operators.latest import latest_per_key
 from tidemark.sources.cdc import KafkaUnavailable, read_cdc_batch, read_cdc_stream
 from tidemark.sources.tables import read_bronze, read_bronze_stream, read_dataset
-from tidemark.streaming import keyed, queries
+from tidemark.streaming import keyed, live, queries
 
 
 @pytest.fixture
@@ -240,3 +240,39 @@ def test_published_table_as_a_stream(spark, lake):
     query.awaitTermination(60)
     assert spark.read.parquet(f"{lake.gold_path}/t").count() == 5
     assert read_dataset(spark, "stream_source").count() == 5
+
+
+def test_whole_lake_as_streams_equals_batch(spark, lake, sf_dir):
+    lake = LakeConfig.under(scratch_dir(spark, "whole"), buckets=2)
+    inbox = f"{lake.bronze_path}_inbox"
+    made = {
+        "accounts": cdc.accounts(cdc.table(spark, sf_dir, "events")),
+        "customers": cdc.customers(cdc.table(spark, sf_dir, "orders").filter("o_custkey < 20")),
+        "atm_transactions": cdc.transactions(
+            cdc.table(spark, sf_dir, "lineitem").filter("l_shipdate < '1995-03-01'")
+        ),
+        "branches": cdc.branches(cdc.table(spark, sf_dir, "supplier")),
+    }
+    for name, frame in made.items():
+        drop_off(frame, inbox, name)
+    stream = read_cdc_stream(spark, lake, "files", inbox + "/*")
+    queries.run_bronze(stream, lake, once=True).awaitTermination(300)
+    for query in live.run_silver(spark, lake, list(made), once=True).values():
+        query.awaitTermination(300)
+    gold = live.LiveGold(spark, lake)
+    for query in gold.run(once=True).values():
+        query.awaitTermination(300)
+
+    def log(name):
+        return change_log(to_bronze(made[name]), name)
+
+    whole = scd.customer_history(scd.customer_dimension_changes(log("customers")))
+    steady = [c for c in whole.columns if c != "gold_ingestion_timestamp"]
+    assert same(gold.customer_history.select(*steady), whole.select(*steady))
+    assert same(gold.customers.select(*steady), scd.current(whole).select(*steady))
+    assert same(gold.branches, scd.branch_dimension(log("branches")))
+    transactions = latest_per_key(log("atm_transactions"), "transaction_id")
+    assert same(gold.daily_transactions, daily_transactions(transactions))
+    days = daily_account_balances(log("accounts"))
+    assert gold.daily_account_balances.exceptAll(days).isEmpty()
+    assert gold.daily_account_balances.count() == 352
