@@ -430,12 +430,14 @@ def stream_latest(spark, sf_dir):
 
 
 def stream_scd2(spark, sf_dir):
-    """Customers replayed from files in several micro-batches into an incremental history."""
+    """Customers arriving in two waves, out of order, into an incremental history.
+
+    The stream is stopped between the waves and goes on from its checkpoint.
+    """
     lake = LakeConfig.under(scratch_dir(spark, "stream_scd2"))
     replay = f"{lake.bronze_path}_replay"
-    append(raw(spark, sf_dir, "customers"), replay)
-    per_batch = max(1, spark.sparkContext.defaultParallelism // 2)
-    rows = read_bronze_stream(spark, replay, max_files_per_trigger=per_batch)
+    arriving = raw(spark, sf_dir, "customers")
+    rows = read_bronze_stream(spark, replay + "*")
     changes = scd.customer_dimension_changes(changelog.change_log(rows, "customers"))
     changes = changes.withColumn("event_time", F.timestamp_millis("effective_timestamp"))
     table = keyed.history_table(
@@ -446,7 +448,9 @@ def stream_scd2(spark, sf_dir):
         buckets=4,
         period="year",
     )
-    table.run(changes, "customer_history", lake, once=True).awaitTermination()
+    for wave in (1, 0):  # together the whole table
+        append(arriving.filter(F.col("kafka_offset") % 2 == wave), replay)
+        table.run(changes, "customer_history", lake, once=True).awaitTermination()
     return plain(table.read(), *HISTORY_FIELDS)
 
 
@@ -504,7 +508,7 @@ def compacted(spark, sf_dir):
     """A raw log of many small files, rewritten into few."""
     root = scratch_dir(spark, "compact")
     rows = raw(spark, sf_dir, "accounts").withColumn("event_day", F.to_date("kafka_timestamp"))
-    rows.repartition(16).write.partitionBy("event_day").parquet(f"{root}/small")
+    rows.write.partitionBy("event_day").parquet(f"{root}/small")
     packed = compact_partitions(spark, f"{root}/small", f"{root}/packed", ["event_day"])
     return packed.select("kafka_topic", "kafka_partition", "kafka_offset", "event_day")
 

@@ -208,3 +208,10 @@ def test_field_changes_compares_typed_values(spark):
         ("d", "customer_id", "1", None),
         ("u", "city", "A", "B"),
     ]
+
+
+def test_money_as_decimal(spark):
+    schema = table_schema("accounts", "DECIMAL(18,2)")
+    log = change_log(bronze(spark, [event("accounts", "c", 5, after=GOOD)]), "accounts", schema)
+    assert dict(log.dtypes)["balance"] == "decimal(18,2)"
+    assert str(log.first()["balance"]) == "10.50"

@@ -26,6 +26,7 @@ class LakeConfig:
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int = 50_000
     trigger_interval: str = "30 seconds"
+    keyed_interval: str = "10 minutes"
     watermark: str = "10 minutes"
     table_format: str = "parquet"
     buckets: int = 64

@@ -12,8 +12,11 @@ from tidemark.functions.images import failed_casts
 
 Rules = dict[str, str]
 
-# Fixed value: the operation rule that every change log must satisfy.
+# The rules of the change logs and of the three gold tables with a key rule.
 VALID_OPERATION: Rules = {"valid_operation": "operation_type IN ('c','u','d','r')"}
+VALID_ACCOUNT: Rules = {"valid_account_id": "account_id IS NOT NULL"}
+VALID_TRANSACTION: Rules = {"valid_transaction_id": "transaction_id IS NOT NULL"}
+VALID_BRANCH: Rules = {"valid_branch_id": "branch_id IS NOT NULL"}
 
 
 def holds(rule: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.operators.latest import latest_per_key, top_row
+from tidemark.operators.quality import VALID_BRANCH, expect
 from tidemark.operators.skew import ROWS_PER_TASK, by_heat, split_hot_keys
 
 START, END = "__START_AT", "__END_AT"
@@ -219,7 +220,7 @@ def customer_history(changes: DataFrame, rows_per_task: int | None = ROWS_PER_TA
 
 def branch_dimension(log: DataFrame) -> DataFrame:
     """Branches that exist, each with its last state and when that was written."""
-    return scd1_apply(log, "branch_id").select(
+    return scd1_apply(expect(log, VALID_BRANCH), "branch_id").select(
         "branch_id",
         "branch_name",
         "address",

@@ -61,9 +61,12 @@ TABLES = tuple(TABLE_COLUMNS)
 
 
 @cache
-def table_schema(table: str) -> T.StructType:
-    """Declared schema of a captured table (needs a running Spark session to parse the DDL)."""
-    return T.StructType.fromDDL(TABLE_COLUMNS[table])
+def table_schema(table: str, money: str = "DOUBLE") -> T.StructType:
+    """Declared schema of a captured table (needs a running Spark session to parse the DDL).
+
+    ``money="DECIMAL(18,2)"`` reads amounts and rates as decimals instead of binary floats.
+    """
+    return T.StructType.fromDDL(TABLE_COLUMNS[table].replace("DOUBLE", money))
 
 
 def key_of(schema: T.StructType) -> str | None:

@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemark.config import LakeConfig
-from tidemark.operators.bronze import PARTITIONS, to_bronze
-from tidemark.operators.facts import ACCOUNT_DIMENSIONS, account_updates, closing_balance
+from tidemark.config import ROCKSDB_PROVIDER, LakeConfig
 from tidemark.functions.money import exact_sum
+from tidemark.operators.bronze import PARTITIONS, to_bronze
+from tidemark.operators.facts import (
+    ACCOUNT_DIMENSIONS,
+    account_updates,
+    closing_balance,
+    counted_transactions,
+)
 
 
-def with_trigger(
-    writer: DataStreamWriter, config: LakeConfig, once: bool = False
-) -> DataStreamWriter:
-    """Run at the configured interval, or drain what is there and stop."""
+def with_trigger(writer: DataStreamWriter, interval: str, once: bool = False) -> DataStreamWriter:
+    """Run at the given interval, or drain what is there and stop."""
     if once:
         return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=config.trigger_interval)
+    return writer.trigger(processingTime=interval)
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Have streams started from here on hold their state in RocksDB rather than in memory."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
 def run_bronze(
@@ -36,7 +44,7 @@ def run_bronze(
         .option("checkpointLocation", f"{config.checkpoint_path}/bronze")
         .partitionBy(*PARTITIONS)
     )
-    return with_trigger(writer, config, once).start(config.bronze_path)
+    return with_trigger(writer, config.trigger_interval, once).start(config.bronze_path)
 
 
 def run_change_log(
@@ -48,7 +56,7 @@ def run_change_log(
         .outputMode("append")
         .option("checkpointLocation", f"{config.checkpoint_path}/silver_{table}_log")
     )
-    return with_trigger(writer, config, once).start(f"{config.silver_path}/{table}_log")
+    return with_trigger(writer, config.trigger_interval, once).start(f"{config.silver_path}/{table}_log")
 
 
 def month_of(day: str) -> Column:
@@ -85,7 +93,7 @@ def daily_transactions_stream(log: DataFrame, watermark: str = "10 minutes") ->
     """
     day = F.window("event_time", "1 day")
     return (
-        log.filter("transaction_id IS NOT NULL AND operation_type <> 'd'")
+        counted_transactions(log)
         .withWatermark("event_time", watermark)
         .groupBy(day, "account_id", "transaction_type")
         .agg(
@@ -110,6 +118,7 @@ def run_closed_days(
     Months, because a backfill closes thousands of days at once and each partition costs a file
     per task; within a month the files' own statistics narrow a scan by day.
     """
+    keep_state_on_disk(facts.sparkSession)
     writer = (
         facts.withColumn("month", month_of(day))
         .writeStream.format(config.table_format)
@@ -117,4 +126,4 @@ def run_closed_days(
         .option("checkpointLocation", f"{config.checkpoint_path}/{name}")
         .partitionBy("month")
     )
-    return with_trigger(writer, config, once).start(f"{config.gold_path}/{name}")
+    return with_trigger(writer, config.trigger_interval, once).start(f"{config.gold_path}/{name}")
