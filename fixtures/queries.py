@@ -492,8 +492,13 @@ def stream_daily_transactions_append(spark, sf_dir):
 def stream_daily_balances_update(spark, sf_dir):
     lake = LakeConfig.under(scratch_dir(spark, "stream_daily_update"))
     live = streams.daily_balances_stream(accounts_log_stream(spark, sf_dir), lake.watermark)
-    table = keyed.LiveFacts(
-        spark, f"{lake.gold_path}/daily_live", facts.ACCOUNT_DIMENSIONS, "account_date"
+    table = keyed.facts_table(
+        spark,
+        f"{lake.gold_path}/daily_live",
+        "account_id",
+        facts.ACCOUNT_DIMENSIONS,
+        "account_date",
+        buckets=1,
     )
     table.run(live, "daily_live", lake, once=True).awaitTermination()
     return table.read().select(

@@ -13,7 +13,11 @@ from tidemark.config import LakeConfig, scratch_dir
 from tidemark.operators import scd
 from tidemark.operators.bronze import to_bronze
 from tidemark.operators.changelog import change_log
-from tidemark.operators.facts import daily_account_balances, daily_transactions
+from tidemark.operators.facts import (
+    ACCOUNT_DIMENSIONS,
+    daily_account_balances,
+    daily_transactions,
+)
 from tidemark.operators.latest import latest_per_key
 from tidemark.sources.cdc import KafkaUnavailable, read_cdc_batch, read_cdc_stream
 from tidemark.sources.tables import read_bronze, read_bronze_stream, read_dataset
@@ -199,11 +203,8 @@ def test_update_mode_keeps_open_days_current(spark, lake):
     batches = [[change_at(1, 1.0)], [change_at(2, 2.0), change_at(30, 3.0)], [change_at(31, 4.0)]]
     stream = account_files(spark, f"{lake.bronze_path}_inbox", batches)
     log = change_log(to_bronze(stream, "topic"), "accounts")
-    table = keyed.LiveFacts(
-        spark,
-        f"{lake.gold_path}/live",
-        ("account_id", "customer_id", "account_type", "currency"),
-        "account_date",
+    table = keyed.facts_table(
+        spark, f"{lake.gold_path}/live", "account_id", ACCOUNT_DIMENSIONS, "account_date", 2
     )
     facts = queries.daily_balances_stream(log, "10 minutes")
     table.run(facts, "live", lake, once=True).awaitTermination(120)
