@@ -15,8 +15,8 @@ from pyspark.sql.window import Window
 
 # Rows of one key that a single task may sort.
 ROWS_PER_TASK = 2_000_000
-# No key outside the heaviest 10,000 can hold more than one row in 10,000.
-MAX_HOT_KEYS = 10_000
+# No key outside the heaviest 50,000 can hold more than one row in 50,000.
+MAX_HOT_KEYS = 50_000
 # Slices are cut evenly in value, not in row count, so cut more of them than the mean asks for.
 OVERSPLIT = 8
 MAX_LEVELS = 4
