@@ -111,16 +111,19 @@ def daily_transactions_stream(log: DataFrame, watermark: str = "10 minutes") ->
 
 
 def run_closed_days(
-    facts: DataFrame, name: str, day: str, config: LakeConfig, once: bool = False
+    facts: DataFrame, name: str, day: str, config: LakeConfig, once: bool = False, writers: int = 16
 ) -> StreamingQuery:
     """Append each closed day's facts to a table partitioned by month.
 
-    Months, because a backfill closes thousands of days at once and each partition costs a file
-    per task; within a month the files' own statistics narrow a scan by day.
+    Months, because a backfill closes thousands of days at once and each partition costs files;
+    within a month the files' own statistics narrow a scan by day. ``writers`` tasks write each
+    month, where otherwise every aggregation task would add a small file to every month.
     """
     keep_state_on_disk(facts.sparkSession)
+    writer_no = F.pmod(F.xxhash64("account_id"), F.lit(writers))
     writer = (
         facts.withColumn("month", month_of(day))
+        .repartition("month", writer_no)
         .writeStream.format(config.table_format)
         .outputMode("append")
         .option("checkpointLocation", f"{config.checkpoint_path}/{name}")
