@@ -83,11 +83,11 @@ CHANGES = (
 DAY_MS = 86_400_000
 
 
-def random_changes(spark, seed, n=300):
+def random_changes(spark, seed, n=300, days=120):
     rng = random.Random(seed)
     rows = []
     for off in range(n):
-        seq = rng.randrange(120 * DAY_MS)
+        seq = rng.randrange(days * DAY_MS)
         k = 0 if rng.random() < 0.3 else rng.randrange(15)
         op = rng.choice("cuuud")
         city = None if op == "d" else rng.choice("AB")
@@ -96,8 +96,10 @@ def random_changes(spark, seed, n=300):
     return [spark.createDataFrame(rows[i::4], CHANGES) for i in range(4)], rows
 
 
-@pytest.mark.parametrize("rows_per_task", [2_000_000, 5])
-def test_incremental_history_equals_batch_with_every_batch_retried(spark, lake, rows_per_task):
+@pytest.mark.parametrize("rows_per_task, period", [(2_000_000, "month"), (5, "month"), (None, "hour")])
+def test_incremental_history_equals_batch_with_every_batch_retried(
+    spark, lake, rows_per_task, period
+):
     options = dict(
         keys=["k"],
         sequence_by="seq",
@@ -106,9 +108,14 @@ def test_incremental_history_equals_batch_with_every_batch_retried(spark, lake,
         tie_break=["off"],
         except_cols=["op", "event_time"],
     )
-    batches, rows = random_changes(spark, 3)
+    batches, rows = random_changes(spark, 3, days=120 if period == "month" else 1)
     table = keyed.history_table(
-        spark, f"{lake.gold_path}/h", buckets=3, rows_per_task=rows_per_task, **options
+        spark,
+        f"{lake.gold_path}/h",
+        buckets=3,
+        period=period,
+        rows_per_task=rows_per_task,
+        **options,
     )
     for batch_id, batch in enumerate(batches):
         table.apply(batch, batch_id)
@@ -116,6 +123,8 @@ def test_incremental_history_equals_batch_with_every_batch_retried(spark, lake,
     table.apply(batches[0].limit(0), 9)
     whole = scd.scd2_apply(spark.createDataFrame(rows, CHANGES), **options)
     assert same(table.read(), whole)
+    if period == "hour":
+        assert spark.read.parquet(table.table_path).select("period").distinct().count() > 20
     assert spark.read.parquet(table.log_path).count() == len(rows)
 
 

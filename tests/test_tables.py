@@ -105,9 +105,10 @@ def raw_log(spark, sf_dir):
 
 def test_refresh_publishes_all_layers(spark, raw_log):
     lake = LakeConfig.under(scratch_dir(spark, "refresh"))
-    tables = ["customers", "accounts", "atm_transactions", "branches"]
+    tables = ["customers", "accounts", "atm_transactions", "branches", "merchants"]
     refresh(spark, raw_log, lake, tables)
     assert spark.table("silver.silver_accounts").count() == 15
+    assert spark.table("silver.silver_merchants").isEmpty()
     assert spark.table("gold.gold_customer_dimension_history").count() == 874
     counts = {view: spark.table(f"gold.{view}").count() for view in GOLD_VIEWS}
     assert counts == {
