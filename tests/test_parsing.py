@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 from helpers import bronze, event, records, rows_of
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -165,6 +166,14 @@ def test_bad_events_go_to_quarantine(spark):
     ]
 
 
+def test_rejections_are_counted_in_passing(spark):
+    seen = Observation("seen")
+    texts = [event("accounts", "c", 1, after=GOOD), "{bad", None, event("accounts", "x", 2, after=GOOD)]
+    assert change_log(bronze(spark, texts), "accounts", observation=seen).count() == 1
+    counts = {k: v for k, v in seen.get.items() if v}
+    assert counts == {"events": 4, "tombstone": 1, "malformed": 1, "invalid_operation": 1}
+
+
 def test_event_of_another_table_is_quarantined(spark):
     rows = to_bronze(records(spark, [event("cards", "c", 1, after=GOOD)]), "topic")
     assert change_log(rows, "accounts").isEmpty()

@@ -267,8 +267,12 @@ def test_whole_lake_as_streams_equals_batch(spark, lake, sf_dir):
         drop_off(frame, inbox, name)
     stream = read_cdc_stream(spark, lake, "files", inbox + "/*")
     queries.run_bronze(stream, lake, once=True).awaitTermination(300)
-    for query in live.run_silver(spark, lake, list(made), once=True).values():
+    for name, query in live.run_silver(spark, lake, list(made), once=True).items():
         query.awaitTermination(300)
+        if name == "accounts":
+            seen = [p.observedMetrics[f"silver_{name}"] for p in query.recentProgress]
+            assert sum(s["events"] for s in seen) == 1000
+            assert sum(s["invalid_operation"] for s in seen) == 11
     gold = live.LiveGold(spark, lake)
     for query in gold.run(once=True).values():
         query.awaitTermination(300)

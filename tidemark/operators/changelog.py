@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,16 @@ METADATA = (
     "kafka_offset",
 )
 
+# Why an event stays out of a change log, in the order the reasons are tried.
+REJECTIONS = (
+    "tombstone",
+    "malformed",
+    "wrong_table",
+    "invalid_operation",
+    "missing_key",
+    "bad_time",
+)
+
 
 def parsed_events(bronze: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
     """One table's raw events with the envelope read once into text images."""
@@ -60,16 +70,28 @@ def _rejection(table: str, schema: T.StructType) -> Column:
     )
 
 
-def change_log(bronze: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
+def change_log(
+    bronze: DataFrame,
+    table: str,
+    schema: T.StructType | None = None,
+    observation: Observation | str | None = None,
+) -> DataFrame:
     """Valid events of one table, typed: ``n`` columns, ``n`` ``before_`` columns, metadata.
 
     Validation comes before any per-key choice, so a bad newest event cannot hide a good older
     one. A delete has no after-image; its key is taken from the before-image. Narrow plan: no
     shuffle, works alike on batch and streaming frames.
+
+    With an observation (a name on streams), events and rejections by reason are counted in
+    passing; streams report them with each micro-batch.
     """
     schema = schema or table_schema(table)
     key = key_of(schema)
     parsed = parsed_events(bronze, table, schema)
+    if observation is not None:
+        rejected = _rejection(table, schema)
+        counts = [F.count_if(rejected == reason).alias(reason) for reason in REJECTIONS]
+        parsed = parsed.observe(observation, F.count(F.lit(1)).alias("events"), *counts)
     typed = typed_images(parsed.filter(_rejection(table, schema).isNull()), schema)
     return typed.withColumn(key, F.coalesce(F.col(key), F.col(f"before_{key}")))
 
