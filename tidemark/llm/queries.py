@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import decontaminate, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,67 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the benchmark occurs in every document, by windows of 13 words."""
+    found = decontaminate.find_contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13
+    )
+    return found.select(
+        "doc_id",
+        F.col("found.n_words"),
+        decontaminate.n_hit().alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document: weights 1, 2, 3 by source, at most 3 epochs."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    taken = F.col("size") * F.col("repetitions")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_decontamination": op4_decontamination,
+    "op6_mixing": op6_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+OP6_SQL = """
+WITH docs AS (
+  SELECT doc_id, source, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS lot,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 AS weight
+  FROM docs GROUP BY source
+), ordered AS (  -- sources by how soon the rising level reaches their cap
+  SELECT *, row_number() OVER fill AS place,
+         coalesce(sum(3 * source_size) OVER (fill ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS used,
+         sum(weight) OVER (fill ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free,
+         sum(source_size) OVER () AS total
+  FROM sources WINDOW fill AS (ORDER BY 3 * source_size / weight, source)
+), level AS (
+  SELECT CAST(total - used AS DOUBLE) / CAST(free AS DOUBLE) AS level FROM ordered
+  WHERE 3 * source_size > CAST(total - used AS DOUBLE) / CAST(free AS DOUBLE) * weight
+  ORDER BY place LIMIT 1
+), targets AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), (SELECT level FROM level) * weight) AS target
+  FROM sources
+), lots AS (
+  SELECT source, lot, sum(size) AS size FROM docs GROUP BY source, lot
+), lined AS (
+  SELECT l.source, l.lot, source_size, target, floor(target / source_size) AS whole,
+         coalesce(sum(size) OVER (PARTITION BY l.source ORDER BY lot
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle
+  FROM lots l JOIN targets t ON l.source IS NOT DISTINCT FROM t.source
+)
+SELECT d.doc_id, d.size, source_size, target,
+       CAST(d.size * (whole + CASE WHEN middle <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM docs d JOIN lined x ON d.source IS NOT DISTINCT FROM x.source AND d.lot = x.lot
+"""
+
+ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
