@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, simhash
+from tidemark.llm import decontaminate, language, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,10 +40,23 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its text, markup, address suffix and host."""
+    pages = _table(spark, sf_dir, "pages").select(
+        "page_id",
+        language.page_text(F.col("html")).alias("text"),
+        language.markup_language(F.col("html")).alias("declared"),
+        language.host_of(F.col("url")).alias("host"),
+    )
+    found = language.identify(pages, "text", "declared", F.col("host"))
+    return found.select("page_id", "host", "declared", "language", "confidence")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op4_decontamination": op4_decontamination,
     "op6_mixing": op6_mixing,
+    "op9_language": op9_language,
 }
 
 OP6_SQL = """
