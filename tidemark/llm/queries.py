@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, mixing, simhash
+from tidemark.llm import decontaminate, language, lines, mixing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines to remove from every document, so that one of each group of similar lines stays."""
+    documents = _table(spark, sf_dir, "documents")
+    rows = lines.with_removed(documents, lines.repeated_lines(documents))
+    removed = F.coalesce("__removed", F.array().cast("array<int>"))
+    return rows.select(
+        "doc_id",
+        F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
+        F.size(removed).cast("long").alias("n_removed"),
+        removed.alias("removed"),
+    )
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of the benchmark occurs in every document, by windows of 13 words."""
     found = decontaminate.find_contamination(
@@ -54,6 +67,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_lines": op3_lines,
     "op4_decontamination": op4_decontamination,
     "op6_mixing": op6_mixing,
     "op9_language": op9_language,
