@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, lines, mixing, simhash
+from tidemark.llm import decontaminate, language, lines, mixing, simhash, vafile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,12 +65,18 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "declared", "language", "confidence")
 
 
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best other vectors by inner product for every vector whose id is divisible by 20."""
+    return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_lines": op3_lines,
     "op4_decontamination": op4_decontamination,
     "op6_mixing": op6_mixing,
     "op9_language": op9_language,
+    "op10_topk": op10_topk,
 }
 
 OP6_SQL = """
@@ -108,4 +114,21 @@ SELECT d.doc_id, d.size, source_size, target,
 FROM docs d JOIN lined x ON d.source IS NOT DISTINCT FROM x.source AND d.lot = x.lot
 """
 
-ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL}
+OP10_SQL = """
+WITH cells AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+         CAST(list_dot_product(CAST(q.c AS DOUBLE[]), CAST(v.c AS DOUBLE[])) AS BIGINT) AS score
+  FROM cells q JOIN cells v ON q.vec_id <> v.vec_id AND len(q.c) = len(v.c)
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL, "op10_topk": OP10_SQL}
