@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, lines, mixing, simhash, vafile
+from tidemark.llm import decontaminate, language, lines, mixing, quality, simhash, vafile
+from tidemark.llm.fitting import held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +47,18 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by a pairwise model of the labels; good from a score of 0.3."""
+    documents = _table(spark, sf_dir, "documents")
+    scored = quality.score(documents, quality.fit(documents, _table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        quality.predicted(F.col("score"), 0.3).alias("predicted"),
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document: weights 1, 2, 3 by source, at most 3 epochs."""
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
@@ -74,6 +87,7 @@ QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_lines": op3_lines,
     "op4_decontamination": op4_decontamination,
+    "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
     "op9_language": op9_language,
     "op10_topk": op10_topk,
