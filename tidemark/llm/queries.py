@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, lines, mixing, quality, simhash, vafile
+from tidemark.llm import decontaminate, language, lines, mixing, quality, simhash, toxicity, vafile
 from tidemark.llm.fitting import held_out
 
 
@@ -66,6 +66,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document after its disguised words are restored; toxic from 0.5."""
+    documents = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(documents, toxicity.fit(documents, _table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        quality.predicted(F.col("score"), 0.5).alias("predicted"),
+    )
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every page from its text, markup, address suffix and host."""
     pages = _table(spark, sf_dir, "pages").select(
@@ -89,6 +101,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
+    "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_topk": op10_topk,
 }
