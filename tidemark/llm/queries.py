@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, lines, mixing, quality, simhash, toxicity, vafile
+from tidemark.llm import decontaminate, language, lines, mixing, quality, simhash, substrings, toxicity, vafile
 from tidemark.llm.fitting import held_out
 
 
@@ -19,6 +19,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "fingerprint", "component_id")
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 200 bytes that start anywhere else too."""
+    done = substrings.removed(_table(spark, sf_dir, "documents"), window=200)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines to remove from every document, so that one of each group of similar lines stays."""
     documents = _table(spark, sf_dir, "documents")
@@ -97,6 +103,7 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_substrings": op2_substrings,
     "op3_lines": op3_lines,
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
