@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, lines, mixing, quality, simhash, substrings, toxicity, vafile
+from tidemark.llm import decontaminate, language, licenses, lines, mixing, quality, simhash, substrings, toxicity, vafile
 from tidemark.llm.fitting import held_out
 
 
@@ -72,6 +72,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named or quoted in every document."""
+    found = licenses.scan(_table(spark, sf_dir, "documents"))
+    return found.withColumn("licenses", F.array_join("licenses", ","))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document after its disguised words are restored; toxic from 0.5."""
     documents = _table(spark, sf_dir, "documents")
@@ -108,6 +114,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_mixing": op6_mixing,
+    "op7_licenses": op7_licenses,
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_topk": op10_topk,
@@ -165,4 +172,8 @@ WITH cells AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-ORACLES: dict[str, str] = {"op6_mixing": OP6_SQL, "op10_topk": OP10_SQL}
+ORACLES: dict[str, str] = {
+    "op6_mixing": OP6_SQL,
+    "op7_licenses": licenses.sql(),
+    "op10_topk": OP10_SQL,
+}
