@@ -27,7 +27,7 @@ def plain_removed(texts, radius=3, least=0.8):
             if len(norm.split(" ")) >= 5:
                 places.append((doc, number, norm))
     different = list(dict.fromkeys(p[2] for p in places))
-    prints = lines.LinePrints()([x.encode().split(b" ") for x in different]).view(np.uint64)
+    prints = lines.line_prints("\n".join(different).encode())[2].view(np.uint64)
     root = {x: x for x in different}
 
     def find(x):
@@ -65,7 +65,8 @@ def test_edit_distance():
                 b[chance.randrange(len(b))] = chance.choice(["", "x", "ab"])
         b = "".join(b)
         assert lines.edit_distance(a, b) == plain_distance(a, b)
-        assert lines.similar(a, b, 0.8) == (plain_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
+        left, right = a.split(" "), b.split(" ")
+        assert lines.similar(left, right, 0.8) == (plain_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
 
 
 def test_near_prints_agree_in_two_blocks():
@@ -97,3 +98,16 @@ def test_awkward_rows(spark):
     assert [len(r.text) > 0 for r in rows if r.doc_id == 4] == [True, True]  # equal rows, one document
     assert [r.text for r in rows if r.doc_id == 5] == [""]
     assert lines.dedup_lines(nothing(spark)).count() == 0
+
+
+def test_prints_are_majorities_of_the_words_bits():
+    words = ["alpha", "be", "a-much-longer-word-of-more-than-eight-bytes".replace("-", ""), "ñandú"]
+    text = [" ".join(words), "", "  ", "alpha " * 700 + "be " * 300, words[2]]
+    n, hashes, prints, sizes = lines.line_prints("\n".join(text).encode())
+    assert list(n) == [4, 0, 0, 1000, 1] and sizes[0] == len(text[0].encode())
+    own = [int(lines.line_prints(w.encode())[2][0]) for w in words]
+    assert prints[3] == own[0] and prints[4] == own[2] and prints[1] == 0
+    bits = sum(1 << b for b in range(64) if sum((x >> b) & 1 for x in own) > 2)
+    assert int(prints.view(np.uint64)[0]) == bits
+    assert len({*hashes.tolist()}) == 4
+    assert lines.line_prints(b"one two")[1][0] != lines.line_prints(b"two one")[1][0]

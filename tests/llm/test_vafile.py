@@ -1,0 +1,83 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import vafile
+
+
+def query():
+    return F.col("vec_id") % 20 == 0
+
+
+def plain(rows, k, scale=64):
+    """By scoring all pairs."""
+    vectors = []
+    for i, v in rows:
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
+            vectors.append((i, [math.floor(scale * x) for x in v]))
+    out = set()
+    for q, a in {(i, tuple(v)) for i, v in vectors if i % 20 == 0}:
+        scored = [(-sum(x * y for x, y in zip(a, b)), i) for i, b in vectors if i != q and len(a) == len(b)]
+        out |= {(q, r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k], 1)}
+    return out
+
+
+def found(frame):
+    return {tuple(r) for r in frame.select("query_id", "rank", "vec_id", "score").collect()}
+
+
+@pytest.fixture(scope="module")
+def embeddings(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+
+
+@pytest.mark.parametrize("options", [{}, {"bits": 2}, {"bits": 4, "block": 50, "query_block": 3}])
+def test_equals_scoring_all_pairs(embeddings, options):
+    rows = [(r.vec_id, r.embedding) for r in embeddings.collect()]
+    assert found(vafile.top_k(embeddings, query(), **options)) == plain(rows, 20)
+
+
+def test_ties_and_a_very_common_vector(spark):
+    rows = [(i, [0.5, -0.25]) for i in range(300)] + [(i, [0.5, 0.25]) for i in range(300, 310)]
+    rows += [(i, [i / 100, 0.0]) for i in range(310, 350)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(vafile.top_k(frame, query(), k=7, block=20)) == plain(rows, 7)
+    distinct = vafile.distinct_vectors(frame.withColumn("cells", vafile.quantised(F.col("embedding"), 64)), 7)
+    assert distinct.agg(F.max(F.size("ids"))).first()[0] == 8
+
+
+def test_odd_vectors(spark):
+    rows = [
+        (0, [1.0, 2.0]),
+        (20, [1.0]),
+        (40, []),
+        (60, None),
+        (80, [None, 1.0]),
+        (100, [float("nan"), 1.0]),
+        (120, [float("inf"), 1.0]),
+        (None, [1.0, 1.0]),
+        (1, [1e9, -1e9]),
+        (2, [-0.001, 0.001]),
+        (3, [3.0]),
+        (4, []),
+        (5, [5e7, 3.0]),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    frame = frame.withColumns({"cells": F.lit(1), "score": F.lit(2), "first": F.lit("x")})
+    assert found(vafile.top_k(frame, query())) == plain(rows, 20)
+    assert vafile.top_k(frame.where("false"), query()).count() == 0
+    assert vafile.top_k(frame, F.col("vec_id") == 77).count() == 0
+
+
+def test_scores_stay_in_64_bits(spark):
+    rows = [(0, [1e18, 1e18]), (1, [1e18, 1e18]), (2, [-1e18, -1e18]), (3, [1.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    scores = {r.vec_id: r.score for r in vafile.top_k(frame, F.col("vec_id") == 0).collect()}
+    assert scores[1] == 2**63 - 1 and scores[2] == -(2**63)
+
+
+def test_repeated_rows(spark):
+    rows = [(0, [1.0]), (0, [1.0]), (1, [2.0]), (1, [2.0]), (2, [1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(vafile.top_k(frame, query())) == {(0, 1, 1, 8192), (0, 2, 1, 8192), (0, 3, 2, 4096)}

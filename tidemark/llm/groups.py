@@ -58,20 +58,18 @@ def link_members(groups: DataFrame, radius: int) -> DataFrame:
     return groups.select("members").mapInArrow(walk, "a long, b long")
 
 
-def in_parts(members: DataFrame, key: str, member: str, size: int) -> DataFrame:
-    """Groups cut so that no task holds more than about ``size`` members.
+def in_parts(members: DataFrame, member: str) -> DataFrame:
+    """Groups cut into parts, so that no task has to hold a large one.
 
-    ``members`` has the group's ``key``, its number of rows ``n`` and a hashable ``member``. A
-    group of up to ``size`` stays whole. A larger one is dealt into parts by hash and appears once
-    for each pair of parts, so that any two members meet. Adds ``part``, by which (with the key) to
-    group.
+    ``members`` has the number of ``parts`` of its group and a hashable ``member``. A group of up
+    to two parts stays whole. A larger one is dealt into parts by hash and appears once for each
+    pair of parts, so that any two members meet. Adds ``part``, by which (with the group) to group.
     """
-    parts = F.when(F.col("n") > size, F.ceil(F.col("n") * 2 / size)).otherwise(1).cast("int")
+    rows = members.withColumn("__parts", F.when(F.col("parts") > 2, F.col("parts")).otherwise(1).cast("int"))
     own = F.pmod(F.xxhash64(F.lit("part"), F.col(member)), F.col("__parts")).cast("int")
-    rows = members.withColumn("__parts", parts).withColumn("__own", own)
-    last = F.greatest(F.col("__parts") - 1, F.lit(0))
-    rows = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), last)))
-    # a part meets itself in its pair with the next one
+    rows = rows.withColumn("__own", own)
+    rows = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    # a part meets itself in its pairs with others
     rows = rows.where("__parts = 1 or __own <> __other")
     pair = F.struct(F.least("__own", "__other"), F.greatest("__own", "__other"))
     return rows.withColumn("part", pair).drop("__parts", "__own", "__other")

@@ -105,7 +105,7 @@ SENTENCES = {
     "gpl-hope": ["This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;"],
     "gpl-details": ["See the GNU General Public License for more details."],
     "mpl2-subject": [
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v.",  # 2.0
         "Licensed under the Mozilla Public License, version 2.0.",
     ],
     "isc-grant": [

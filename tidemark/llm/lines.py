@@ -8,7 +8,6 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,38 +17,112 @@ from tidemark.llm.groups import in_parts, link_members, spanning_links
 from tidemark.sources.tables import materialize
 
 BITS = 64
-#: Most fingerprints, and most lines with their texts, that a task compares at once. Plan only.
-PRINTS, TEXTS = 2048, 512
-
-
-def normalised(line: Column) -> Column:
-    """Lower-cased letters and digits, with one blank for whatever stands between them."""
-    return F.trim(F.regexp_replace(F.lower(line), "[^\\p{L}\\p{N}]+", " "))
-
-
-def line_prints(lines: pd.Series) -> np.ndarray:
-    """64-bit SimHash of the words of each normalised line, as signed integers."""
-    known: dict[bytes, bytes] = {}
-    out = np.zeros(len(lines), np.uint64)
-    for start in range(0, len(lines), 1000):
-        split = [x.encode("utf-8", "surrogatepass").split() for x in lines.iloc[start : start + 1000]]
-        sizes = np.array([len(words) for words in split])
-        some = np.flatnonzero(sizes)
-        hashes = []
-        for words in split:
-            for word in words:
-                digest = known.get(word)
-                if digest is None:
-                    digest = known[word] = xxhash.xxh64_digest(word)
-                hashes.append(digest)
-        if not len(some):
-            continue
-        bits = np.unpackbits(np.frombuffer(b"".join(hashes), np.uint8).reshape(-1, 8), axis=1)
-        firsts = (np.cumsum(sizes) - sizes)[some]
-        counts = np.add.reduceat(bits, firsts, axis=0, dtype=np.int32)
-        words = np.packbits(2 * counts > sizes[some][:, None], axis=1)
-        out[start + some] = words.view(">u8").ravel()
-    return out.view(np.int64)
+#: What a task compares at once, at most: fingerprints, or lines and characters of lines. Plan only.
+PRINTS, LINES, CHARS = 2048, 32_768, 16_000_000
+
+_TO_WORDS = bytes(b if b >= 128 or b == 10 or bytes([b]).isalnum() else 32 for b in range(256))
+
+
+def words_only(text: str) -> bytes:
+    """A text in lower case with a blank for each ASCII character that is no letter, digit or line
+    end; other characters are kept."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_TO_WORDS)
+
+
+def normalised(line: str) -> list[str]:
+    """The words of a line as lines are compared."""
+    words = words_only(line).split()
+    return [word.decode("utf-8", "surrogatepass") for word in words]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """The finaliser of a 64-bit hash."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_FIRST = np.array([(1 << 8 * i) - 1 for i in range(8)] + [2**64 - 1], np.uint64)
+#: A byte's bits, each in a byte of its own.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, eight bytes at a time. ``data`` ends with eight spare bytes."""
+    eights = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (len(data) - 7,), (1,))
+    hashes = _mixed(lengths.astype(np.uint64))
+    at = np.arange(len(starts))
+    for offset in range(0, int(lengths.max(initial=0)), 8):
+        at = at[lengths[at] > offset]
+        part = eights[starts[at] + offset] & _FIRST[np.minimum(lengths[at] - offset, 8)]
+        hashes[at] = _mixed(hashes[at] ^ part)
+    return hashes
+
+
+def line_prints(text: bytes) -> tuple[np.ndarray, ...]:
+    """Number of words, hash, SimHash of the words and length of each line of a text that has
+    nothing but words, blanks and line ends (``normalised``); blanks do not count."""
+    data = np.frombuffer(text + b"\n" + b" " * 8, np.uint8)
+    body = data[:-8]
+    apart = (body == 32) | (body == 10)
+    change = np.diff(np.concatenate([[True], apart]).astype(np.int8))
+    starts, ends = np.flatnonzero(change == -1), np.flatnonzero(change == 1)
+    line_ends = np.flatnonzero(body == 10)
+    last = np.searchsorted(starts, line_ends)
+    n = np.diff(np.concatenate([[0], last]))
+    hashes, prints = np.zeros(len(n), np.uint64), np.zeros(len(n), np.int64)
+    sizes = np.zeros(len(n), np.int64)
+    some = np.flatnonzero(n)
+    if len(some):
+        lengths = ends - starts
+        words = word_hashes(data, starts, lengths)
+        firsts = (last - n)[some]
+        place = (np.arange(len(starts)) - np.repeat(firsts, n[some])).astype(np.uint64)
+        placed = _mixed(words + place * np.uint64(0x9E3779B97F4A7C15))
+        hashes[some] = np.add.reduceat(placed, firsts)
+        sizes[some] = np.add.reduceat(lengths, firsts) + n[some] - 1
+        bits = _BITS[words.view(np.uint8).reshape(-1, 8)]
+        counts = np.add.reduceat(bits, firsts, axis=0).view(np.uint8)  # right up to 255 words
+        more = 2 * counts.astype(np.int64) > n[some][:, None]
+        for i in np.flatnonzero(n[some] > 255):
+            own = bits[firsts[i] : firsts[i] + n[some][i]].view(np.uint8)
+            more[i] = 2 * own.sum(axis=0, dtype=np.int64) > n[some][i]
+        prints[some] = np.packbits(more, axis=1).view(">i8").ravel()
+    return n, hashes.view(np.int64), prints, sizes
+
+
+def _found(docs: DataFrame, min_words: int) -> DataFrame:
+    """Every line of at least ``min_words`` words: its place, hash, SimHash and length."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                yield rows(batch.slice(start, 64))
+
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [words_only(t) for t in batch.column(2).to_pylist()]
+        n, hashes, prints, sizes = line_prints(b"\n".join(texts))
+        lines = np.array([t.count(b"\n") + 1 for t in texts])
+        doc = np.repeat(np.arange(len(texts)), lines)
+        number = np.arange(len(doc)) - np.repeat(np.cumsum(lines) - lines, lines)
+        kept = np.flatnonzero(n >= min_words)
+        where = pa.array(doc[kept])
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column(0).take(where),
+                batch.column(1).take(where),
+                pa.array(number[kept].astype(np.int32)),
+                pa.array(hashes[kept]),
+                pa.array(prints[kept]),
+                pa.array(sizes[kept].astype(np.int32)),
+            ],
+            ["doc_id", "doc", "line_no", "line", "fp", "size"],
+        )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, doc long, line_no int, line long, fp long, size int"
+    keyed = docs.select("doc_id", document_key("doc_id", "text"), text_or_empty("text"))
+    return keyed.mapInArrow(scan, schema)
 
 
 def block_masks(radius: int, agreeing: int = 2) -> list[int]:
@@ -91,17 +164,25 @@ def edit_distance(a: str, b: str) -> int:
     return distance
 
 
-def similar(a: str, b: str, least: float) -> bool:
-    """Whether the edit distance is at most ``1 - least`` of the longer line."""
-    longer = max(len(a), len(b))
-    most = int((1 - least) * longer + 1e-9)
-    if abs(len(a) - len(b)) > most:
+def similar(a: list[str], b: list[str], least: float) -> bool:
+    """Whether the edit distance of two lines, given as their words, is at most ``1 - least`` of
+    the longer one."""
+    long, other = (sum(map(len, words)) + len(words) - 1 for words in (a, b))
+    most = int((1 - least) * max(long, other) + 1e-9)
+    if abs(long - other) > most:
         return False
-    left, right = a.split(" "), b.split(" ")
+    start, limit = 0, min(len(a), len(b))
+    while start < limit and a[start] == b[start]:
+        start += 1
+    stop = 0
+    while stop < limit - start and a[-1 - stop] == b[-1 - stop]:
+        stop += 1
+    left, right = a[start : len(a) - stop], b[start : len(b) - stop]
     if len(left) == len(right):  # replacing unequal words one by one may do
         if sum(max(len(x), len(y)) for x, y in zip(left, right) if x != y) <= most:
             return True
-    return edit_distance(a, b) <= most
+    blank = (not left or not right) and start + stop > 0  # goes with the words
+    return edit_distance(" ".join(left), " ".join(right)) + blank <= most
 
 
 def _near_prints(prints: DataFrame, radius: int, size: int) -> DataFrame:
@@ -118,7 +199,8 @@ def _near_prints(prints: DataFrame, radius: int, size: int) -> DataFrame:
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     twos = shared.where("n = 2").where(near).select("a", "b")
     members = placed.join(shared.where("n > 2").select("key", "n"), "key")
-    groups = in_parts(members, "key", "fp", size).groupBy("key", "part")
+    parts = F.ceil(F.col("n") * 2 / size)
+    groups = in_parts(members.withColumn("parts", parts), "fp").groupBy("key", "part")
     return twos.union(link_members(groups.agg(F.collect_list("fp").alias("members")), radius))
 
 
@@ -131,7 +213,7 @@ def _verified(groups: DataFrame, radius: int, least: float) -> DataFrame:
             for row in range(batch.num_rows):
                 members = batch.column(0).slice(row, 1).flatten()
                 ids = members.field("line").to_pylist()
-                texts = members.field("text").to_pylist()
+                texts = [normalised(t) for t in members.field("raw").to_pylist()]
                 prints = members.field("fp").to_numpy(zero_copy_only=False).view(np.uint64)
 
                 def confirm(at: int, others: np.ndarray) -> np.ndarray:
@@ -147,12 +229,6 @@ def _verified(groups: DataFrame, radius: int, least: float) -> DataFrame:
     return groups.select("members").mapInArrow(walk, "a long, b long")
 
 
-def _split(docs: DataFrame) -> DataFrame:
-    """Every line with its place: ``(doc_id, doc, line_no, raw)``."""
-    keyed = docs.select("doc_id", document_key("doc_id", "text").alias("doc"), text_or_empty("text").alias("text"))
-    return keyed.select("doc_id", "doc", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-
-
 def repeated_lines(
     documents: DataFrame,
     similarity: float = 0.8,
@@ -161,70 +237,74 @@ def repeated_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     prints: int = PRINTS,
-    texts: int = TEXTS,
+    lines: int = LINES,
 ) -> DataFrame:
     """Line numbers (from 0) to remove from each document, ``(doc, removed)``.
 
     Lines are compared in normalised form; those of fewer than ``min_words`` words are left alone.
-    Two lines are linked if they are equal, or if their SimHashes (of words) differ in at most
-    ``radius`` bits and their edit similarity, 1 - distance / longer length in characters, is
-    ``similarity`` or more. Of all occurrences of a connected group the first stays, in the order
-    of document id (null last), then text hash, then line number. ``doc`` identifies a document
-    by ``document_key``; documents without anything to remove do not appear. Rows that are equal
-    in id and text count as one document and are treated alike. Null texts have no lines.
-
-    Texts leave the scan only for lines whose SimHash has a neighbour; they meet in groups of
-    lines connected by SimHash alone, each line once. Groups of more than ``texts`` lines (or
-    ``prints`` fingerprints) are compared part by part in different tasks.
+    Two lines are linked if they are equal (in 64 bits of hash), or if their SimHashes (of words)
+    differ in at most ``radius`` bits and their edit similarity, 1 - distance / longer length in
+    characters, is ``similarity`` or more. Of all occurrences of a connected group the first
+    stays, in the order of document id (null last), then text hash, then line number. ``doc``
+    identifies a document by ``document_key``; documents without anything to remove do not appear.
+    Rows that are equal in id and text count as one document and are treated alike. Null texts
+    have no lines.
+
+    The first scan yields hashes only. Lines whose SimHash has a neighbour are then fetched, and
+    meet in groups of lines connected by SimHash alone, each line once. Groups of more than
+    ``lines`` lines or ``CHARS`` characters (or ``prints`` fingerprints) are compared part by part
+    in different tasks.
     """
     docs = pick(documents, doc_id=id_col, text=text_col)
-    lines = _split(docs).withColumn("text", normalised(F.col("raw"))).drop("raw")
-    lines = lines.where(F.size(F.split("text", " ")) >= min_words)
-    as_print = F.pandas_udf(lambda s: pd.Series(line_prints(s)), "long")
-    two_hashes = [F.xxhash64("text").alias("line"), F.xxhash64(F.lit(1), F.col("text")).alias("check")]
-    found = lines.select("doc_id", "doc", "line_no", *two_hashes, as_print("text").alias("fp"))
-    found = materialize(found, "occurrences")
-
+    found = materialize(_found(docs, min_words), "occurrences")
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "doc", "line_no")
-    distinct = found.groupBy("line", "check").agg(
-        F.min(place).alias("first"), F.count("*").alias("n"), F.first("fp").alias("fp")
+    distinct = found.groupBy("line").agg(
+        F.min(place).alias("first"),
+        F.count("*").alias("n"),
+        F.min("fp").alias("fp"),
+        F.min("size").alias("size"),
     )
     distinct = materialize(distinct, "lines")
-    by_print = distinct.groupBy("fp").agg(F.count("*").alias("lines"))
-    by_print = materialize(by_print, "prints")
-    near = materialize(connected_components(_near_prints(by_print.select("fp"), radius, prints)), "near")
+    by_print = materialize(distinct.groupBy("fp").agg(F.count("*").alias("lines")), "prints")
+    near = connected_components(_near_prints(by_print.select("fp"), radius, prints))
 
     # lines that have a neighbour by SimHash, by connected group
-    grouped = by_print.join(near.withColumnRenamed("node", "fp"), "fp", "left")
-    grouped = grouped.where("lines > 1 or component is not null")
-    grouped = grouped.select("fp", F.coalesce("component", "fp").alias("group"), "lines")
-    sizes = grouped.groupBy("group").agg(F.sum("lines").alias("n"))
-    grouped = materialize(grouped.join(materialize(sizes, "sizes"), "group").drop("lines"), "grouped")
-    wanted = materialize(distinct.drop("n").join(grouped, "fp"), "wanted")
-    places = wanted.select("line", "fp", "group", "n", "first.doc", "first.line_no")
-    worded = _split(docs).select("doc", "line_no", "raw").join(places, ["doc", "line_no"])
-    worded = worded.dropDuplicates(["doc", "line_no"])  # of documents that occur in several rows
-    worded = worded.select("line", "fp", "group", "n", normalised(F.col("raw")).alias("text"))
-    groups = in_parts(worded, "group", "line", texts).groupBy("group", "part")
-    members = groups.agg(F.collect_list(F.struct("line", "fp", "text")).alias("members"))
-    links = _verified(members.where(F.size("members") > 1), radius, similarity)
-    classes = materialize(connected_components(links), "classes")
+    shared = by_print.where("lines > 1").select("fp", F.col("fp").alias("group"))
+    grouped = near.select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    grouped = grouped.union(shared).groupBy("fp").agg(F.min("group").alias("group"))
+    wanted = distinct.select("line", "fp", "size", "first", "n").join(materialize(grouped, "grouped"), "fp")
+    wanted = materialize(wanted, "wanted")
+    parts = F.ceil(2 * F.greatest(F.count("*") / lines, F.sum("size") / CHARS))
+    sizes = wanted.groupBy("group").agg(F.count("*").alias("n"), parts.alias("parts"))
+    sizes = materialize(sizes.where("n > 1").select("group", "parts"), "sizes")
+    places = wanted.select("line", "fp", "group", "first.doc", "first.line_no").join(sizes, "group")
+    members = _fetched(docs, materialize(places, "places"))
+    groups = in_parts(members, "line").groupBy("group", "part")
+    members = groups.agg(F.collect_list(F.struct("line", "fp", "raw")).alias("members"))
+    classes = connected_components(_verified(members, radius, similarity))
+    classes = classes.select(F.col("node").alias("line"), F.col("component").alias("class"))
 
     # the occurrence that stays, for every line that is not alone
-    linked = distinct.join(classes.withColumnRenamed("node", "line"), "line", "left")
-    linked = linked.where("n > 1 or component is not null")
-    linked = linked.select("line", "check", "first", F.coalesce("component", "line").alias("class"))
+    similar_lines = wanted.join(classes, "line").select("line", "first", "class")
+    repeated = distinct.where("n > 1").join(classes, "line", "left_anti")
+    linked = similar_lines.union(repeated.select("line", "first", F.col("line").alias("class")))
     linked = materialize(linked, "linked")
     stays = materialize(linked.groupBy("class").agg(F.min("first").alias("stays")), "stays")
-    linked = materialize(linked.join(stays, "class").select("line", "check", "stays"), "staying")
-    here = F.struct("doc", "line_no")
-    gone = found.join(linked, ["line", "check"]).where(
-        here != F.struct(F.col("stays.doc").alias("doc"), F.col("stays.line_no").alias("line_no"))
-    )
+    linked = materialize(linked.join(stays, "class").select("line", "stays"), "staying")
+    kept = (F.col("doc") == F.col("stays.doc")) & (F.col("line_no") == F.col("stays.line_no"))
+    gone = found.select("doc", "line_no", "line").join(linked, "line").where(~kept)
     removed = gone.groupBy("doc").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
     return materialize(removed, "removed")
 
 
+def _fetched(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The lines at ``(doc, line_no)`` with their text ``raw``."""
+    keyed = docs.select(document_key("doc_id", "text").alias("doc"), "text")
+    lines = keyed.select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    # documents that occur in several rows bring the same line several times
+    return lines.join(places, ["doc", "line_no"]).dropDuplicates(["doc", "line_no"])
+
+
 def document_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """One value per different pair of id and text."""
     return F.xxhash64(F.isnull(id_col), F.col(id_col), F.isnull(text_col), F.col(text_col))

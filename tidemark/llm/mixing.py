@@ -111,7 +111,7 @@ def mix(
     level = water_level(sources, total * share, max_epochs)
 
     cap = (max_epochs * F.col("source_size")).cast("double")
-    whole = F.floor(F.col("target") / F.col("source_size"))
+    whole = F.floor(F.try_divide("target", "source_size"))
     sources = sources.withColumn("target", F.least(cap, F.lit(level) * F.col("weight")))
     sources = sources.withColumn("whole", F.coalesce(whole, F.lit(0)))
     rest = F.col("target") - F.col("whole") * F.col("source_size")

@@ -28,13 +28,12 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines to remove from every document, so that one of each group of similar lines stays."""
     documents = _table(spark, sf_dir, "documents")
-    rows = lines.with_removed(documents, lines.repeated_lines(documents))
-    removed = F.coalesce("__removed", F.array().cast("array<int>"))
+    n_lines = F.size(F.split("text", "\n")).cast("long").alias("n_lines")
+    rows = documents.select("doc_id", lines.document_key().alias("doc"), n_lines)
+    rows = rows.join(lines.repeated_lines(documents), "doc", "left")
+    removed = F.coalesce("removed", F.array().cast("array<int>"))
     return rows.select(
-        "doc_id",
-        F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
-        F.size(removed).cast("long").alias("n_removed"),
-        removed.alias("removed"),
+        "doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed")
     )
 
 

@@ -47,7 +47,7 @@ for _b in range(256):
         | _MARK * (_c in ".-_*~")
         | _BLANK * (_c in " \t\n\r\v\f")
     )
-_SPACED = re.compile(r"\S( \S)+")
+_SPACED = re.compile(r"\S( \S)+\W?")
 _APART = re.compile(r"[^\w@$!|+.\-*~]+")
 
 
@@ -161,7 +161,7 @@ def suspects(data: bytes) -> list[tuple[int, int]]:
 
     Stand-ins for letters beside letters; a letter three times in a row, or three doubled letters
     in a row; parts of one or two letters between marks; and three or more single characters
-    between blanks, which make one span.
+    between blanks, which make one span (with a mark after the last).
     """
     if len(data) < 3:
         return []
@@ -192,8 +192,11 @@ def suspects(data: bytes) -> list[tuple[int, int]]:
     chosen = np.zeros(len(starts), bool)
     chosen[np.searchsorted(starts, np.flatnonzero(hit & ~blank), side="right") - 1] = True
     # single characters, one blank apart
-    single = (ends - starts == 1) & ((kind[starts] & (_LETTER | _DIGIT | _STAND_IN)) != 0)
-    joined = single[1:] & single[:-1] & (starts[1:] - ends[:-1] == 1) & (x[ends[:-1]] != ord("\n"))
+    some = (kind[starts] & (_LETTER | _DIGIT | _STAND_IN)) != 0
+    single = some & (ends - starts == 1)
+    closed = some & (ends - starts == 2) & ((kind[starts + 1] & (_LETTER | _DIGIT | _STAND_IN)) == 0)
+    joined = single[:-1] & (single | closed)[1:]
+    joined &= (starts[1:] - ends[:-1] == 1) & (x[ends[:-1]] != ord("\n"))
     change = np.diff(np.concatenate([[False], joined, [False]]).astype(np.int8))
     firsts, lasts = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
     long = lasts - firsts >= 2
