@@ -100,14 +100,18 @@ def test_awkward_rows(spark):
     assert lines.dedup_lines(nothing(spark)).count() == 0
 
 
-def test_prints_are_majorities_of_the_words_bits():
-    words = ["alpha", "be", "a-much-longer-word-of-more-than-eight-bytes".replace("-", ""), "ñandú"]
-    text = [" ".join(words), "", "  ", "alpha " * 700 + "be " * 300, words[2]]
+def test_prints_are_majorities_of_the_different_words_bits():
+    words = ["alpha", "be", "amuchlongerwordofmorethaneightbytes", "ñandú"]
+    many = [f"w{i}" for i in range(600)]
+    text = [" ".join(words), "", "  ", "alpha " * 700 + "be " * 300, words[2], " ".join(many), "alpha be"]
     n, hashes, prints, sizes = lines.line_prints("\n".join(text).encode())
-    assert list(n) == [4, 0, 0, 1000, 1] and sizes[0] == len(text[0].encode())
-    own = [int(lines.line_prints(w.encode())[2][0]) for w in words]
-    assert prints[3] == own[0] and prints[4] == own[2] and prints[1] == 0
-    bits = sum(1 << b for b in range(64) if sum((x >> b) & 1 for x in own) > 2)
-    assert int(prints.view(np.uint64)[0]) == bits
-    assert len({*hashes.tolist()}) == 4
+    assert list(n) == [4, 0, 0, 1000, 1, 600, 2] and sizes[0] == len(text[0].encode())
+
+    def majority(some):
+        own = [int(lines.line_prints(w.encode())[2].view(np.uint64)[0]) for w in some]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in own) > len(own))
+
+    expected = [majority(words), 0, 0, majority(words[:2]), majority(words[2:3]), majority(many), majority(words[:2])]
+    assert prints.view(np.uint64).tolist() == expected
+    assert len({*hashes.tolist()}) == 6
     assert lines.line_prints(b"one two")[1][0] != lines.line_prints(b"two one")[1][0]

@@ -59,9 +59,29 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return hashes
 
 
+def _majorities(words: np.ndarray, lines: np.ndarray) -> np.ndarray:
+    """Per line the bits that are set in more than half of its different words' hashes."""
+    keys = np.sort((lines.astype(np.uint64) << np.uint64(40)) | (words >> np.uint64(24)))
+    keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])]
+    of = (keys >> np.uint64(40)).astype(np.int64)
+    firsts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+    n = np.diff(np.append(firsts, len(keys)))
+    bits = _BITS[_mixed(keys & np.uint64((1 << 40) - 1)).view(np.uint8).reshape(-1, 8)]
+    counts = np.add.reduceat(bits, firsts, axis=0).view(np.uint8)  # right up to 255 words
+    more = 2 * counts.astype(np.int64) > n[:, None]
+    for i in np.flatnonzero(n > 255):
+        own = bits[firsts[i] : firsts[i] + n[i]].view(np.uint8)
+        more[i] = 2 * own.sum(axis=0, dtype=np.int64) > n[i]
+    return np.packbits(more, axis=1).view(">i8").ravel()
+
+
 def line_prints(text: bytes) -> tuple[np.ndarray, ...]:
-    """Number of words, hash, SimHash of the words and length of each line of a text that has
-    nothing but words, blanks and line ends (``normalised``); blanks do not count."""
+    """Number of words, hash, SimHash and length of each line of a text that has nothing but words,
+    blanks and line ends (``words_only``); further blanks do not count.
+
+    The SimHash is over a line's different words, each counting once: by number, the few most
+    frequent words of a language would make all its long lines alike.
+    """
     data = np.frombuffer(text + b"\n" + b" " * 8, np.uint8)
     body = data[:-8]
     apart = (body == 32) | (body == 10)
@@ -81,13 +101,7 @@ def line_prints(text: bytes) -> tuple[np.ndarray, ...]:
         placed = _mixed(words + place * np.uint64(0x9E3779B97F4A7C15))
         hashes[some] = np.add.reduceat(placed, firsts)
         sizes[some] = np.add.reduceat(lengths, firsts) + n[some] - 1
-        bits = _BITS[words.view(np.uint8).reshape(-1, 8)]
-        counts = np.add.reduceat(bits, firsts, axis=0).view(np.uint8)  # right up to 255 words
-        more = 2 * counts.astype(np.int64) > n[some][:, None]
-        for i in np.flatnonzero(n[some] > 255):
-            own = bits[firsts[i] : firsts[i] + n[some][i]].view(np.uint8)
-            more[i] = 2 * own.sum(axis=0, dtype=np.int64) > n[some][i]
-        prints[some] = np.packbits(more, axis=1).view(">i8").ravel()
+        prints[some] = _majorities(words, np.repeat(np.arange(len(some)), n[some]))
     return n, hashes.view(np.int64), prints, sizes
 
 
@@ -242,8 +256,8 @@ def repeated_lines(
     """Line numbers (from 0) to remove from each document, ``(doc, removed)``.
 
     Lines are compared in normalised form; those of fewer than ``min_words`` words are left alone.
-    Two lines are linked if they are equal (in 64 bits of hash), or if their SimHashes (of words)
-    differ in at most ``radius`` bits and their edit similarity, 1 - distance / longer length in
+    Two lines are linked if they are equal (in 64 bits of hash), or if their SimHashes (of different
+    words) differ in at most ``radius`` bits and their edit similarity, 1 - distance / longer length in
     characters, is ``similarity`` or more. Of all occurrences of a connected group the first
     stays, in the order of document id (null last), then text hash, then line number. ``doc``
     identifies a document by ``document_key``; documents without anything to remove do not appear.
