@@ -192,6 +192,11 @@ ORACLES = {
         CASE WHEN op <> 'd' THEN event_type END AS after_status FROM a""",
     "typed_images": f"""WITH {A} SELECT {_image("", "op <> 'd'")},
         {_image("before_", "op IN ('u', 'd')")}, {META} FROM a""",
+    "typed_epochs": """WITH texts AS (
+        SELECT event_id, CAST(left(CAST(epoch_us(ts) AS VARCHAR), CAST(event_id % 16 + 1 AS INTEGER)) AS BIGINT) AS n
+        FROM events)
+        SELECT event_id, CASE WHEN n <= 9223372036854775 THEN n * 1000 END AS from_millis,
+          n AS from_micros, CASE WHEN n <= 2147483647 THEN CAST(n AS INTEGER) END AS days FROM texts""",
     "typed_dates": """SELECT 'loans' AS table_name, o_orderkey AS "offset",
         CAST(o_orderdate AS DATE) AS first_date, CAST(o_orderdate AS DATE) AS second_date,
         CAST(NULL AS TIMESTAMP) AS instant FROM orders
@@ -236,11 +241,22 @@ ORACLES = {
     "field_changes": FIELD_CHANGES,
     "silver_tables": SILVER,
     "scd2_history": f"WITH {HISTORY} SELECT * FROM h",
+    "scd2_history_hot": f"WITH {HISTORY} SELECT * FROM h",
     "scd2_current": f"WITH {HISTORY} SELECT * FROM h WHERE __END_AT IS NULL",
     "scd2_as_of": f"""WITH {HISTORY} SELECT * FROM h WHERE __START_AT <= 883612800000
         AND (__END_AT IS NULL OR __END_AT > 883612800000)""",
     "scd1_branches": BRANCHES,
     "daily_account_balances": f"WITH {DAILY} SELECT * FROM daily",
+    "closing_balance_gaps": f"""WITH {A}, gaps AS (
+        SELECT *, epoch_ms(CAST(ts AS DATE)) AS day_ms,
+          CASE WHEN event_id % 5 > 0 THEN user_id % 6 ELSE -1 END AS part
+        FROM a WHERE op NOT IN ('x', 'd'))
+        SELECT CAST(ts AS DATE) AS account_date, user_id AS account_id, user_id % 50 AS customer_id,
+          CASE WHEN user_id % 2 = 0 THEN 'CHECKING' ELSE 'SAVINGS' END AS account_type,
+          'USD' AS currency, arg_max_null(value, (day_ms, part, event_id)) AS end_of_day_balance,
+          count(*) AS daily_updates_count FROM gaps GROUP BY ALL""",
+    "exact_money": """SELECT l_suppkey, sum(l_partkey * 8 + 1) / 8000.0 AS total
+        FROM lineitem GROUP BY l_suppkey""",
     "daily_transactions_summary": f"WITH {TRANSACTIONS} SELECT * FROM summary",
     "monthly_balances": f"""WITH {A} SELECT CAST(date_trunc('month', ts) AS DATE) AS account_month,
         user_id AS account_id, user_id % 50 AS customer_id,
@@ -261,6 +277,11 @@ ORACLES = {
           off AS kafka_offset, h.city, h.__START_AT, h.__END_AT
         FROM c JOIN h ON h.customer_id = c.account_id AND c.ts_ms >= h.__START_AT
           AND (h.__END_AT IS NULL OR c.ts_ms < h.__END_AT)""",
+    "temporal_join_walk": f"""WITH {C}, {HISTORY}
+        SELECT transaction_id, account_id, amount, ts_ms AS operation_timestamp_ms,
+          off AS kafka_offset, h.city, h.__START_AT, h.__END_AT
+        FROM c JOIN h ON h.customer_id = c.account_id AND c.ts_ms >= h.__START_AT
+          AND (h.__END_AT IS NULL OR c.ts_ms < h.__END_AT)""",
     "orphans": f"""WITH {LATEST}, {HISTORY}
         SELECT user_id AS account_id, user_id % 50 AS customer_id FROM newest n
         WHERE op <> 'd' AND NOT EXISTS (

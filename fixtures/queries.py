@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from fixtures import cdc
 from tidemark.config import LakeConfig, scratch_dir
 from tidemark.functions.envelope import parse_envelope, table_of
+from tidemark.functions.images import cast_text
+from tidemark.functions.money import exact_sum
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import changelog, facts, joins, latest, quality, scd
 from tidemark.plans.layers import silver_tables
@@ -165,6 +167,21 @@ def typed_dates(spark, sf_dir):
     return plain(loans.unionByName(customers))
 
 
+def typed_epochs(spark, sf_dir):
+    """Epoch texts of one to sixteen digits, in milliseconds and in microseconds."""
+    width = (F.col("event_id") % 16 + 1).cast("int")
+    micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("string")
+    text = F.substring(micros, F.lit(1), width)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", text.alias("text"))
+    stamp = T.TimestampType()
+    return events.select(
+        "event_id",
+        F.unix_micros(cast_text(F.col("text"), stamp)).alias("from_millis"),
+        F.unix_micros(cast_text(F.col("text"), stamp, epoch="micros")).alias("from_micros"),
+        F.unix_date(cast_text(F.col("text"), T.DateType())).alias("days"),
+    )
+
+
 # Quality
 
 
@@ -288,6 +305,13 @@ def scd2_history(spark, sf_dir):
     return plain(history(spark, sf_dir), *HISTORY_FIELDS)
 
 
+def scd2_history_hot(spark, sf_dir):
+    """The same with every customer of more than four changes taken as heavy."""
+    changes = scd.customer_dimension_changes(log(spark, sf_dir, "customers"))
+    changes = materialize(changes, "customer_changes")
+    return plain(scd.customer_history(changes, rows_per_task=4), *HISTORY_FIELDS)
+
+
 def scd2_current(spark, sf_dir):
     return plain(scd.current(history(spark, sf_dir)), *HISTORY_FIELDS)
 
@@ -304,6 +328,25 @@ def daily_account_balances(spark, sf_dir):
     return facts.daily_account_balances(log(spark, sf_dir, "accounts"))
 
 
+def closing_balance_gaps(spark, sf_dir):
+    """Closing balances of a log in which partitions and offsets are missing here and there."""
+    number = F.col("kafka_offset")
+    gaps = log(spark, sf_dir, "accounts").withColumns(
+        {
+            "kafka_partition": F.when(number % 5 > 0, F.col("kafka_partition")),
+            "operation_timestamp_ms": F.expr("operation_timestamp_ms div 86400000 * 86400000"),
+        }
+    )
+    return facts.daily_account_balances(gaps)
+
+
+def exact_money(spark, sf_dir):
+    """Sums of amounts with three and more decimals."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    amount = (F.col("l_partkey") * 8 + 1).cast("double") / F.lit(8000.0)
+    return lines.groupBy("l_suppkey").agg(exact_sum(amount).alias("total"))
+
+
 def daily_transactions_summary(spark, sf_dir):
     events = log(spark, sf_dir, "atm_transactions")
     return facts.daily_transactions(latest.latest_per_key(events, "transaction_id"))
@@ -338,7 +381,7 @@ def enrich_accounts(spark, sf_dir):
     )
 
 
-def temporal_join(spark, sf_dir):
+def temporal_join(spark, sf_dir, max_versions=joins.MAX_VERSIONS):
     moved = log(spark, sf_dir, "atm_transactions").select(
         "transaction_id", "account_id", "amount", "operation_timestamp_ms", "kafka_offset"
     )
@@ -348,9 +391,15 @@ def temporal_join(spark, sf_dir):
         on={"account_id": "customer_id"},
         at="operation_timestamp_ms",
         columns=["city", "__START_AT", "__END_AT"],
+        max_versions=max_versions,
     )
 
 
+def temporal_join_walk(spark, sf_dir):
+    """The same with most customers' histories taken as long."""
+    return temporal_join(spark, sf_dir, max_versions=2)
+
+
 def orphans(spark, sf_dir):
     return joins.orphans(
         live_accounts(spark, sf_dir),
@@ -524,6 +573,7 @@ QUERIES = {
     "parse_envelope": parsed_envelope,
     "typed_images": typed_images,
     "typed_dates": typed_dates,
+    "typed_epochs": typed_epochs,
     "valid_operations": valid_operations,
     "quarantine": quarantined,
     "split_valid": accepted,
@@ -537,14 +587,18 @@ QUERIES = {
     "field_changes": field_changes,
     "silver_tables": silver,
     "scd2_history": scd2_history,
+    "scd2_history_hot": scd2_history_hot,
     "scd2_current": scd2_current,
     "scd2_as_of": scd2_as_of,
     "scd1_branches": scd1_branches,
     "daily_account_balances": daily_account_balances,
+    "closing_balance_gaps": closing_balance_gaps,
+    "exact_money": exact_money,
     "daily_transactions_summary": daily_transactions_summary,
     "monthly_balances": monthly_balances,
     "enrich_accounts": enrich_accounts,
     "temporal_join": temporal_join,
+    "temporal_join_walk": temporal_join_walk,
     "orphans": orphans,
     "non_orphans": non_orphans,
     "vw_gold_customer_current": gold_view(

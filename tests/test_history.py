@@ -146,20 +146,31 @@ def test_as_of_and_current(spark):
     assert rows_of(scd.current(result), "city") == [("B",)]
 
 
-def test_slices_follow_the_order_and_cut_bunched_times_again(spark):
+def test_slices_follow_the_order_whatever_the_times(spark):
     rows = [(0, 0)] + [(0, 1_000_000 + i) for i in range(300)] + [(k, 5) for k in range(1, 9)]
+    rows += [(9, 10**15), (9, -(10**15)), *[(9, i % 50) for i in range(200)]]
     df = spark.createDataFrame(rows, "k INT, t BIGINT")
-    sliced, part, _ = split_hot_keys(df, ["k"], "t", rows_per_task=20)
-    assert len(part) > 2  # cut on more than one level
-    slices = part[1:]
-    sizes = sliced.filter("k = 0").groupBy(*slices).count().agg(F.max("count")).first()[0]
+    sliced, part, piled = split_hot_keys(df, ["k"], "t", rows_per_task=20)
+    assert not piled and part == ["k", "_slice"]
+    sizes = sliced.filter("_slice IS NOT NULL").groupBy(*part).count().agg(F.max("count")).first()[0]
     assert sizes <= 20
-    ordered = [tuple(r) for r in sliced.filter("k = 0").orderBy("t").select(*slices).collect()]
-    assert ordered == sorted(ordered)
-    assert sliced.filter("k > 0").select(slices[0]).distinct().collect() == [(None,)]
+    for key in (0, 9):
+        found = sliced.filter(F.col("k") == key).orderBy("t").select("t", "_slice").collect()
+        assert [r[1] for r in found] == sorted(r[1] for r in found)
+        assert len({r[1] for r in found}) > 5
+        assert len({tuple(r) for r in found}) == len({r[0] for r in found})  # one slice per time
+    assert sliced.filter("k between 1 and 8").select("_slice").distinct().collect() == [(None,)]
     assert sliced.count() == len(rows)
 
 
+def test_any_number_of_heavy_keys_stays_a_table(spark):
+    df = spark.range(3000).selectExpr("id % 1000 AS k", "id AS t")
+    sliced, part, _ = split_hot_keys(df, ["k"], "t", rows_per_task=2)
+    assert len(part) == 2 and sliced.filter("_slice IS NULL").isEmpty() and sliced.count() == 3000
+    plan = sliced._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" not in plan and "TakeOrdered" not in plan and "GlobalLimit" not in plan
+
+
 def test_no_heavy_key_leaves_the_frame_alone(spark):
     df = spark.createDataFrame([(1, 1)], "k INT, t BIGINT")
     same_df, part, piled = split_hot_keys(df, ["k"], "t")

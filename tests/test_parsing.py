@@ -47,6 +47,13 @@ def test_envelope_holds_string_maps(spark):
         ("1700000000000", T.TimestampType(), datetime(2023, 11, 14, 22, 13, 20)),
         ("2023-11-14T22:13:20Z", T.TimestampType(), datetime(2023, 11, 14, 22, 13, 20)),
         ("9999999999999999999", T.TimestampType(), None),
+        ("9223372036854775807", T.TimestampType(), None),
+        ("1000", T.TimestampType(), datetime(1970, 1, 1, 0, 0, 1)),
+        ("0", T.TimestampType(), datetime(1970, 1, 1)),
+        ("-5000", T.TimestampType(), datetime(1969, 12, 31, 23, 59, 55)),
+        ("86400000", T.TimestampType(), datetime(1970, 1, 2)),
+        ("2024", T.DateType(), date(1975, 7, 18)),
+        ("12345678901", T.DateType(), None),
         ("abc", T.DoubleType(), None),
         ("1.5", T.DoubleType(), 1.5),
         ("12", T.LongType(), 12),
@@ -224,3 +231,9 @@ def test_money_as_decimal(spark):
     log = change_log(bronze(spark, [event("accounts", "c", 5, after=GOOD)]), "accounts", schema)
     assert dict(log.dtypes)["balance"] == "decimal(18,2)"
     assert str(log.first()["balance"]) == "10.50"
+
+
+def test_epochs_in_microseconds(spark):
+    df = spark.createDataFrame([("1700000000000000",), ("5000",), ("2023-11-14T22:13:20Z",)], "v STRING")
+    typed = df.select(F.unix_micros(cast_text(F.col("v"), T.TimestampType(), epoch="micros")))
+    assert [r[0] for r in typed.collect()] == [1700000000000000, 5000, 1700000000000000]

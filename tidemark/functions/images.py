@@ -6,21 +6,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A date may be whole days and a timestamp whole milliseconds since 1970.
-EPOCH_DAYS = r"^-?[0-9]{1,6}$"
-EPOCH_MILLIS = r"^-?[0-9]{10,15}$"
+# A bare whole number is an epoch, never a year.
+WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
+# Largest epoch of each unit that a timestamp can hold, in microseconds 64 bits.
+MAX_EPOCH = {"millis": (2**63 - 1) // 1000, "micros": 2**63 - 1}
 
 
-def cast_text(value: Column, dtype: T.DataType) -> Column:
-    """Text to ``dtype``; NULL where it does not fit. Dates and timestamps may be ISO or epoch."""
+def cast_text(value: Column, dtype: T.DataType, epoch: str = "millis") -> Column:
+    """Text to ``dtype``; NULL where it does not fit.
+
+    Dates and timestamps may be ISO, or a whole number of any width: days since 1970 for a date,
+    and ``epoch`` ("millis" or "micros") since 1970 for a timestamp.
+    """
     if isinstance(dtype, T.StringType):
         return value
     if isinstance(dtype, T.DateType):
         days = F.date_from_unix_date(value.try_cast("int"))
-        return F.when(value.rlike(EPOCH_DAYS), days).otherwise(value.try_cast("date"))
+        return F.when(value.rlike(WHOLE_NUMBER), days).otherwise(value.try_cast("date"))
     if isinstance(dtype, T.TimestampType):
-        instant = F.timestamp_millis(value.try_cast("bigint"))
-        return F.when(value.rlike(EPOCH_MILLIS), instant).otherwise(value.try_cast("timestamp"))
+        number = value.try_cast("bigint")
+        fits = number.between(-MAX_EPOCH[epoch], MAX_EPOCH[epoch])
+        to_instant = F.timestamp_millis if epoch == "millis" else F.timestamp_micros
+        instant = to_instant(F.when(fits, number))
+        return F.when(value.rlike(WHOLE_NUMBER), instant).otherwise(value.try_cast("timestamp"))
     return value.try_cast(dtype)
 
 

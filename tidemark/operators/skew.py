@@ -1,7 +1,7 @@
 """Ordered per-key work that stays spread out when a few keys hold much of the table.
 
-A window over one key runs in one task. Here the rows of a heavy key are cut along their order
-into slices, the window runs per slice, and only what crosses a slice border is joined up later.
+A window over one key runs in one task. Here the rows of heavy keys are dealt out by ranges of key
+and order, the window runs per range, and only what crosses a border is joined up later.
 """
 
 from __future__ import annotations
@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tidemark.sources.tables import materialize
+
 # Rows of one key that a single task may sort.
 ROWS_PER_TASK = 2_000_000
-# No key outside the heaviest 50,000 can hold more than one row in 50,000.
-MAX_HOT_KEYS = 50_000
-# Slices are cut evenly in value, not in row count, so cut more of them than the mean asks for.
-OVERSPLIT = 8
-MAX_LEVELS = 4
+# Ranges are cut by a sample, so cut more of them than the mean asks for.
+OVERSPLIT = 4
+SLICE = "_slice"
 
 
 def _position(df: DataFrame, column: str) -> Column:
@@ -44,61 +44,41 @@ def split_hot_keys(
     """Give each heavy key's rows a slice number that grows with ``order``.
 
     Returns the frame, the columns to partition ordered windows by, and whether some key has more
-    than ``rows_per_task`` rows at one point of the order, where no cut can part them. The columns
-    are just ``keys`` when no key is heavy, else ``keys`` plus slice columns, all NULL on the rows
-    of ordinary keys and none NULL on those of heavy ones.
+    than ``rows_per_task`` rows at one point of the order, where no cut can part them. The columns are just ``keys`` when no key is heavy, else ``keys`` and a slice number,
+    NULL on the rows of ordinary keys.
 
-    Counting the keys is one aggregation over the key and order columns alone, run at once. Slices
-    that are still too big (their times were bunched) are cut again on the next level. Only a
-    speed choice hangs on the counts: any cut along the order gives the same final result. So
-    ``count_on`` may name a cheaper frame with the same key and order columns to count on.
+    Counting the keys is one aggregation over the key columns alone, run at once; only their
+    number reaches the driver. The heavy keys stay a table, however many they are, and are joined
+    on the key. Their rows are then range-partitioned by key and order, for which Spark samples
+    them, so slices follow the rows' own distribution, outliers and bunched times included. Rows
+    at the same point stay together. Sliced rows are stored, as a slice is where Spark put it.
+    Only a speed choice hangs on the counts: any cut along the order gives the same final result.
+    So ``count_on`` may name a cheaper frame with the same keys to count on.
 
     ``rows_per_task=None`` skips the count, for inputs known to hold no heavy key.
     """
-    part, piled = list(keys), False
+    part = list(keys)
     if rows_per_task is None:
-        return df, part, piled
+        return df, part, False
     position = _position(df, order)
     counted = df if count_on is None else count_on
-    for level in range(MAX_LEVELS):
-        heavy = (
-            counted.select(*part, position.alias("_pos"))
-            .groupBy(*part)
-            .agg(
-                F.count(F.lit(1)).alias("_rows"),
-                F.min("_pos").alias("_lo"),
-                F.max("_pos").alias("_hi"),
-            )
-            .filter(F.col("_rows") > rows_per_task)
-            .orderBy(F.desc("_rows"))
-            .limit(MAX_HOT_KEYS)
-            .withColumn("_cuts", F.ceil(F.col("_rows") * OVERSPLIT / rows_per_task))
-            .withColumn("_width", F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.col("_cuts")))
-            .select(*part, "_lo", "_hi", F.col("_width").cast("bigint"))
-        )
-        found = heavy.collect()  # at most MAX_HOT_KEYS short rows
-        can_cut = [row for row in found if row["_hi"] > row["_lo"]]
-        piled = piled or len(can_cut) < len(found)
-        if not can_cut:
-            return df, part, piled
-        # A literal table of at most MAX_HOT_KEYS rows: its size is bounded, so it may broadcast.
-        cuts = F.broadcast(df.sparkSession.createDataFrame(can_cut, heavy.schema))
-        name = f"_slice{level}"
-        slice_no = F.expr("(_at_pos - _lo) div _width")
-        if level:
-            slice_no = F.when(F.col(part[-1]).isNotNull(), F.coalesce(slice_no, F.lit(-1)))
-
-        def cut(rows: DataFrame) -> DataFrame:
-            return (
-                rows.join(cuts, part, "left")
-                .withColumn("_at_pos", position)
-                .withColumn(name, slice_no)
-                .drop("_lo", "_hi", "_width", "_at_pos")
-            )
-
-        df, counted = cut(df), cut(counted).filter(F.col(name).isNotNull())
-        part = [*part, name]
-    return df, part, True
+    counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = materialize(counts.filter(F.col("_rows") > rows_per_task), "heavy_keys")
+    rows = heavy.agg(F.sum("_rows")).first()[0]
+    if not rows:
+        return df, part, False
+    slices = -(-rows * OVERSPLIT // rows_per_task)
+    ordinary = df.join(heavy, part, "left_anti")
+    dealt = (
+        df.join(heavy, part, "left_semi")
+        .repartitionByRange(slices, *part, position)
+        .withColumn(SLICE, F.spark_partition_id())
+    )
+    dealt = materialize(dealt, "heavy_rows")
+    points = dealt.groupBy(*part, position.alias("_at")).count()
+    piled = not points.filter(F.col("count") > rows_per_task).isEmpty()
+    nothing = F.lit(None).cast("int")
+    return ordinary.withColumn(SLICE, nothing).unionByName(dealt), [*part, SLICE], piled
 
 
 def by_heat(
