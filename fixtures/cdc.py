@@ -15,12 +15,9 @@ TOPIC_PREFIX = "dbserver1.banking_db."
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. Writing and reading JSON costs far more than moving rows, so a table whose
-    files give fewer tasks than there are cores (a single small file) is spread over the cores;
-    a large table is read as it lies."""
+    """A test table, spread over the cores: making and parsing JSON costs far more than moving rows."""
     rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(spark.sparkContext.defaultParallelism)
 
 
 def to_records(

@@ -313,4 +313,6 @@ ORACLES = {
         GROUP BY ALL""",
     "stream_daily_balances_update": f"WITH {DAILY} SELECT * FROM daily",
     "compact_partitions": f"SELECT {BASIC}, CAST(ts AS DATE) AS event_day FROM events",
+    "compact_text_partitions": """SELECT event_id,
+        lpad(CAST(event_id % 12 AS VARCHAR), 3, '0') AS desk FROM events""",
 }

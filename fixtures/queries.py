@@ -437,6 +437,13 @@ def gold_view(view, table, build):
 # Streams. Each drains what is there, then the stored result is read back.
 
 
+def finish(query, seconds=1800):
+    """Wait for a stream to drain its input, but not for ever."""
+    if not query.awaitTermination(seconds):
+        query.stop()
+        raise TimeoutError(f"{query.name or query.id} took more than {seconds} s")
+
+
 def record_stream(spark, sf_dir, name, make):
     """Change records made row by row from a stream over a test table's files."""
     path = f"{sf_dir}/{name}.parquet"
@@ -455,7 +462,7 @@ def accounts_log_stream(spark, sf_dir):
 
 def stream_bronze(spark, sf_dir):
     lake = LakeConfig.under(scratch_dir(spark, "stream_bronze"))
-    streams.run_bronze(accounts_stream(spark, sf_dir), lake, once=True).awaitTermination()
+    finish(streams.run_bronze(accounts_stream(spark, sf_dir), lake, once=True))
     return read_bronze(spark, lake.bronze_path).select(
         "kafka_topic", "kafka_partition", "kafka_offset", "table_name"
     )
@@ -464,9 +471,9 @@ def stream_bronze(spark, sf_dir):
 def stream_change_log(spark, sf_dir):
     """Two streams in a row: records to the raw log, the raw log to the typed change log."""
     lake = LakeConfig.under(scratch_dir(spark, "stream_change_log"))
-    streams.run_bronze(accounts_stream(spark, sf_dir), lake, once=True).awaitTermination()
+    finish(streams.run_bronze(accounts_stream(spark, sf_dir), lake, once=True))
     changes = changelog.change_log(read_bronze_stream(spark, lake.bronze_path), "accounts")
-    streams.run_change_log(changes, "accounts", lake, once=True).awaitTermination()
+    finish(streams.run_change_log(changes, "accounts", lake, once=True))
     return plain(spark.read.parquet(f"{lake.silver_path}/accounts_log"), *CHANGE_FIELDS)
 
 
@@ -474,7 +481,7 @@ def stream_latest(spark, sf_dir):
     lake = LakeConfig.under(scratch_dir(spark, "stream_latest"))
     table = keyed.latest_table(spark, f"{lake.silver_path}/accounts", "account_id", 4, "month")
     changes = accounts_log_stream(spark, sf_dir)
-    table.run(changes, "silver_accounts", lake, once=True).awaitTermination()
+    finish(table.run(changes, "silver_accounts", lake, once=True))
     return plain(table.read(), *CHANGE_FIELDS)
 
 
@@ -499,16 +506,17 @@ def stream_scd2(spark, sf_dir):
     )
     for wave in (1, 0):  # together the whole table
         append(arriving.filter(F.col("kafka_offset") % 2 == wave), replay)
-        table.run(changes, "customer_history", lake, once=True).awaitTermination()
+        finish(table.run(changes, "customer_history", lake, once=True))
     return plain(table.read(), *HISTORY_FIELDS)
 
 
 def stream_daily_balances_append(spark, sf_dir):
     lake = LakeConfig.under(scratch_dir(spark, "stream_daily_append"))
     closed = streams.daily_balances_stream(accounts_log_stream(spark, sf_dir), lake.watermark)
-    streams.run_closed_days(
+    started = streams.run_closed_days(
         closed, "daily_account_balances", "account_date", lake, once=True
-    ).awaitTermination()
+    )
+    finish(started)
     stored = spark.read.parquet(f"{lake.gold_path}/daily_account_balances")
     return stored.select(
         "account_date",
@@ -525,10 +533,11 @@ def stream_daily_transactions_append(spark, sf_dir):
     changes = changelog.change_log(
         bronze_ops.to_bronze(rows, route_by="topic"), "atm_transactions"
     )
-    closed = streams.daily_transactions_stream(changes, lake.watermark)
-    streams.run_closed_days(
+    closed = streams.transaction_events_stream(changes, lake.watermark)
+    started = streams.run_closed_days(
         closed, "daily_transactions", "transaction_date", lake, once=True
-    ).awaitTermination()
+    )
+    finish(started)
     return spark.read.parquet(f"{lake.gold_path}/daily_transactions").select(
         "transaction_date",
         "account_id",
@@ -549,7 +558,7 @@ def stream_daily_balances_update(spark, sf_dir):
         "account_date",
         buckets=1,
     )
-    table.run(live, "daily_live", lake, once=True).awaitTermination()
+    finish(table.run(live, "daily_live", lake, once=True))
     return table.read().select(
         "account_date",
         *facts.ACCOUNT_DIMENSIONS,
@@ -563,10 +572,21 @@ def compacted(spark, sf_dir):
     root = scratch_dir(spark, "compact")
     rows = raw(spark, sf_dir, "accounts").withColumn("event_day", F.to_date("kafka_timestamp"))
     rows.write.partitionBy("event_day").parquet(f"{root}/small")
-    packed = compact_partitions(spark, f"{root}/small", f"{root}/packed", ["event_day"])
+    packed = compact_partitions(
+        spark, f"{root}/small", f"{root}/packed", ["event_day"], rows.schema
+    )
     return packed.select("kafka_topic", "kafka_partition", "kafka_offset", "event_day")
 
 
+def compacted_text(spark, sf_dir):
+    """The same with partition values that are text but look like numbers."""
+    root = scratch_dir(spark, "compact_text")
+    desk = F.lpad((F.col("event_id") % 12).cast("string"), 3, "0")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", desk.alias("desk"))
+    rows.write.partitionBy("desk").parquet(f"{root}/small")
+    return compact_partitions(spark, f"{root}/small", f"{root}/packed", ["desk"], rows.schema)
+
+
 QUERIES = {
     "bronze_projection": bronze_projection,
     "topic_table_name": topic_table_name,
@@ -625,4 +645,5 @@ QUERIES = {
     "stream_daily_transactions_append": stream_daily_transactions_append,
     "stream_daily_balances_update": stream_daily_balances_update,
     "compact_partitions": compacted,
+    "compact_text_partitions": compacted_text,
 }

@@ -32,8 +32,9 @@ def test_config_from_environment():
         "subscribePattern": r"dbserver1\.banking_db\..+",
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "50000",
     }
+    slow = LakeConfig.under("/base", max_offsets_per_trigger=50_000)
+    assert slow.kafka_options()["maxOffsetsPerTrigger"] == "50000"
 
 
 def test_session_builder_options():
@@ -73,11 +74,11 @@ def test_compaction_keeps_rows_and_cuts_files(spark):
     root = scratch_dir(spark, "compact")
     rows = spark.range(4000).withColumn("day", F.col("id") % 3)
     rows.repartition(16).write.partitionBy("day").parquet(f"{root}/small")
-    packed = compact_partitions(spark, f"{root}/small", f"{root}/packed", ["day"])
+    packed = compact_partitions(spark, f"{root}/small", f"{root}/packed", ["day"], rows.schema)
     assert same(packed, spark.read.parquet(f"{root}/small"))
     assert len(glob.glob(f"{root}/small/*/*.parquet")) == 48
     assert len(glob.glob(f"{root}/packed/*/*.parquet")) <= 6
-    one = compact_partitions(spark, f"{root}/small", f"{root}/one", ["day"], where="day = 1")
+    one = compact_partitions(spark, f"{root}/small", f"{root}/one", ["day"], rows.schema, "day = 1")
     assert one.count() == rows.filter("day = 1").count()
 
 

@@ -24,12 +24,18 @@ class LakeConfig:
     topic_pattern: str = r"dbserver1\.banking_db\..+"
     starting_offsets: str = "earliest"
     fail_on_data_loss: bool = False
-    max_offsets_per_trigger: int = 50_000
+    # Kafka records a micro-batch takes at most; None: all there are. 50_000 is a usual choice
+    # for small sources.
+    max_offsets_per_trigger: int | None = None
+    # Files a micro-batch takes at most from a stored table, the first one of a backfill included.
+    max_files_per_trigger: int | None = 1000
     trigger_interval: str = "30 seconds"
     keyed_interval: str = "10 minutes"
     watermark: str = "10 minutes"
     table_format: str = "parquet"
     buckets: int = 64
+    # Tasks that write a month of closed-day facts.
+    fact_writers: int = 256
 
     @classmethod
     def under(cls, base: str, **overrides) -> "LakeConfig":
@@ -50,13 +56,16 @@ class LakeConfig:
         return cls.under(base, **{field: env[var] for field, var in names.items() if var in env})
 
     def kafka_options(self) -> dict[str, str]:
-        return {
+        # Option names of the Kafka source.
+        options = {
             "kafka.bootstrap.servers": self.kafka_bootstrap_servers,
             "subscribePattern": self.topic_pattern,
             "startingOffsets": self.starting_offsets,
             "failOnDataLoss": str(self.fail_on_data_loss).lower(),
-            "maxOffsetsPerTrigger": str(self.max_offsets_per_trigger),
         }
+        if self.max_offsets_per_trigger:
+            options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
+        return options
 
 
 def session_builder(app_name: str = "tidemark", delta: bool = False) -> SparkSession.Builder:

@@ -118,16 +118,17 @@ def compact_partitions(
     source: str,
     target: str,
     partition_by: Sequence[str],
+    schema: T.StructType | str,
     where: str | None = None,
-    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """Rewrite a partitioned table's many small files into few, at a new place.
 
-    ``where`` (on partition columns) limits it, for example to closed days. The source stays as
-    it is, so readers and a failed run lose nothing; switch them over when it is done.
+    ``schema`` is the table's, partition columns included: without it Spark would guess their types
+    from folder names (``007`` as 7) and read a file of the many to find the others. ``where`` (on
+    partition columns) limits the work, for example to closed days. The source stays as it is, so
+    readers and a failed run lose nothing; switch them over when it is done.
     """
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-    rows = reader.parquet(source)
+    rows = spark.read.schema(schema).parquet(source)
     if where:
         rows = rows.filter(where)
     (
@@ -137,4 +138,4 @@ def compact_partitions(
         .partitionBy(*partition_by)
         .parquet(target)
     )
-    return spark.read.parquet(target)
+    return spark.read.schema(schema).parquet(target)

@@ -84,12 +84,11 @@ def daily_balances_stream(log: DataFrame, watermark: str = "10 minutes") -> Data
     )
 
 
-def daily_transactions_stream(log: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Daily transaction summary over a stream of transaction events.
+def transaction_events_stream(log: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """Daily sums over a stream of transaction events, each non-delete event counting.
 
-    A stream cannot take back an earlier state of a transaction, so every non-delete event
-    counts; where transactions are corrected after the fact, use the batch summary over the
-    snapshot.
+    A stream cannot take back an earlier state of a transaction; where transactions are corrected
+    after the fact, use the batch summary over the snapshot.
     """
     day = F.window("event_time", "1 day")
     return (
@@ -111,16 +110,16 @@ def daily_transactions_stream(log: DataFrame, watermark: str = "10 minutes") ->
 
 
 def run_closed_days(
-    facts: DataFrame, name: str, day: str, config: LakeConfig, once: bool = False, writers: int = 16
+    facts: DataFrame, name: str, day: str, config: LakeConfig, once: bool = False
 ) -> StreamingQuery:
     """Append each closed day's facts to a table partitioned by month.
 
     Months, because a backfill closes thousands of days at once and each partition costs files;
-    within a month the files' own statistics narrow a scan by day. ``writers`` tasks write each
-    month, where otherwise every aggregation task would add a small file to every month.
+    within a month the files' own statistics narrow a scan by day. ``fact_writers`` tasks of the
+    configuration write each month, where otherwise every aggregation task would add a small file to every month.
     """
     keep_state_on_disk(facts.sparkSession)
-    writer_no = F.pmod(F.xxhash64("account_id"), F.lit(writers))
+    writer_no = F.pmod(F.xxhash64("account_id"), F.lit(config.fact_writers))
     writer = (
         facts.withColumn("month", month_of(day))
         .repartition("month", writer_no)
