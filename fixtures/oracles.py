@@ -300,6 +300,12 @@ ORACLES = {
     "vw_gold_branch_current": f"""WITH br AS ({BRANCHES})
         SELECT *, make_timestamp(last_updated_ms * 1000) AS last_updated_at FROM br""",
     "stream_bronze": f"SELECT {BASIC}, 'accounts' AS table_name FROM events",
+    "stream_replay": f"SELECT {BASIC}, 'accounts' AS table_name FROM events",
+    "batch_replay": f"SELECT {BASIC}, 'accounts' AS table_name FROM events",
+    "grown_log": f"""SELECT {BASIC},
+        CASE WHEN event_id % 2 = 1 THEN 'r' || event_id % 3 END AS region FROM events""",
+    "enforced_schema": """SELECT c_custkey AS customer_id, c_name AS first_name,
+        CAST(NULL AS VARCHAR) AS email, c_acctbal AS score FROM customer""",
     "stream_change_log": f"WITH {A} SELECT {CHANGE} FROM a WHERE op <> 'x'",
     "stream_latest": f"WITH {LATEST} SELECT {CHANGE} FROM newest",
     "stream_scd2": f"WITH {HISTORY} SELECT * FROM h",

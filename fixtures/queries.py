@@ -16,6 +16,7 @@ from tidemark.operators import changelog, facts, joins, latest, quality, scd
 from tidemark.plans.layers import silver_tables
 from tidemark.plans.views import create_gold_views, create_schema
 from tidemark.schemas import table_schema
+from tidemark.sources.cdc import read_cdc_batch, read_cdc_stream
 from tidemark.sources.tables import (
     append,
     compact_partitions,
@@ -468,6 +469,58 @@ def stream_bronze(spark, sf_dir):
     )
 
 
+def record_files(spark, sf_dir, name):
+    """Change records stored as files, for replay."""
+    path = scratch_dir(spark, f"{name}_records")
+    records(spark, sf_dir, "accounts").repartition(8).write.parquet(path)
+    return path
+
+
+def stream_replay(spark, sf_dir):
+    """Records replayed from files into the raw log, two files to a micro-batch."""
+    lake = LakeConfig.under(scratch_dir(spark, "stream_replay"))
+    path = record_files(spark, sf_dir, "stream_replay")
+    replayed = read_cdc_stream(spark, lake, fmt="files", path=path, max_files_per_trigger=2)
+    finish(streams.run_bronze(replayed, lake, once=True))
+    return read_bronze(spark, lake.bronze_path).select(
+        "kafka_topic", "kafka_partition", "kafka_offset", "table_name"
+    )
+
+
+def batch_replay(spark, sf_dir):
+    """The same records as a bounded frame."""
+    lake = LakeConfig.under(scratch_dir(spark, "batch_replay"))
+    path = record_files(spark, sf_dir, "batch_replay")
+    rows = bronze_ops.to_bronze(read_cdc_batch(spark, lake, fmt="files", path=path))
+    return rows.select("kafka_topic", "kafka_partition", "kafka_offset", "table_name")
+
+
+def grown_log(spark, sf_dir):
+    """A raw log that gains a column half-way, read with it."""
+    path = scratch_dir(spark, "grown")
+    rows = raw(spark, sf_dir, "accounts")
+    append(rows.filter("kafka_offset % 2 = 0"), path, bronze_ops.PARTITIONS)
+    region = F.concat(F.lit("r"), (F.col("kafka_offset") % 3).cast("string"))
+    append(rows.filter("kafka_offset % 2 = 1").withColumn("region", region), path, bronze_ops.PARTITIONS)
+    grown = read_bronze(spark, path, merge_schema=True)
+    return grown.select("kafka_topic", "kafka_partition", "kafka_offset", "region")
+
+
+def enforced_schema(spark, sf_dir):
+    """Snapshots of an older form (a column short, one too many) brought to the declared columns."""
+    old = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr(
+        "c_name AS first_name", "c_custkey AS customer_id", "c_acctbal AS score"
+    )
+    declared = T.StructType(
+        [
+            T.StructField("customer_id", old.schema["customer_id"].dataType),
+            T.StructField("first_name", T.StringType()),
+            T.StructField("email", T.StringType()),
+        ]
+    )
+    return quality.enforce_schema(old, declared, evolve=True)
+
+
 def stream_change_log(spark, sf_dir):
     """Two streams in a row: records to the raw log, the raw log to the typed change log."""
     lake = LakeConfig.under(scratch_dir(spark, "stream_change_log"))
@@ -638,6 +691,10 @@ QUERIES = {
         "vw_gold_branch_current", "gold_branch_dimension", scd1_branches
     ),
     "stream_bronze": stream_bronze,
+    "stream_replay": stream_replay,
+    "batch_replay": batch_replay,
+    "grown_log": grown_log,
+    "enforced_schema": enforced_schema,
     "stream_change_log": stream_change_log,
     "stream_latest": stream_latest,
     "stream_scd2": stream_scd2,
