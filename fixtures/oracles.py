@@ -310,6 +310,7 @@ ORACLES = {
     "stream_latest": f"WITH {LATEST} SELECT {CHANGE} FROM newest",
     "stream_scd2": f"WITH {HISTORY} SELECT * FROM h",
     "stream_daily_balances_append": CLOSED_DAYS,
+    "stream_daily_balances_rebuilt": f"WITH {DAILY} SELECT * FROM daily",
     "stream_daily_transactions_append": f"""WITH {C}
         SELECT CAST(ts AS DATE) AS transaction_date, account_id, transaction_type,
           CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) AS total_transaction_amount,

@@ -579,6 +579,17 @@ def stream_daily_balances_append(spark, sf_dir):
     )
 
 
+def stream_daily_balances_rebuilt(spark, sf_dir):
+    """Closed days made whole from the stored change log, whatever came late."""
+    lake = LakeConfig.under(scratch_dir(spark, "stream_daily_rebuilt"))
+    finish(streams.run_change_log(accounts_log_stream(spark, sf_dir), "accounts", lake, once=True))
+    stored = spark.read.parquet(f"{lake.silver_path}/accounts_log")
+    path = streams.rebuild_closed_days(
+        facts.daily_account_balances(stored), "daily_account_balances", "account_date", lake
+    )
+    return spark.read.parquet(path).drop("month")
+
+
 def stream_daily_transactions_append(spark, sf_dir):
     """Closed days of all transaction events; corrections of a transaction count as events."""
     lake = LakeConfig.under(scratch_dir(spark, "stream_daily_transactions"))
@@ -699,6 +710,7 @@ QUERIES = {
     "stream_latest": stream_latest,
     "stream_scd2": stream_scd2,
     "stream_daily_balances_append": stream_daily_balances_append,
+    "stream_daily_balances_rebuilt": stream_daily_balances_rebuilt,
     "stream_daily_transactions_append": stream_daily_transactions_append,
     "stream_daily_balances_update": stream_daily_balances_update,
     "compact_partitions": compacted,

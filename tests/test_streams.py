@@ -197,6 +197,7 @@ def test_append_mode_drops_events_past_the_watermark_and_batch_has_them(spark, l
     facts = queries.daily_balances_stream(log, "10 minutes")
     query = queries.run_closed_days(facts, "daily", "account_date", lake, once=True)
     query.awaitTermination(120)
+    assert queries.rows_dropped_late(query) == 1
     closed = spark.read.parquet(f"{lake.gold_path}/daily")
     assert rows_of(closed, "end_of_day_balance", "daily_updates_count") == [(2.0, 2), (6.0, 2)]
     static = spark.read.schema(RECORD).parquet(f"{lake.bronze_path}_inbox/*")
@@ -206,6 +207,10 @@ def test_append_mode_drops_events_past_the_watermark_and_batch_has_them(spark, l
         (5.0, 2),
         (6.0, 2),
     ]
+    days = batch.filter("account_date < date'1970-01-03'")
+    whole = spark.read.parquet(queries.rebuild_closed_days(days, "daily", "account_date", lake))
+    assert rows_of(whole, "end_of_day_balance", "daily_updates_count") == [(2.0, 3), (6.0, 2)]
+    assert whole.filter("month <> '1970-01'").isEmpty()
 
 
 def test_update_mode_keeps_open_days_current(spark, lake):

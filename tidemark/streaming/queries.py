@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -15,6 +17,7 @@ from tidemark.operators.facts import (
     closing_balance,
     counted_transactions,
 )
+from tidemark.sources.tables import spread_for_write
 
 
 def with_trigger(writer: DataStreamWriter, interval: str, once: bool = False) -> DataStreamWriter:
@@ -59,6 +62,30 @@ def run_change_log(
     return with_trigger(writer, config.trigger_interval, once).start(f"{config.silver_path}/{table}_log")
 
 
+def rows_dropped_late(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed their day, as the query's recent progress has
+    it. Spark counts them after its partial aggregation. If there are any, the closed days
+    are incomplete; ``rebuild_closed_days`` makes them whole."""
+    return sum(
+        operator.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for operator in progress["stateOperators"]
+    )
+
+
+def rebuild_closed_days(facts: DataFrame, name: str, day: str, config: LakeConfig) -> str:
+    """Write facts computed from the whole stored log to a new place and return it.
+
+    ``facts`` is the batch form of what ``run_closed_days`` writes, late events included, limited to
+    the days wanted. The streamed table stays as it is (its sink keeps a log of its own files), so
+    readers can switch over when the job is done.
+    """
+    path = f"{config.gold_path}/{name}_rebuilt-{uuid.uuid4().hex[:12]}"
+    months = facts.withColumn("month", month_of(day))
+    spread_for_write(months, ["month"]).write.format(config.table_format).partitionBy("month").save(path)
+    return path
+
+
 def month_of(day: str) -> Column:
     return F.date_format(day, "yyyy-MM")
 
