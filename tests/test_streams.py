@@ -139,8 +139,8 @@ def test_history_of_a_piece_whose_keys_are_all_deleted(spark, lake):
     assert table.read().isEmpty()
 
 
-def test_many_touched_pieces_are_read_by_join(spark, lake, monkeypatch):
-    monkeypatch.setattr(keyed, "MAX_LISTED_PIECES", 1)
+def test_many_touched_pieces_are_worked_out_part_by_part(spark, lake, monkeypatch):
+    monkeypatch.setattr(keyed, "LISTED_PIECES", 1)
     batches, rows = random_changes(spark, 8, n=60)
     table = keyed.history_table(
         spark, f"{lake.gold_path}/h", ["k"], "seq", ["city"], "op = 'd'", ["off"], buckets=2
@@ -228,6 +228,17 @@ def test_update_mode_keeps_open_days_current(spark, lake):
     ]
 
 
+def test_a_new_checkpoint_on_an_old_log_is_refused(spark, lake):
+    stream = account_files(spark, f"{lake.bronze_path}_inbox", [[change_at(5, 1.0)]])
+    log = change_log(to_bronze(stream, "topic"), "accounts")
+    table = keyed.latest_table(spark, f"{lake.silver_path}/accounts", "account_id", buckets=2)
+    table.run(log, "one", lake, once=True).awaitTermination(120)
+    table.run(log, "one", lake, once=True).awaitTermination(120)
+    assert table.read().count() == 1
+    with pytest.raises(ValueError, match="does not know"):
+        table.run(log, "two", lake, once=True)
+
+
 def test_latest_table_runs_as_a_stream(spark, lake):
     batches = [[change_at(5, 1.0), change_at(3, 0.0, 2)], [change_at(4, 9.0), change_at(40, 7.0, 2)]]
     stream = account_files(spark, f"{lake.bronze_path}_inbox", batches)
