@@ -52,7 +52,8 @@ def approximations(distinct: DataFrame, bits: int, block: int) -> DataFrame:
     """The approximation file: each vector's cells on a grid of ``2 ** bits`` per component.
 
     All components of vectors of one length share a grid: ``width`` whole numbers per cell. Beside
-    ``first``, ``dim``, ``width`` and ``approx`` (one byte a component) there is the ``block``.
+    ``first``, ``dim``, ``width``, ``middle`` (the cell that is numbered 0) and ``approx`` (one byte
+    a component, so 7 ``bits`` at most) there is the ``block``.
     """
     sized = distinct.select("first", "cells", F.size("cells").alias("dim"))
     low = F.min(F.array_min("cells")).cast("double")
@@ -65,10 +66,12 @@ def approximations(distinct: DataFrame, bits: int, block: int) -> DataFrame:
     )
     gridded = sized.join(materialize(grid, "grid"), "dim")
     base = _floor_div(F.col("low"), F.col("width"))
-    approx = F.transform("cells", lambda x: (_floor_div(x, F.col("width")) - base).cast("tinyint"))
+    # numbered from the middle, to fit a byte
+    middle = base + 2 ** (bits - 1)
+    approx = F.transform("cells", lambda x: (_floor_div(x, F.col("width")) - middle).cast("tinyint"))
     number = F.pmod(F.xxhash64("first"), "blocks")
     return gridded.select(
-        "first", "dim", "width", base.alias("base"), number.alias("block"), approx.alias("approx")
+        "first", "dim", "width", middle.alias("middle"), number.alias("block"), approx.alias("approx")
     )
 
 
@@ -89,11 +92,11 @@ def _survivors(pairs: DataFrame, k: int) -> DataFrame:
                 yield bounds(batch.slice(row, 1))
 
     def bounds(row: pa.RecordBatch) -> pa.RecordBatch:
-        dim, width, base = (row.column(name)[0].as_py() for name in ("dim", "width", "base"))
+        dim, width, middle = (row.column(name)[0].as_py() for name in ("dim", "width", "middle"))
         queries, members = row.column("queries").flatten(), row.column("members").flatten()
         asked = _matrix(queries.field("cells"), len(queries), dim).astype(np.float64)
         cells = _matrix(members.field("approx"), len(members), dim)
-        firsts = (cells.astype(np.float64) + (base or 0)) * width
+        firsts = (cells.astype(np.float64) + (middle or 0)) * width
         least = asked @ firsts.T
         # a cell's last number is a better choice where the query is positive, else a worse one
         over = (width - 1) * np.maximum(asked, 0).sum(axis=1)
@@ -128,7 +131,7 @@ def top_k(
     queries: Column,
     k: int = 20,
     scale: int = 64,
-    bits: int = 6,
+    bits: int = 7,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     block: int = BLOCK,
@@ -164,12 +167,12 @@ def top_k(
     asked = dealt.groupBy("dim", "group").agg(F.collect_list(F.struct("vec_id", "cells")).alias("queries"))
     asked = materialize(asked, "queries")
 
-    blocks = file.groupBy("dim", "width", "base", "block").agg(
+    blocks = file.groupBy("dim", "width", "middle", "block").agg(
         F.collect_list(F.struct("first", "approx")).alias("members")
     )
     blocks = blocks.join(groups, "dim")
     blocks = blocks.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
-    pairs = blocks.join(asked, ["dim", "group"]).select("dim", "width", "base", "members", "queries")
+    pairs = blocks.join(asked, ["dim", "group"]).select("dim", "width", "middle", "members", "queries")
     found = materialize(_survivors(pairs, k), "survivors")
 
     # the lowest bound that k + 1 vectors reach for sure
