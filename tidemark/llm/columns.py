@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,3 +17,17 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def text_slices(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+    """A batch's texts in slices of about ``most`` bytes (one text at least), each with the position
+    of its first, so that a task works on little at a time however long the texts are."""
+    sizes = pa.compute.binary_length(texts).to_pylist()
+    start = total = 0
+    for stop, size in enumerate(sizes):
+        if total and total + (size or 0) > most:
+            yield start, texts.slice(start, stop - start).to_pylist()
+            start, total = stop, 0
+        total += size or 0
+    if start < len(sizes):
+        yield start, texts.slice(start).to_pylist()

@@ -6,10 +6,11 @@ import re
 from collections.abc import Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.columns import pick, text_or_empty
+from tidemark.llm.columns import pick, text_or_empty, text_slices
 from tidemark.sources.tables import materialize
 
 #: Words of benchmark items in one automaton, which every Python worker holds (about 130 MB).
@@ -23,6 +24,14 @@ _TO_WORDS = bytes(
     b if _WORD.fullmatch(bytes([b])) is not None else 32 for b in bytes(range(256)).lower()
 )
 
+FOUND_ARROW = pa.struct(
+    [
+        ("n_words", pa.int64()),
+        ("spans", pa.list_(pa.list_(pa.int32()))),
+        ("items", pa.list_(pa.string())),
+        ("longest", pa.int32()),
+    ]
+)
 FOUND = "n_words long, spans array<array<int>>, items array<string>, longest int"
 
 
@@ -216,24 +225,25 @@ def _finder(rows, window: int):
     pieces = [piece for item, text in rows for piece in _pieces(item, text, window)]
     held: list[SuffixAutomaton] = []
 
-    def find(texts: pd.Series, before: pd.DataFrame) -> pd.DataFrame:
+    def find(texts: pa.Array, before: pa.Array) -> pa.Array:
         if not held:
             held.append(SuffixAutomaton(pieces, window))
         out = []
-        for text, old_spans, old_items, old_longest in zip(
-            texts, before["spans"], before["items"], before["longest"]
-        ):
-            words = words_of(text or "")
-            spans, ids, longest = held[0].matches(words)
-            ids.discard(None)
-            if old_spans is not None:
-                spans = _merge([*spans, *(list(map(int, s)) for s in old_spans)])
-                ids.update(old_items)
-                longest = max(longest, int(old_longest))
-            out.append((len(words), spans, sorted(ids), longest))
-        return pd.DataFrame(out, columns=["n_words", "spans", "items", "longest"])
-
-    return F.pandas_udf(find, FOUND).asNondeterministic()  # evaluated once, not once per use
+        for start, part in text_slices(texts):
+            for text, old in zip(part, before.slice(start, len(part)).to_pylist()):
+                words = words_of(text or "")
+                spans, ids, longest = held[0].matches(words)
+                ids.discard(None)
+                if old is not None:
+                    spans = _merge([*spans, *old["spans"]])
+                    ids.update(old["items"])
+                    longest = max(longest, old["longest"])
+                out.append(
+                    {"n_words": len(words), "spans": spans, "items": sorted(ids), "longest": longest}
+                )
+        return pa.array(out, FOUND_ARROW)
+
+    return F.arrow_udf(find, FOUND).asNondeterministic()  # evaluated once, not once per use
 
 
 def n_hit(found_col: str = "found") -> Column:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.columns import text_or_empty
+from tidemark.llm.columns import text_or_empty, text_slices
 from tidemark.sources.tables import materialize
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -71,10 +70,11 @@ def fit_text_model(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(k * BUCKETS, np.int64)
         for batch in batches:
-            for part in _slices(batch):
-                hashed, sizes = _trigrams(part.column(0).to_pylist())
-                codes = np.array([code[x] for x in part.column(1).to_pylist()], np.int64)
-                counts += np.bincount(hashed + np.repeat(codes, sizes) * BUCKETS, minlength=k * BUCKETS)
+            codes = np.array([code[x] for x in batch.column(1).to_pylist()], np.int64)
+            for start, texts in text_slices(batch.column(0)):
+                hashed, sizes = _trigrams(texts)
+                own = np.repeat(codes[start : start + len(texts)], sizes)
+                counts += np.bincount(hashed + own * BUCKETS, minlength=k * BUCKETS)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["bucket", "n"])
 
@@ -90,20 +90,15 @@ def fit_text_model(
     return np.log((counts + weight * shared) / (counts.sum(axis=1, keepdims=True) + weight)).T
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
-    for start in range(0, batch.num_rows, rows):
-        yield batch.slice(start, rows)
-
-
 def text_evidence(model: np.ndarray, text_col: str) -> Column:
     """Log likelihoods of a text under each language and, last, under none."""
     k = model.shape[1]
     table = np.ascontiguousarray(model.T.astype(np.float32))
 
-    def score(texts: pd.Series) -> pd.Series:
+    def score(texts: pa.Array) -> pa.Array:
         out = np.zeros((len(texts), k + 1))
-        for start in range(0, len(texts), 256):
-            hashed, sizes = _trigrams(texts.iloc[start : start + 256].tolist())
+        for start, part in text_slices(texts):
+            hashed, sizes = _trigrams(part)
             some = np.flatnonzero(sizes)
             rows = start + some
             firsts = (np.cumsum(sizes) - sizes)[some]
@@ -113,9 +108,9 @@ def text_evidence(model: np.ndarray, text_col: str) -> Column:
                 out[rows, language] = sums / sizes[some] * used
             out[rows, k] = LOG_NO_LANGUAGE * used
             out[start + np.flatnonzero(sizes == 0), k] = NO_LETTERS
-        return pd.Series(list(out))
+        return pa.FixedSizeListArray.from_arrays(out.ravel(), k + 1).cast(pa.list_(pa.float64()))
 
-    return F.pandas_udf(score, "array<double>").asNondeterministic()(text_or_empty(text_col))
+    return F.arrow_udf(score, "array<double>").asNondeterministic()(text_or_empty(text_col))
 
 
 def primary_language(tag: Column) -> Column:

@@ -6,12 +6,11 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.columns import pick, text_or_empty
+from tidemark.llm.columns import pick, text_or_empty, text_slices
 from tidemark.llm.components import connected_components
 from tidemark.llm.groups import in_parts, link_members, spanning_links
 from tidemark.sources.tables import materialize
@@ -110,11 +109,11 @@ def _found(docs: DataFrame, min_words: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                yield rows(batch.slice(start, 64))
+            for start, texts in text_slices(batch.column(2)):
+                yield rows(batch.slice(start, len(texts)), texts)
 
-    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [words_only(t) for t in batch.column(2).to_pylist()]
+    def rows(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
+        texts = [words_only(t) for t in texts]
         n, hashes, prints, sizes = line_prints(b"\n".join(texts))
         lines = np.array([t.count(b"\n") + 1 for t in texts])
         doc = np.repeat(np.arange(len(texts)), lines)
@@ -336,7 +335,7 @@ def with_removed(
 def _without(text: str | None, removed) -> str | None:
     if text is None or removed is None:
         return text
-    gone = set(map(int, removed))
+    gone = set(removed)
     return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone)
 
 
@@ -347,8 +346,13 @@ def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     removed = repeated_lines(documents, id_col=id_col, text_col=text_col, **options)
     rows = with_removed(documents, removed, id_col, text_col)
-    cut = F.pandas_udf(
-        lambda texts, gone: pd.Series([_without(t, g) for t, g in zip(texts, gone)], dtype=object),
-        "string",
-    )
+
+    def cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
+        parts = []
+        for start, part in text_slices(texts):
+            numbers = gone.slice(start, len(part)).to_pylist()
+            parts.append(pa.array(map(_without, part, numbers), pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+    cut = F.arrow_udf(cut, "string")
     return rows.withColumn(text_col, cut(text_col, "__removed")).drop("__removed")

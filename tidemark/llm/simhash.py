@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.columns import pick, text_or_empty
+from tidemark.llm.columns import pick, text_or_empty, text_slices
 from tidemark.llm.components import connected_components
 from tidemark.llm.groups import link_members
 from tidemark.sources.tables import materialize
@@ -18,7 +20,7 @@ BITS = 64
 GROUP = 2048
 
 
-def fingerprints(texts: pd.Series, shingle: int) -> np.ndarray:
+def fingerprints(texts: Sequence[str], shingle: int) -> np.ndarray:
     """64-bit SimHash of each text, as signed integers.
 
     Texts are lower-cased in A-Z and cut into words at ASCII white space. The features are the runs of
@@ -132,7 +134,11 @@ def _row_key(id_col: str, text_col: str):
 
 
 def _grouped(docs: DataFrame, shingle: int, max_distance: int, group: int = GROUP) -> DataFrame:
-    as_fp = F.pandas_udf(lambda s: pd.Series(fingerprints(s, shingle)), "long")
+    def prints_of(texts: pa.Array) -> pa.Array:
+        parts = [fingerprints(part, shingle) for _, part in text_slices(texts)]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+
+    as_fp = F.arrow_udf(prints_of, "long")
     prints = docs.select(
         "doc_id",
         _row_key("doc_id", "text").alias("row_key"),

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.columns import pick, text_or_empty
+from tidemark.llm.columns import pick, text_or_empty, text_slices
 from tidemark.llm.lines import document_key
 from tidemark.sources.tables import materialize
 
@@ -22,7 +22,7 @@ GRAM = 64
 #: Distinct contexts of one gram that a task puts in suffix order together, and bytes at once.
 CONTEXTS, CHUNK = 4096, 2_000_000
 #: Windows of a very long text that are looked at together.
-SEGMENT = 2_000_000
+SEGMENT = 1_000_000
 
 _BYTE_HASH = np.random.default_rng(64).integers(0, 2**64, 256, np.uint64)
 
@@ -99,25 +99,29 @@ def _runs(docs: DataFrame, window: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
-            for data, rows, offsets, starts, ends in _buffers(texts, window):
-                at, n, gram = runs_of_windows(np.frombuffer(data, np.uint8), starts, ends, window)
-                part = np.searchsorted(starts, at, side="right") - 1
-                stops = (at + n + window - 1).tolist()
-                digest = xxhash.xxh3_64_intdigest
-                context = [digest(data[a:b]) for a, b in zip(at.tolist(), stops)]
-                row = pa.array(rows[part])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(row),
-                        batch.column(1).take(row),
-                        pa.array(at - starts[part] + offsets[part]),
-                        pa.array(n.astype(np.int32)),
-                        pa.array(gram.view(np.int64)),
-                        pa.array(np.array(context, np.uint64).view(np.int64)),
-                    ],
-                    ["doc_id", "doc", "start", "n", "gram", "context"],
-                )
+            for start, part in text_slices(batch.column(2)):
+                texts = [t.encode("utf-8", "surrogatepass") for t in part]
+                yield from runs(batch.slice(start, len(part)), texts)
+
+    def runs(batch: pa.RecordBatch, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        for data, rows, offsets, starts, ends in _buffers(texts, window):
+            at, n, gram = runs_of_windows(np.frombuffer(data, np.uint8), starts, ends, window)
+            part = np.searchsorted(starts, at, side="right") - 1
+            stops = (at + n + window - 1).tolist()
+            digest = xxhash.xxh3_64_intdigest
+            context = [digest(data[a:b]) for a, b in zip(at.tolist(), stops)]
+            row = pa.array(rows[part])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(row),
+                    batch.column(1).take(row),
+                    pa.array(at - starts[part] + offsets[part]),
+                    pa.array(n.astype(np.int32)),
+                    pa.array(gram.view(np.int64)),
+                    pa.array(np.array(context, np.uint64).view(np.int64)),
+                ],
+                ["doc_id", "doc", "start", "n", "gram", "context"],
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, doc long, start long, n int, gram long, context long"

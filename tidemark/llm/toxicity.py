@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.columns import pick, text_or_empty
+from tidemark.llm.columns import pick, text_or_empty, text_slices
 from tidemark.llm.fitting import fit_logistic, held_out, labelled_sample
 from tidemark.sources.tables import materialize
 
@@ -67,8 +67,7 @@ def fit_letters(documents: DataFrame, text_col: str = "text") -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(SIZE**3, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                texts = batch.column(0).slice(start, 500).to_pylist()
+            for _, texts in text_slices(batch.column(0)):
                 c = codes("  " + "  ".join(texts).lower() + "  ")
                 grams = (c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:]
                 counts += np.bincount(grams, minlength=SIZE**3)
@@ -329,9 +328,9 @@ def fit(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                features, sizes = word_features(part.column(2).to_pylist())
+            for start, texts in text_slices(batch.column(2)):
+                part = batch.slice(start, len(texts))
+                features, sizes = word_features(texts)
                 kind = part.column(0).to_numpy() * 2 + part.column(1).to_numpy()
                 for k in np.unique(kind):
                     own = np.flatnonzero(kind == k)
@@ -380,13 +379,13 @@ def fit(
 def _restored(letters: np.ndarray):
     held: list[Restorer] = []
 
-    def run(texts: pd.Series) -> pd.Series:
+    def run(texts: pa.Array) -> pa.Array:
         if not held:
             held.append(Restorer(letters))
-        parts = [held[0](texts.iloc[i : i + 256].tolist()) for i in range(0, len(texts), 256)]
-        return pd.Series([t for part in parts for t in part], dtype=object)
+        parts = [pa.array(held[0](part), pa.string()) for _, part in text_slices(texts)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
-    return F.pandas_udf(run, "string")
+    return F.arrow_udf(run, "string")
 
 
 def restored_texts(documents: DataFrame, letters: np.ndarray, text_col: str = "text") -> DataFrame:
@@ -402,13 +401,12 @@ def score(documents: DataFrame, model: ToxicityModel, text_col: str = "text") ->
     input column ``score`` is replaced."""
     held: list[Restorer] = []
 
-    def run(texts: pd.Series) -> pd.Series:
+    def run(texts: pa.Array) -> pa.Array:
         if not held:
             held.append(Restorer(model.letters))
         out = np.zeros(len(texts))
-        for start in range(0, len(texts), 256):
-            part = held[0](texts.iloc[start : start + 256].tolist())
-            out[start : start + len(part)] = model.probability(part)
-        return pd.Series(out)
+        for start, part in text_slices(texts):
+            out[start : start + len(part)] = model.probability(held[0](part))
+        return pa.array(out)
 
-    return documents.withColumn("score", F.pandas_udf(run, "double")(text_col))
+    return documents.withColumn("score", F.arrow_udf(run, "double")(text_col))
