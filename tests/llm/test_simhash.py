@@ -49,7 +49,7 @@ def test_words_hash_like_spark(spark):
     rows = spark.createDataFrame([("one two three",), ("ä",)], "text string")
     found = rows.select("text", F.xxhash64("text").alias("h")).collect()
     for row in found:
-        assert int(simhash.fingerprints(rows.toPandas().text, 3)[found.index(row)]) == row.h
+        assert int(simhash.fingerprints([row.text], 3)[0]) == row.h
 
 
 def test_every_near_pair_shares_a_mask():
