@@ -31,3 +31,5 @@ def text_slices(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, l
         total += size or 0
     if start < len(sizes):
         yield start, texts.slice(start).to_pylist()
+    # Python workers outlive their tasks: what earlier batches have freed goes back to the system
+    pa.default_memory_pool().release_unused()

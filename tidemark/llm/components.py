@@ -23,20 +23,20 @@ def connected_components(links: DataFrame) -> DataFrame:
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     # greatest and least skip nulls, which makes a half-null link a link to itself
     edges = materialize(ordered.where("a <> b").distinct(), "links")
-    state = _state(edges)
-    while state[0]:
+    while not _settled(edges):
         edges = materialize(_small_star(_large_star(edges)), "links")
-        before, state = state, _state(edges)
-        if state == before:
-            break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select("b", "b").distinct()
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    digest = F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))
-    return tuple(edges.agg(F.count("*"), digest).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether all links lead from a node to the middle of its star: no node has two links to a
+    smaller one, or both one to a smaller and one from a larger node."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"))
+    ends = ends.union(edges.select("b", F.lit(0)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return nodes.where("up > 1 or (up = 1 and least = 0)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     smallest = around.groupBy("a").agg(F.min("b").alias("m"))
     smallest = materialize(smallest.select("a", F.least("a", "m").alias("m")), "smallest")
     linked = around.where("b > a").join(smallest, "a")
-    return materialize(linked.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "star")
+    return materialize(linked.select(F.col("b").alias("a"), F.col("m").alias("b")), "star")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
