@@ -20,6 +20,7 @@ def spanning_links(
     Walks breadth-first: each position is compared once with those not reached yet, so a dense
     group costs about one comparison per member and yields one link per member reached.
     ``confirm(position, others)`` may refuse near pairs; it returns a boolean per other.
+    ``prints`` are 64-bit fingerprints that differ in bits, or rows of bytes that differ in bytes.
     """
     links: list[tuple[int, int]] = []
     waiting = np.arange(len(prints))
@@ -27,7 +28,10 @@ def spanning_links(
         frontier, waiting = [int(waiting[0])], waiting[1:]
         while frontier and waiting.size:
             at = frontier.pop()
-            near = np.bitwise_count(prints[waiting] ^ prints[at]) <= radius
+            if prints.ndim == 2:
+                near = (prints[waiting] != prints[at]).sum(axis=1) <= radius
+            else:
+                near = np.bitwise_count(prints[waiting] ^ prints[at]) <= radius
             if confirm is not None and near.any():
                 near[near] = confirm(at, waiting[near])
             found = waiting[near]

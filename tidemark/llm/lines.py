@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +20,13 @@ BITS = 64
 #: What a task compares at once, at most: fingerprints, or lines and characters of lines. Plan only.
 PRINTS, LINES, CHARS = 2048, 32_768, 16_000_000
 
+#: Bytes of a line's sketch, each the least of one hash of its 5-grams; lines meet that agree in one
+#: band of four bytes, and are compared if at least so many bytes agree.
+SKETCH, BAND, AGREEING = 64, 4, 16
+#: Bytes whose 5-grams are hashed at once. Plan only.
+SKETCHED = 200_000
+_SEEDS = np.random.default_rng(5).integers(1, 2**31, SKETCH).astype(np.uint32) * np.uint32(2) + np.uint32(1)
+
 _TO_WORDS = bytes(b if b >= 128 or b == 10 or bytes([b]).isalnum() else 32 for b in range(256))
 
 
@@ -104,36 +112,86 @@ def line_prints(text: bytes) -> tuple[np.ndarray, ...]:
     return n, hashes.view(np.int64), prints, sizes
 
 
-def _found(docs: DataFrame, min_words: int) -> DataFrame:
-    """Every line of at least ``min_words`` words: its place, hash, SimHash and length."""
+def line_sketches(text: bytes, wanted: np.ndarray) -> np.ndarray:
+    """MinHash sketches, a row of ``SKETCH`` bytes each, of the ``wanted`` lines (positions) of a text
+    as ``line_prints`` takes it, over the 5-grams of a line's bytes with one blank between words.
+
+    Two sketches agree in about the share of 5-grams that the lines have in common.
+    """
+    out = np.zeros((len(wanted), SKETCH), np.uint8)
+    data = np.frombuffer(b"\n" + text + b"\n", np.uint8)
+    apart = (data == 32) | (data == 10)
+    # of a run of blanks the first stays, none beside a line end
+    keep = ~((data == 32) & np.concatenate([[True], apart[:-1]]))
+    data = data[keep]
+    keep = ~((data == 32) & np.concatenate([data[1:] == 10, [True]]))
+    data = data[keep]
+    ends = np.flatnonzero(data == 10)
+    starts, stops = ends[:-1][wanted] + 1, ends[1:][wanted]
+    data = np.concatenate([data, np.full(8, 10, np.uint8)])
+    eights = np.lib.stride_tricks.as_strided(data[:8].view("<u8"), (len(data) - 7,), (1,))
+    stops = np.maximum(stops - 4, starts + 1)  # a shorter line has one gram
+    cuts = np.cumsum(stops - starts) // SKETCHED
+    for cut in np.unique(cuts):
+        own = np.flatnonzero(cuts == cut)
+        first, last = int(starts[own[0]]), int(stops[own[-1]])
+        grams = _mixed(eights[first:last] & np.uint64((1 << 40) - 1))
+        grams = np.append((grams >> np.uint64(32)).astype(np.uint32), np.uint32(0))
+        places = np.column_stack([starts[own], stops[own]]).ravel() - first
+        for i, seed in enumerate(_SEEDS):
+            least = np.minimum.reduceat(grams * seed, places)[::2]
+            out[own, i] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
+    return out
+
+
+def _found(docs: DataFrame, min_words: int, sketched: bool, short: bool) -> DataFrame:
+    """Every line of at least ``min_words`` words: its place, hash, SimHash and length, and its sketch
+    if asked for. With ``short``, the other lines too that are not blank, with a hash alone."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in text_slices(batch.column(2)):
                 yield rows(batch.slice(start, len(texts)), texts)
 
-    def rows(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
-        texts = [words_only(t) for t in texts]
-        n, hashes, prints, sizes = line_prints(b"\n".join(texts))
+    def rows(batch: pa.RecordBatch, raw: list[str]) -> pa.RecordBatch:
+        texts = [words_only(t) for t in raw]
+        joined = b"\n".join(texts)
+        n, hashes, prints, sizes = line_prints(joined)
         lines = np.array([t.count(b"\n") + 1 for t in texts])
         doc = np.repeat(np.arange(len(texts)), lines)
         number = np.arange(len(doc)) - np.repeat(np.cumsum(lines) - lines, lines)
-        kept = np.flatnonzero(n >= min_words)
-        where = pa.array(doc[kept])
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(where),
-                batch.column(1).take(where),
-                pa.array(number[kept].astype(np.int32)),
-                pa.array(hashes[kept]),
-                pa.array(prints[kept]),
-                pa.array(sizes[kept].astype(np.int32)),
-            ],
-            ["doc_id", "doc", "line_no", "line", "fp", "size"],
-        )
-
+        long = n >= min_words
+        taken = long | (n > 0) if short else long
+        if short:  # lines of marks alone are compared as they are
+            split: dict[int, list[str]] = {}
+            for i in np.flatnonzero(n == 0):
+                at = int(doc[i])
+                line = split.setdefault(at, raw[at].split("\n"))[number[i]].strip()
+                if line:
+                    marks = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
+                    hashes[i] = np.uint64(marks).astype(np.int64)
+                    taken[i] = True
+        kept = np.flatnonzero(taken)
+        where, alone = pa.array(doc[kept]), ~long[kept]
+        columns = [
+            batch.column(0).take(where),
+            batch.column(1).take(where),
+            pa.array(number[kept].astype(np.int32)),
+            pa.array(hashes[kept]),
+            pa.array(prints[kept], mask=alone),
+            pa.array(sizes[kept].astype(np.int32)),
+        ]
+        if sketched:
+            sketches = np.zeros((len(kept), SKETCH), np.uint8)
+            sketches[~alone] = line_sketches(joined, np.flatnonzero(long))
+            sketches = [None if a else x.tobytes() for a, x in zip(alone.tolist(), sketches)]
+            columns.append(pa.array(sketches, pa.binary()))
+        return pa.RecordBatch.from_arrays(columns, names[: len(columns)])
+
+    names = ["doc_id", "doc", "line_no", "line", "fp", "size", "sketch"]
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, doc long, line_no int, line long, fp long, size int"
+    schema += ", sketch binary" if sketched else ""
     keyed = docs.select("doc_id", document_key("doc_id", "text"), text_or_empty("text"))
     return keyed.mapInArrow(scan, schema)
 
@@ -217,8 +275,46 @@ def _near_prints(prints: DataFrame, radius: int, size: int) -> DataFrame:
     return twos.union(link_members(groups.agg(F.collect_list("fp").alias("members")), radius))
 
 
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
+
+
+def _near_sketches(sketches: DataFrame, size: int) -> DataFrame:
+    """Links ``(a, b)`` between lines that share a band of their sketches and agree in ``AGREEING``
+    bytes, enough to connect all that are connected so. ``sketches`` is ``(line, sketch)``."""
+    bands = [
+        F.xxhash64(F.lit(i), F.substring("sketch", i * BAND + 1, BAND)) for i in range(SKETCH // BAND)
+    ]
+    placed = sketches.select("line", F.explode(F.array(*bands)).alias("key"))
+    shared = placed.groupBy("key").agg(F.count("*").alias("n"))
+    shared = materialize(shared.where("n > 1"), "shared")
+    members = materialize(placed.join(shared, "key"), "members")
+    # sketches only go to lines that meet another
+    members = materialize(members.join(sketches, "line"), "sketched")
+    parts = F.ceil(F.col("n") * 2 / size)
+    groups = in_parts(members.withColumn("parts", parts), "line").groupBy("key", "part")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for row in range(batch.num_rows):
+                members = batch.column(0).slice(row, 1).flatten()
+                ids = members.field("line").to_pylist()
+                for a, b in spanning_links(_sketches(members.field("sketch")), SKETCH - AGREEING):
+                    left.append(ids[a])
+                    right.append(ids[b])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"]
+            )
+
+    groups = groups.agg(F.collect_list(F.struct("line", "sketch")).alias("members"))
+    return groups.select("members").mapInArrow(walk, "a long, b long")
+
+
 def _verified(groups: DataFrame, radius: int, least: float) -> DataFrame:
-    """Spanning links ``(a, b)`` between the ids of similar lines in every row's ``members``."""
+    """Spanning links ``(a, b)`` between the ids of similar lines in every row's ``members``.
+
+    Where members have sketches these decide which lines are compared, else SimHashes do."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,12 +323,16 @@ def _verified(groups: DataFrame, radius: int, least: float) -> DataFrame:
                 members = batch.column(0).slice(row, 1).flatten()
                 ids = members.field("line").to_pylist()
                 texts = [normalised(t) for t in members.field("raw").to_pylist()]
-                prints = members.field("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+                prints, most = members.field("fp"), radius
+                if pa.types.is_binary(prints.type):
+                    prints, most = _sketches(prints), SKETCH - AGREEING
+                else:
+                    prints = prints.to_numpy(zero_copy_only=False).view(np.uint64)
 
                 def confirm(at: int, others: np.ndarray) -> np.ndarray:
                     return np.array([similar(texts[at], texts[i], least) for i in others])
 
-                for a, b in spanning_links(prints, radius, confirm):
+                for a, b in spanning_links(prints, most, confirm):
                     left.append(ids[a])
                     right.append(ids[b])
             yield pa.RecordBatch.from_arrays(
@@ -251,11 +351,14 @@ def repeated_lines(
     text_col: str = "text",
     prints: int = PRINTS,
     lines: int = LINES,
+    sketched: bool = False,
+    short: bool = False,
 ) -> DataFrame:
     """Line numbers (from 0) to remove from each document, ``(doc, removed)``.
 
-    Lines are compared in normalised form; those of fewer than ``min_words`` words are left alone.
-    Two lines are linked if they are equal (in 64 bits of hash), or if their SimHashes (of different
+    Lines are compared in normalised form; those of fewer than ``min_words`` words are left alone, or
+    with ``short`` compared for being equal only (lines without any word as they are, but for blanks
+    around them; blank lines stay). Two lines are linked if they are equal (in 64 bits of hash), or if their SimHashes (of different
     words) differ in at most ``radius`` bits and their edit similarity, 1 - distance / longer length in
     characters, is ``similarity`` or more. Of all occurrences of a connected group the first
     stays, in the order of document id (null last), then text hash, then line number. ``doc``
@@ -263,29 +366,41 @@ def repeated_lines(
     Rows that are equal in id and text count as one document and are treated alike. Null texts
     have no lines.
 
+    SimHashes of lines at a similarity of 0.8 are mostly farther apart than any radius that can be
+    searched. With ``sketched``, lines are instead compared if they agree in one of 16 bands of a
+    MinHash of their 5-grams and in a quarter of it, so that the edit similarity alone decides for
+    nearly all pairs, and ``radius`` is not used.
+
     The first scan yields hashes only. Lines whose SimHash has a neighbour are then fetched, and
     meet in groups of lines connected by SimHash alone, each line once. Groups of more than
     ``lines`` lines or ``CHARS`` characters (or ``prints`` fingerprints) are compared part by part
     in different tasks.
     """
     docs = pick(documents, doc_id=id_col, text=text_col)
-    found = materialize(_found(docs, min_words), "occurrences")
+    found = materialize(_found(docs, min_words, sketched, short), "occurrences")
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "doc", "line_no")
+    mark = "sketch" if sketched else "fp"
     distinct = found.groupBy("line").agg(
         F.min(place).alias("first"),
         F.count("*").alias("n"),
-        F.min("fp").alias("fp"),
+        F.min(mark).alias("fp"),
         F.min("size").alias("size"),
     )
     distinct = materialize(distinct, "lines")
-    by_print = materialize(distinct.groupBy("fp").agg(F.count("*").alias("lines")), "prints")
-    near = connected_components(_near_prints(by_print.select("fp"), radius, prints))
-
-    # lines that have a neighbour by SimHash, by connected group
-    shared = by_print.where("lines > 1").select("fp", F.col("fp").alias("group"))
-    grouped = near.select(F.col("node").alias("fp"), F.col("component").alias("group"))
-    grouped = grouped.union(shared).groupBy("fp").agg(F.min("group").alias("group"))
-    wanted = distinct.select("line", "fp", "size", "first", "n").join(materialize(grouped, "grouped"), "fp")
+    compared = distinct.where(F.col("fp").isNotNull())
+    if sketched:
+        near = connected_components(_near_sketches(compared.select("line", F.col("fp").alias("sketch")), prints))
+        grouped = near.select(F.col("node").alias("line"), F.col("component").alias("group"))
+        by = "line"
+    else:
+        by_print = materialize(compared.groupBy("fp").agg(F.count("*").alias("lines")), "prints")
+        near = connected_components(_near_prints(by_print.select("fp"), radius, prints))
+        # lines that have a neighbour by SimHash, by connected group
+        shared = by_print.where("lines > 1").select("fp", F.col("fp").alias("group"))
+        grouped = near.select(F.col("node").alias("fp"), F.col("component").alias("group"))
+        grouped = grouped.union(shared).groupBy("fp").agg(F.min("group").alias("group"))
+        by = "fp"
+    wanted = compared.select("line", "fp", "size", "first", "n").join(materialize(grouped, "grouped"), by)
     wanted = materialize(wanted, "wanted")
     parts = F.ceil(2 * F.greatest(F.count("*") / lines, F.sum("size") / CHARS))
     sizes = wanted.groupBy("group").agg(F.count("*").alias("n"), parts.alias("parts"))
