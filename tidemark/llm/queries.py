@@ -30,7 +30,7 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     n_lines = F.size(F.split("text", "\n")).cast("long").alias("n_lines")
     rows = documents.select("doc_id", lines.document_key().alias("doc"), n_lines)
-    rows = rows.join(lines.repeated_lines(documents, sketched=True), "doc", "left")
+    rows = rows.join(lines.repeated_lines(documents, sketched=True, short=True), "doc", "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return rows.select(
         "doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed")
