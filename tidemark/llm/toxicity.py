@@ -28,6 +28,12 @@ LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïñòóô
 SIZE = len(LETTERS) + 2  # 0: the edge of a word, the last: any other letter
 #: Log probabilities of the channel.
 STANDS_FOR, ADDED, SAME, DOUBLED = np.log(0.5), np.log(1e-4), np.log(0.98), np.log(0.02)
+#: A mark between letters parts words or was added; a blank between spelled letters either.
+PARTS, WITHIN, SPELLED = np.log(0.98), np.log(0.02), np.log(0.5)
+#: A stand-in at the end that is seldom read as said, and one that mostly is.
+SELDOM, MOSTLY = np.log(0.1), np.log(0.9)
+#: Mean log probability a letter from which decoded words count as words.
+PLAUSIBLE = -3.0
 
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _CODES = np.full(0x180, SIZE - 1, np.int64)
@@ -87,20 +93,29 @@ def fit_letters(documents: DataFrame, text_col: str = "text") -> np.ndarray:
     return np.log(three / three.sum(axis=2, keepdims=True)).astype(np.float32)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
+def lattice(token: str, breaks: bool = False) -> list[list[tuple[str, float]]]:
     """What each part of a disguised word may stand for, with log probabilities.
 
     A run of one letter is that letter once or twice; a digit or mark is a letter it stands for or
-    was added; blanks and other marks were added.
+    was added; blanks and other marks were added, or with ``breaks`` part words if they are inside.
+    Stand-ins at the end may also be no part of the word, with ``breaks``.
     """
     steps: list[list[tuple[str, float]]] = []
-    for run in re.finditer(r"(.)\1*", token):
+    inside = len(token.rstrip("".join(LEET))) if breaks else len(token)
+    for run in re.finditer(r"(.)\1*", token, re.DOTALL):
         c, n = run.group(1), len(run.group())
         if c in LEET:
             options = [(letter, STANDS_FOR) for letter in LEET[c]]
-            steps += [[*options, ("", ADDED)]] if n > 2 else [[*options, ("", ADDED)]] * n
+            left = ADDED
+            if run.start() >= inside:
+                usual = c in "!|+" or n > 2
+                options = [(letter, chance + (SELDOM if usual else MOSTLY)) for letter, chance in options]
+                left = MOSTLY if usual else SELDOM
+            steps += [[*options, ("", left)]] if n > 2 else [[*options, ("", left)]] * n
         elif not c.isalpha():
-            continue
+            if breaks and steps and run.end() < inside:
+                chances = (SPELLED, SPELLED) if c == " " else (PARTS, WITHIN)
+                steps.append([(" ", chances[0]), ("", chances[1])])
         elif n == 1:
             steps.append([(c, 0.0)])
         else:
@@ -108,16 +123,17 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return steps
 
 
-def restore(token: str, letters: np.ndarray) -> str:
-    """The most probable word behind a disguised one (Viterbi over the last two letters)."""
+def restore(token: str, letters: np.ndarray, breaks: bool = False) -> str:
+    """The most probable word behind a disguised one (Viterbi over the last two letters), or words
+    if the token may have ``breaks``."""
     paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in lattice(token):
+    for options in lattice(token, breaks):
         after: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (so_far, word) in paths.items():
             for text, chance in options:
                 x, y, total = a, b, so_far + chance
                 for c in text:
-                    z = _CODE.get(c, SIZE - 1)
+                    z = 0 if c == " " else _CODE.get(c, SIZE - 1)
                     total += letters[x, y, z]
                     x, y = y, z
                 if (x, y) not in after or total > after[x, y][0]:
@@ -126,11 +142,17 @@ def restore(token: str, letters: np.ndarray) -> str:
     return max(((s + letters[a, b, 0], w) for (a, b), (s, w) in paths.items()))[1]
 
 
+def plausible(words: str, letters: np.ndarray) -> bool:
+    """Whether the letter model takes a text for words."""
+    c = codes(f"  {words} ")
+    return bool(letters[c[:-2], c[1:-1], c[2:]].mean() > PLAUSIBLE)
+
+
 class Restorer:
     """Lower-cases texts and restores disguised words, remembering those it has seen."""
 
     def __init__(self, letters: np.ndarray):
-        self.letters, self.known = letters, {}
+        self.letters, self.known, self.pieces = letters, {}, {}
 
     def __call__(self, texts: Sequence[str | None]) -> list[str]:
         data = "\0\n".join((t or "").lower().replace("\0", " ") for t in texts)
@@ -149,18 +171,34 @@ class Restorer:
                 self.known.clear()
             words = chunk.decode("utf-8", "surrogatepass")
             if _SPACED.fullmatch(words):
-                words = words.replace(" ", "")
-            parts = [restore(w.rstrip("!|+"), self.letters) for w in _APART.split(words)]
-            text = self.known[chunk] = " ".join(parts).encode("utf-8", "surrogatepass")
+                pieces = [" ".join(_APART.sub("", c) for c in words.split(" "))]
+            else:
+                pieces = _APART.split(words)
+            found = " ".join(self._piece(w) for w in pieces).encode("utf-8", "surrogatepass")
+            # text in which nothing was disguised stays as it is
+            plain = found.translate(_LETTER_OR_BLANK).split() == chunk.translate(_LETTER_OR_BLANK).split()
+            text = self.known[chunk] = chunk if plain else found
         return text
 
+    def _piece(self, token: str) -> str:
+        word = self.pieces.get(token)
+        if word is None:
+            if len(self.pieces) > 200_000:
+                self.pieces.clear()
+            word = restore(token, self.letters, breaks=True)
+            # doubled letters, marks and blanks are common in plain text too
+            if not any(c in LEET for c in token) and not plausible(word, self.letters):
+                word = token
+            self.pieces[token] = word
+        return word
+
 
 def suspects(data: bytes) -> list[tuple[int, int]]:
     """Where words may be disguised, as spans between blanks.
 
-    Stand-ins for letters beside letters; a letter three times in a row, or three doubled letters
-    in a row; parts of one or two letters between marks; and three or more single characters
-    between blanks, which make one span (with a mark after the last).
+    Whatever has more than one reading: stand-ins for letters beside letters, doubled letters and
+    marks between letters or stand-ins, in words with a letter; and three or more single
+    characters between blanks, which make one span (with a mark after the last).
     """
     if len(data) < 3:
         return []
@@ -171,17 +209,10 @@ def suspects(data: bytes) -> list[tuple[int, int]]:
     def of(kinds: int, shift: int = 0) -> np.ndarray:
         return (kind[shift : shift + n] & kinds) != 0
 
-    letter, after = of(_LETTER), of(_LETTER, 1)
-    other = of(_DIGIT | _STAND_IN)
-    hit = other & after
-    backed = letter & ((x[1 : n + 1] == ord("$")) | (x[1 : n + 1] == ord("@")) | of(_DIGIT, 1))
-    hit |= backed & (x[1 : n + 1] != x[2 : n + 2])
-    same = (x[:n] == x[1 : n + 1]) & letter & (x[:n] < 128)
-    twice = np.concatenate([same, np.zeros(4, bool)])
-    hit |= same & twice[1 : n + 1]
-    hit |= same & twice[2 : n + 2] & twice[4 : n + 4]
-    mark = of(_MARK)
-    hit |= mark & after & (of(_MARK, 2) | (of(_LETTER, 2) & of(_MARK, 3)))
+    letter, other = of(_LETTER), of(_DIGIT | _STAND_IN)
+    hit = (other & of(_LETTER, 1)) | (letter & of(_DIGIT | _STAND_IN, 1))
+    hit |= (x[:n] == x[1 : n + 1]) & letter & (x[:n] < 128)
+    hit |= (letter | other) & of(_MARK, 1) & of(_LETTER | _DIGIT | _STAND_IN, 2)
 
     blank = of(_BLANK) | (x[:n] == 0)
     edge = np.diff(np.concatenate([[True], blank, [True]]).astype(np.int8))
@@ -190,6 +221,8 @@ def suspects(data: bytes) -> list[tuple[int, int]]:
         return []
     chosen = np.zeros(len(starts), bool)
     chosen[np.searchsorted(starts, np.flatnonzero(hit & ~blank), side="right") - 1] = True
+    upto = np.concatenate([[0], np.cumsum(letter)])
+    chosen &= upto[ends] > upto[starts]
     # single characters, one blank apart
     some = (kind[starts] & (_LETTER | _DIGIT | _STAND_IN)) != 0
     single = some & (ends - starts == 1)
