@@ -21,8 +21,8 @@ BITS = 64
 PRINTS, LINES, CHARS = 2048, 32_768, 16_000_000
 
 #: Bytes of a line's sketch, each the least of one hash of its 5-grams; lines meet that agree in one
-#: band of four bytes, and are compared if at least so many bytes agree (of 35,000 similar pairs of
-#: check_s that meet, none agreed in fewer than 24).
+#: band of four bytes, and are compared if at least so many bytes agree (of 35,910 similar pairs of
+#: check_s that share a band and agree in 16 or more, none agreed in fewer than 24).
 SKETCH, BAND, AGREEING = 64, 4, 22
 #: Bytes whose 5-grams are hashed at once. Plan only.
 SKETCHED = 200_000
