@@ -33,3 +33,20 @@ def text_slices(texts: pa.Array, most: int = 1_000_000) -> Iterator[tuple[int, l
         yield start, texts.slice(start).to_pylist()
     # Python workers outlive their tasks: what earlier batches have freed goes back to the system
     pa.default_memory_pool().release_unused()
+
+
+def batch_slices(
+    batches: Iterator[pa.RecordBatch], name: str, most: int = 8_000_000
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of rows with about ``most`` bytes in the named column (one row at least)."""
+    for batch in batches:
+        sizes = pa.compute.binary_length(batch.column(name)).to_pylist()
+        start = total = 0
+        for stop, size in enumerate(sizes):
+            if total and total + (size or 0) > most:
+                yield batch.slice(start, stop - start)
+                start, total = stop, 0
+            total += size or 0
+        if start < len(sizes):
+            yield batch.slice(start)
+        pa.default_memory_pool().release_unused()

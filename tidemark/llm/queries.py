@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, licenses, lines, mixing, quality, simhash, substrings, toxicity, vafile
+from tidemark.llm import (
+    decontaminate,
+    divergence,
+    language,
+    licenses,
+    lines,
+    mixing,
+    quality,
+    simhash,
+    substrings,
+    toxicity,
+    vafile,
+)
 from tidemark.llm.fitting import held_out
 
 
@@ -106,6 +118,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every source differs from the others of its language, and by which terms."""
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -117,6 +134,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_topk": op10_topk,
+    "op12_divergence": op12_divergence,
 }
 
 OP6_SQL = """
@@ -171,8 +189,51 @@ WITH cells AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), words AS (
+  SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+), counted AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n, count(DISTINCT doc) AS docs
+  FROM words GROUP BY lang, source, term
+), terms AS (
+  SELECT lang, term, sum(n) AS total FROM counted GROUP BY lang, term HAVING sum(docs) >= 10
+), langs AS (
+  SELECT lang, sum(total) AS lang_words, count(*) AS v FROM terms GROUP BY lang
+), groups AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n) FILTER (t.term IS NOT NULL), 0) AS words
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source
+  LEFT JOIN terms t ON t.lang = c.lang AND t.term = c.term
+  GROUP BY g.lang, g.source
+), shares AS (
+  SELECT g.lang, g.source, t.term, coalesce(c.n, 0) AS n,
+         CAST(1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (g.words + 2 * l.v) AS BIGINT) AS p,
+         CAST(1 + (1000000000 * (t.total + 2)) // (l.lang_words + 2 * l.v) AS BIGINT) AS q
+  FROM groups g JOIN langs l ON l.lang = g.lang JOIN terms t ON t.lang = g.lang
+  LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = t.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY a.lang, a.source, b.source
+), results AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(p.value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM results
+)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op6_mixing": OP6_SQL,
     "op7_licenses": licenses.sql(),
     "op10_topk": OP10_SQL,
+    "op12_divergence": OP12_SQL,
 }
