@@ -12,6 +12,7 @@ from tidemark.llm import (
     licenses,
     lines,
     mixing,
+    phrases,
     quality,
     simhash,
     substrings,
@@ -123,6 +124,11 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(_table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of every language, of 2 and 3 words and 10 occurrences or more."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"), min_count=10, top=2000, absorbed_percent=50)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_substrings": op2_substrings,
@@ -135,6 +141,7 @@ QUERIES = {
     "op9_language": op9_language,
     "op10_topk": op10_topk,
     "op12_divergence": op12_divergence,
+    "op13_phrases": op13_phrases,
 }
 
 OP6_SQL = """
@@ -231,9 +238,51 @@ WITH docs AS (
 SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
 """
 
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), phrases AS (
+  SELECT lang, 1 AS size, w[i] AS phrase FROM starts
+  UNION ALL SELECT lang, 2, array_to_string(w[i : i + 1], ' ') FROM starts WHERE i + 1 <= len(w)
+  UNION ALL SELECT lang, 3, array_to_string(w[i : i + 2], ' ') FROM starts WHERE i + 2 <= len(w)
+), counted AS (
+  SELECT lang, size, phrase, count(*) AS f FROM phrases GROUP BY lang, size, phrase
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE size = 1 GROUP BY lang
+), many AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE size > 1 AND f >= 10
+), longer AS (
+  SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, f FROM many WHERE size = 3
+), kept AS (
+  SELECT m.* FROM many m
+  WHERE NOT EXISTS (SELECT 1 FROM longer x WHERE x.lang = m.lang AND x.phrase = m.phrase AND 100 * x.f >= 50 * m.f)
+), cuts AS (
+  SELECT lang, phrase, f AS a, 1 AS k, w[1] AS head, array_to_string(w[2:], ' ') AS tail FROM kept
+  UNION ALL SELECT lang, phrase, f, 2, w[1] || ' ' || w[2], w[3] FROM kept WHERE size = 3
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+         CAST(1000000 * CAST(c.a AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts c JOIN counted x ON x.lang = c.lang AND x.phrase = c.head JOIN counted y ON y.lang = c.lang AND y.phrase = c.tail
+), worst AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM worst WHERE place = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op6_mixing": OP6_SQL,
     "op7_licenses": licenses.sql(),
     "op10_topk": OP10_SQL,
     "op12_divergence": OP12_SQL,
+    "op13_phrases": OP13_SQL,
 }
