@@ -11,6 +11,7 @@ from tidemark.llm import (
     language,
     licenses,
     lines,
+    maintext,
     mixing,
     phrases,
     quality,
@@ -119,6 +120,12 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_maintext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page, whole, without what surrounds it."""
+    done = maintext.extract(_table(spark, sf_dir, "pages"), "html")
+    return done.select("page_id", "url", "text", "n_chars")
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far every source differs from the others of its language, and by which terms."""
     return divergence.source_divergence(_table(spark, sf_dir, "documents"), min_docs=10, top_terms=10)
@@ -140,6 +147,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_language": op9_language,
     "op10_topk": op10_topk,
+    "op11_maintext": op11_maintext,
     "op12_divergence": op12_divergence,
     "op13_phrases": op13_phrases,
 }
