@@ -307,10 +307,11 @@ def scd2_history(spark, sf_dir):
 
 
 def scd2_history_hot(spark, sf_dir):
-    """The same with every customer of more than four changes taken as heavy."""
+    """The same with every customer of more changes than most taken as heavy."""
     changes = scd.customer_dimension_changes(log(spark, sf_dir, "customers"))
     changes = materialize(changes, "customer_changes")
-    return plain(scd.customer_history(changes, rows_per_task=4), *HISTORY_FIELDS)
+    usual = changes.groupBy("customer_id").count().agg(F.median("count")).first()[0]
+    return plain(scd.customer_history(changes, rows_per_task=int(usual or 1)), *HISTORY_FIELDS)
 
 
 def scd2_current(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import scd
 from tidemark.operators.latest import latest_per_key, state_at
-from tidemark.operators.skew import fill_from_earlier, split_hot_keys
+from tidemark.operators.skew import OVERSPLIT, fill_from_earlier, split_hot_keys
 
 COLUMNS = "k INT, seq BIGINT, off BIGINT, op STRING, city STRING, note STRING"
 OPTIONS = dict(
@@ -171,6 +171,16 @@ def test_any_number_of_heavy_keys_stays_a_table(spark):
     assert "LocalTableScan" not in plan and "TakeOrdered" not in plan and "GlobalLimit" not in plan
 
 
+def test_slices_stay_within_the_sessions_tasks(spark):
+    """However small the wanted slices, tasks and files follow the session, and keys are still cut."""
+    df = spark.range(20_000).selectExpr("id % 7 AS k", "id AS t")
+    sliced, part, _ = split_hot_keys(df, ["k"], "t", rows_per_task=2)
+    bound = OVERSPLIT * max(8, spark.sparkContext.defaultParallelism)
+    assert 20 < sliced.select("_slice").distinct().count() <= bound
+    assert len(sliced.filter("_slice IS NOT NULL").inputFiles()) <= bound
+    assert sliced.select(*part).distinct().groupBy("k").count().agg(F.min("count")).first()[0] > 2
+
+
 def test_no_heavy_key_leaves_the_frame_alone(spark):
     df = spark.createDataFrame([(1, 1)], "k INT, t BIGINT")
     same_df, part, piled = split_hot_keys(df, ["k"], "t")

@@ -17,7 +17,8 @@ from tidemark.sources.tables import materialize
 
 # Rows of one key that a single task may sort.
 ROWS_PER_TASK = 2_000_000
-# Ranges are cut by a sample, so cut more of them than the mean asks for.
+# Ranges are cut by a sample, so cut more of them than the mean asks for; for the same reason, and as
+# they are dealt to tasks by hash, up to as many times the session's tasks.
 OVERSPLIT = 4
 SLICE = "_slice"
 
@@ -44,14 +45,18 @@ def split_hot_keys(
     """Give each heavy key's rows a slice number that grows with ``order``.
 
     Returns the frame, the columns to partition ordered windows by, and whether some key has more
-    than ``rows_per_task`` rows at one point of the order, where no cut can part them. The columns are just ``keys`` when no key is heavy, else ``keys`` and a slice number,
-    NULL on the rows of ordinary keys.
+    than ``rows_per_task`` rows at one point of the order, where no cut can part them. The columns
+    are just ``keys`` when no key is heavy, else ``keys`` and a slice number, NULL on the rows of
+    ordinary keys.
 
     Counting the keys is one aggregation over the key columns alone, run at once; only their
     number reaches the driver. The heavy keys stay a table, however many they are, and are joined
     on the key. Their rows are then range-partitioned by key and order, for which Spark samples
     them, so slices follow the rows' own distribution, outliers and bunched times included. Rows
     at the same point stay together. Sliced rows are stored, as a slice is where Spark put it.
+    There are never more slices, hence tasks and files, than ``OVERSPLIT`` times the tasks that the
+    session's shuffles have: these take their even share of all rows anyway, so smaller slices
+    would spread no better.
     Only a speed choice hangs on the counts: any cut along the order gives the same final result.
     So ``count_on`` may name a cheaper frame with the same keys to count on.
 
@@ -67,7 +72,11 @@ def split_hot_keys(
     rows = heavy.agg(F.sum("_rows")).first()[0]
     if not rows:
         return df, part, False
-    slices = -(-rows * OVERSPLIT // rows_per_task)
+    spark = df.sparkSession
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    slices = min(-(-rows * OVERSPLIT // rows_per_task), OVERSPLIT * tasks)
     ordinary = df.join(heavy, part, "left_anti")
     dealt = (
         df.join(heavy, part, "left_semi")
