@@ -319,6 +319,8 @@ ORACLES = {
           SELECT max(ts) - INTERVAL 10 MINUTE FROM c)
         GROUP BY ALL""",
     "stream_daily_balances_update": f"WITH {DAILY} SELECT * FROM daily",
+    "stream_daily_balances_late": f"WITH {DAILY} SELECT * FROM daily",
+    "stream_daily_transactions": f"WITH {TRANSACTIONS} SELECT * FROM summary",
     "compact_partitions": f"SELECT {BASIC}, CAST(ts AS DATE) AS event_day FROM events",
     "compact_text_partitions": """SELECT event_id,
         lpad(CAST(event_id % 12 AS VARCHAR), 3, '0') AS desk FROM events""",

@@ -26,7 +26,7 @@ from tidemark.sources.tables import (
     read_bronze_stream,
     union_evolving,
 )
-from tidemark.streaming import keyed
+from tidemark.streaming import keyed, live
 from tidemark.streaming import queries as streams
 
 MAKERS = {
@@ -612,24 +612,43 @@ def stream_daily_transactions_append(spark, sf_dir):
     )
 
 
+def live_gold(spark, lake, table):
+    """Gold tables over the stored change log of one table, after its stream has drained."""
+    gold = live.LiveGold(spark, lake)
+    finish(gold.run(once=True, tables=[table])[table])
+    return gold
+
+
 def stream_daily_balances_update(spark, sf_dir):
-    lake = LakeConfig.under(scratch_dir(spark, "stream_daily_update"))
-    live = streams.daily_balances_stream(accounts_log_stream(spark, sf_dir), lake.watermark)
-    table = keyed.facts_table(
-        spark,
-        f"{lake.gold_path}/daily_live",
-        "account_id",
-        facts.ACCOUNT_DIMENSIONS,
-        "account_date",
-        buckets=1,
-    )
-    finish(table.run(live, "daily_live", lake, once=True))
-    return table.read().select(
-        "account_date",
-        *facts.ACCOUNT_DIMENSIONS,
-        "end_of_day_balance",
-        "daily_updates_count",
-    )
+    """Records to the change log, the log to the live balances of all days, open ones included."""
+    lake = LakeConfig.under(scratch_dir(spark, "stream_daily_update"), buckets=2, fact_period="month")
+    finish(streams.run_change_log(accounts_log_stream(spark, sf_dir), "accounts", lake, once=True))
+    return live_gold(spark, lake, "accounts").daily_account_balances
+
+
+def stream_daily_balances_late(spark, sf_dir):
+    """Partitions that are out of step: the events of some come days after those of the others.
+
+    Three waves bring whole partitions, so that each later wave reaches back over all days.
+    """
+    lake = LakeConfig.under(scratch_dir(spark, "stream_daily_late"), buckets=2, fact_period="month")
+    changes = materialize(log(spark, sf_dir, "accounts"), "accounts_log")
+    for wave in range(3):
+        arriving = changes.filter(F.col("kafka_partition") % 3 == 2 - wave)
+        append(arriving, f"{lake.silver_path}/accounts_log")
+        gold = live_gold(spark, lake, "accounts")
+    return gold.daily_account_balances
+
+
+def stream_daily_transactions(spark, sf_dir):
+    """Transactions and their corrections in two waves, newer events of many in the first one."""
+    lake = LakeConfig.under(scratch_dir(spark, "stream_transactions"), buckets=1, fact_period="month")
+    changes = materialize(log(spark, sf_dir, "atm_transactions"), "transactions_log")
+    for wave in (1, 0):
+        arriving = changes.filter(F.pmod(F.col("kafka_offset"), F.lit(2)) == wave)
+        append(arriving, f"{lake.silver_path}/atm_transactions_log")
+        gold = live_gold(spark, lake, "atm_transactions")
+    return gold.daily_transactions
 
 
 def compacted(spark, sf_dir):
@@ -714,6 +733,8 @@ QUERIES = {
     "stream_daily_balances_rebuilt": stream_daily_balances_rebuilt,
     "stream_daily_transactions_append": stream_daily_transactions_append,
     "stream_daily_balances_update": stream_daily_balances_update,
+    "stream_daily_balances_late": stream_daily_balances_late,
+    "stream_daily_transactions": stream_daily_transactions,
     "compact_partitions": compacted,
     "compact_text_partitions": compacted_text,
 }

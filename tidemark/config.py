@@ -34,6 +34,8 @@ class LakeConfig:
     watermark: str = "10 minutes"
     table_format: str = "parquet"
     buckets: int = 64
+    # Calendar period of a piece of the live facts: with the buckets, what a late event has redone.
+    fact_period: str = "day"
     # Tasks that write a month of closed-day facts.
     fact_writers: int = 256
 
