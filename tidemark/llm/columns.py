@@ -50,3 +50,24 @@ def batch_slices(
         if start < len(sizes):
             yield batch.slice(start)
         pa.default_memory_pool().release_unused()
+
+
+def summed(tables: Iterator[pa.Table], keys: list[str], count: str, rows: int) -> Iterator[pa.RecordBatch]:
+    """The tables' counts added up by key over about ``rows`` rows at a time, so that fewer leave a task."""
+
+    def added(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        whole = pa.concat_tables(held)
+        done = whole.group_by(keys, use_threads=False).aggregate([(count, "sum")])
+        done = done.rename_columns([*keys, count]).select(whole.column_names)
+        yield from done.to_batches(max_chunksize=100_000)
+
+    held, total = [], 0
+    for table in tables:
+        held.append(table)
+        total += len(table)
+        if total >= rows:
+            yield from added(held)
+            held, total = [], 0
+    if held:
+        yield from added(held)
+    pa.default_memory_pool().release_unused()

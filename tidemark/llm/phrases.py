@@ -1,13 +1,14 @@
-"""Collocations of two and three words, by sampling and an exact pass over everything (Toivonen).
+"""Collocations of two and three words, by sampling and exact passes over everything (Toivonen).
 
-A sample of the documents proposes words and pairs of words. The full pass counts, exactly and over
-all documents, what is proposed and its negative border: every word, every pair of proposed words,
-every triple whose two pairs are proposed. Should a phrase of the border turn out frequent, what it
-could be extended to was not counted, so a further pass counts just that, until nothing is left.
-Every phrase that is frequent has been counted then, whatever the sample was.
+A sample of the documents proposes words and pairs of words. The full pass counts, over all documents,
+what is proposed and its negative border: every word, every pair of proposed words, every triple whose
+two pairs are proposed. Should a phrase of the border be frequent, its extensions were not counted, so
+a further pass counts just those, until no border fails. Most of the border is rare, so these passes
+count by 64-bit hash, which can only count too much; the last one counts exactly, as text, whatever
+they left as possibly frequent. Every frequent phrase is among it, whatever the sample was.
 
-Proposals travel as a bit filter of fixed size. A bit set by another phrase makes a pass count more
-than it need, never less.
+What a pass needs to know travels as bit filters of fixed size. A bit set by another phrase makes a
+pass count more than it need, never less.
 """
 
 from __future__ import annotations
@@ -22,14 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.columns import batch_slices, pick
+from tidemark.llm.columns import batch_slices, pick, summed
 from tidemark.sources.tables import materialize
 
-#: What ends a piece of text, and what parts its words.
-PIECE_ENDS, BLANKS = r"[.,;:!?\x0A-\x0D]", r"[\x20\x09]+"
-#: Bits of the filter of proposed phrases: 8 MB, whatever the corpus.
+#: What ends a piece of text; blanks and tabs part its words.
+PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
+#: Bits of a filter of phrases: 8 MB, whatever the corpus.
 FILTER_BITS = 1 << 26
-COUNTS = "lang string, size int, phrase string, hash long, f long"
+#: Bytes of text that a task takes in at once, and rows of hashes and of texts it adds up before they leave.
+SLICE, HASHES, TEXTS = 3_000_000, 2_000_000, 800_000
+#: The lowest bits of a hash hold the number of words.
+SIZE_BITS = 2
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -39,98 +43,143 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def _sized(x: np.ndarray, size: int) -> np.ndarray:
+    return (x << np.uint64(SIZE_BITS)) | np.uint64(size)
+
+
 def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = hashes & np.uint64(len(bits) * 64 - 1)
+    at = (hashes >> np.uint64(SIZE_BITS)) & np.uint64(len(bits) * 64 - 1)
     return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _count(batch: pa.RecordBatch, known: np.ndarray | None, before: np.ndarray | None) -> Iterator[pa.Table]:
-    """Words, pairs and triples of a slice of documents with their counts.
-
-    Without ``known``: all words and pairs. With it: all words, and the pairs and triples whose parts
-    it knows. With ``before`` too: only those pairs and triples that it did not know the parts of.
-    """
-    pieces = pc.split_pattern_regex(pc.ascii_lower(batch.column("text")), PIECE_ENDS)
-    words = pc.split_pattern_regex(pc.list_flatten(pieces), BLANKS)
-    flat, piece = pc.list_flatten(words), pc.list_parent_indices(words)
-    filled = pc.not_equal(flat, "")
-    terms = flat.filter(filled).dictionary_encode()
-    piece = piece.filter(filled).to_numpy()
-    langs = batch.column("lang").dictionary_encode()
-    row = pc.list_parent_indices(pieces).to_numpy()[piece]
-    lang = langs.indices.to_numpy()[row].astype(np.int64)
-    # a unit is a word of a language
-    keys, unit = np.unique(lang * max(len(terms.dictionary), 1) + terms.indices.to_numpy(), return_inverse=True)
-    unit_lang, unit_word = np.divmod(keys, max(len(terms.dictionary), 1))
-    word_hash, lang_hash = (
-        np.array([xxhash.xxh64_intdigest(x, 7) for x in names.to_pylist()], np.uint64)
-        for names in (terms.dictionary, langs.dictionary)
-    )
-    hashes = _mixed(word_hash[unit_word] ^ _mixed(lang_hash[unit_lang]))
-    many = np.int64(len(keys))
-    name = terms.dictionary.take(pa.array(unit_word))
-
-    def rows(size: int, units: list[np.ndarray], digest: np.ndarray, f: np.ndarray) -> pa.Table:
-        parts = [name.take(pa.array(x)) for x in units]
-        return pa.table(
-            {
-                "lang": langs.dictionary.take(pa.array(unit_lang[units[0]])),
-                "size": pa.array(np.full(len(f), size, np.int32)),
-                "phrase": pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0],
-                "hash": pa.array(digest.view(np.int64)),
-                "f": pa.array(f.astype(np.int64)),
-            }
+class _Slice:
+    """Words, pairs and triples of some documents. A unit is a word of a language; ``here`` are the
+    places where a pair starts, ``follows`` those among them where another starts a word later."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        lowered = pc.replace_substring(pc.ascii_lower(batch.column("text")), "\t", " ")
+        pieces = pc.split_pattern_regex(lowered, PIECE_ENDS)
+        words = pc.split_pattern(pc.list_flatten(pieces), " ")
+        flat, piece = pc.list_flatten(words), pc.list_parent_indices(words)
+        filled = pc.not_equal(flat, "")
+        terms = flat.filter(filled).dictionary_encode()
+        piece = piece.filter(filled).to_numpy()
+        self.langs = batch.column("lang").dictionary_encode()
+        row = pc.list_parent_indices(pieces).to_numpy()[piece]
+        lang = self.langs.indices.to_numpy()[row].astype(np.int64)
+        width = max(len(terms.dictionary), 1)
+        keys = pa.array(lang * width + terms.indices.to_numpy()).dictionary_encode()
+        self.unit = keys.indices.to_numpy().astype(np.int64)
+        self.unit_lang, self.unit_word = np.divmod(keys.dictionary.to_numpy(), width)
+        self.terms, self.many = terms.dictionary, np.int64(len(keys.dictionary))
+        word_hash, lang_hash = (
+            np.array([xxhash.xxh64_intdigest(x, 7) for x in names.to_pylist()], np.uint64)
+            for names in (terms.dictionary, self.langs.dictionary)
         )
-
+        base = _mixed(word_hash[self.unit_word] ^ _mixed(lang_hash[self.unit_lang]))
+        self.word_hash = _sized(base, 1)
+        self.here = np.flatnonzero(piece[:-1] == piece[1:])
+        first, second = base[self.unit[self.here]], base[self.unit[self.here + 1]]
+        self.pair_hash = _sized(_mixed(first * np.uint64(3) + second), 2)
+        self.follows = np.flatnonzero(self.here[1:] == self.here[:-1] + 1)
+        chained = self.pair_hash[self.follows] * np.uint64(5) + self.pair_hash[self.follows + 1]
+        self.triple_hash = _sized(_mixed(chained), 3)
+
+    def within(self, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs and triples have only known words and known pairs, respectively."""
+        word, pair = _in(known, self.word_hash)[self.unit], _in(known, self.pair_hash)
+        return word[self.here] & word[self.here + 1], pair[self.follows] & pair[self.follows + 1]
+
+
+def _hashes(
+    part: _Slice, known: np.ndarray | None, before: np.ndarray | None
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and counts of all words, and of pairs and triples with known parts (None: of all pairs).
+    With ``before``, only of pairs and triples whose parts were not known then."""
     if before is None:
-        yield rows(1, [np.arange(many)], hashes, np.bincount(unit, minlength=many))
-    if len(unit) < 2:
-        return
-    here = np.flatnonzero(piece[:-1] == piece[1:])
-    pair_hash = _mixed(hashes[unit[here]] * np.uint64(3) + hashes[unit[here + 1]])
-    counted = np.ones(len(here), bool)
-    if known is not None:
-        has = _in(known, hashes)[unit]
-        counted = has[here] & has[here + 1]
-    if before is not None:
-        had = _in(before, hashes)[unit]
-        counted &= ~(had[here] & had[here + 1])
-    pairs, first, f = np.unique(
-        unit[here[counted]] * many + unit[here[counted] + 1], return_index=True, return_counts=True
-    )
-    yield rows(2, list(np.divmod(pairs, many)), pair_hash[counted][first], f)
+        yield part.word_hash, np.bincount(part.unit, minlength=part.many)
     if known is None:
+        yield np.unique(part.pair_hash, return_counts=True)
         return
-    # triples: two pairs, the second one starting a word later
-    follows = np.flatnonzero(here[1:] == here[:-1] + 1) if len(here) > 1 else np.zeros(0, np.int64)
-    has = _in(known, pair_hash)
-    triple = has[follows] & has[follows + 1]
+    pairs, triples = part.within(known)
     if before is not None:
-        had = _in(before, pair_hash)
-        triple &= ~(had[follows] & had[follows + 1])
-    at = here[follows[triple]]
+        pairs, triples = (new & ~old for new, old in zip((pairs, triples), part.within(before), strict=True))
+    yield np.unique(part.pair_hash[pairs], return_counts=True)
+    yield np.unique(part.triple_hash[triples], return_counts=True)
+
+
+def _rows(part: _Slice, size: int, units: list[np.ndarray], f: np.ndarray) -> pa.Table:
+    words = [part.terms.take(pa.array(part.unit_word[x])) for x in units]
+    return pa.table(
+        {
+            "lang": part.langs.dictionary.take(pa.array(part.unit_lang[units[0]])),
+            "size": pa.array(np.full(len(f), size, np.int32)),
+            "phrase": pc.binary_join_element_wise(*words, " ") if size > 1 else words[0],
+            "f": pa.array(f.astype(np.int64)),
+        }
+    )
+
+
+def _texts(part: _Slice, likely: np.ndarray, known: np.ndarray, before: np.ndarray) -> Iterator[pa.Table]:
+    """Likely phrases with counts, those with parts that are known but were not before, and a row of
+    size 0 with the number of all words."""
+    pairs, triples = (new & ~old for new, old in zip(part.within(known), part.within(before), strict=True))
+    pairs, triples = pairs | _in(likely, part.pair_hash), triples | _in(likely, part.triple_hash)
+    count = np.bincount(part.unit, minlength=part.many)
+    chosen = np.flatnonzero(_in(likely, part.word_hash))
+    yield _rows(part, 1, [chosen], count[chosen])
+    total = np.bincount(part.unit_lang, count, len(part.langs.dictionary)).astype(np.int64)
+    yield pa.table(
+        {
+            "lang": part.langs.dictionary,
+            "size": pa.array(np.zeros(len(total), np.int32)),
+            "phrase": pa.array([""] * len(total)),
+            "f": pa.array(total),
+        }
+    )
+    unit, many = part.unit, part.many
+    at = part.here[pairs]
+    found, f = np.unique(unit[at] * many + unit[at + 1], return_counts=True)
+    yield _rows(part, 2, list(np.divmod(found, many)), f)
+    at = part.here[part.follows[triples]]
     heads, head = np.unique(unit[at] * many + unit[at + 1], return_inverse=True)
-    triples, f = np.unique(head * many + unit[at + 2], return_counts=True)
-    head, last = np.divmod(triples, many)
-    yield rows(3, [*np.divmod(heads[head], many), last], np.zeros(len(f), np.uint64), f)
+    found, f = np.unique(head * many + unit[at + 2], return_counts=True)
+    head, last = np.divmod(found, many)
+    yield _rows(part, 3, [*np.divmod(heads[head], many), last], f)
+
 
+def count_hashes(
+    texts: DataFrame, known: np.ndarray | None = None, before: np.ndarray | None = None
+) -> DataFrame:
+    """``(hash, f)`` of what ``_hashes`` finds, summed over all rows of ``texts``."""
 
-def count_phrases(texts: DataFrame, known: np.ndarray | None = None, before: np.ndarray | None = None) -> DataFrame:
-    """``(lang, size, phrase, hash, f)`` of what ``_count`` finds, summed over all rows of ``texts``."""
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for batch in batch_slices(batches, "text", SLICE):
+            for hashes, f in _hashes(_Slice(batch), known, before):
+                yield pa.table({"hash": pa.array(hashes.view(np.int64)), "f": pa.array(f.astype(np.int64))})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batch_slices(batches, "text"):
-            for table in _count(batch, known, before):
-                yield from table.to_batches(max_chunksize=100_000)
+        yield from summed(parts(batches), ["hash"], "f", HASHES)
 
-    counted = texts.mapInArrow(count, COUNTS)
-    return counted.groupBy("lang", "size", "phrase", "hash").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(count, "hash long, f long").groupBy("hash").agg(F.sum("f").alias("f"))
+
+
+def count_texts(texts: DataFrame, *filters: np.ndarray) -> DataFrame:
+    """``(lang, size, phrase, f)`` of what ``_texts`` finds, summed over all rows of ``texts``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices = batch_slices(batches, "text", SLICE)
+        parts = (table for batch in slices for table in _texts(_Slice(batch), *filters))
+        yield from summed(parts, ["lang", "size", "phrase"], "f", TEXTS)
+
+    counted = texts.mapInArrow(count, "lang string, size int, phrase string, f long")
+    return counted.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
 
 
 def _with_bits(known: np.ndarray, phrases: DataFrame) -> np.ndarray:
     """The filter with the phrases' bits set too. At most a 64th of ``FILTER_BITS`` rows come to the
     driver, however many phrases there are."""
-    at = F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1).cast("long"))
+    at = F.shiftright("hash", SIZE_BITS).bitwiseAND(F.lit(FILTER_BITS - 1).cast("long"))
     bit = F.expr("shiftleft(1L, cast(at & 63 as int))")
     set_bits = phrases.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word"))
     table = set_bits.agg(F.bit_or(bit).alias("bits")).toArrow()
@@ -139,20 +188,11 @@ def _with_bits(known: np.ndarray, phrases: DataFrame) -> np.ndarray:
     return grown
 
 
-def _unknown(phrases: DataFrame, known: np.ndarray) -> DataFrame:
-    def pass_unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = _in(known, batch.column(0).to_numpy().view(np.uint64))
-            yield batch.filter(pa.array(~found))
-
-    return phrases.select("hash").mapInArrow(pass_unknown, "hash long")
-
-
 def frequent_phrases(
     documents: DataFrame,
     min_count: int = 10,
     sample: float = 0.25,
-    propose_from: int = 2,
+    propose_from: int = 3,
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> tuple[DataFrame, DataFrame]:
@@ -165,23 +205,21 @@ def frequent_phrases(
     """
     texts = pick(documents, text=text_col, lang=lang_col)
     texts = texts.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("und")).alias("lang"))
-    proposed = count_phrases(texts.sample(sample, seed=13)).where(F.col("f") >= propose_from)
-    before, known = None, _with_bits(np.zeros(FILTER_BITS // 64, np.uint64), proposed)
-    found = []
-    while True:
-        counted = count_phrases(texts, known, before).where((F.col("f") >= min_count) | (F.col("size") == 1))
-        found.append(materialize(counted, "phrase-counts"))
-        # what of the border is frequent was not proposed: its extensions are still to be counted
-        extends = found[-1].where((F.col("size") < 3) & (F.col("f") >= min_count))
-        grown = _with_bits(known, _unknown(extends, known))
-        if np.array_equal(grown, known):
+    nothing = np.zeros(FILTER_BITS // 64, np.uint64)
+    proposed = count_hashes(texts.sample(sample, seed=13)).where(F.col("f") >= propose_from)
+    known, before, likely = _with_bits(nothing, proposed), None, nothing
+    for _ in range(2):
+        counted = count_hashes(texts, known, before).where(F.col("f") >= min_count)
+        counted = materialize(counted, "likely-phrases")
+        likely = _with_bits(likely, counted)
+        before, known = known, _with_bits(known, counted.where(F.col("hash").bitwiseAND(F.lit(3)) < 3))
+        if np.array_equal(before, known):
             break
-        before, known = known, grown
-    words = found[0].where("size = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    phrases = found[0]
-    for more in found[1:]:
-        phrases = phrases.unionByName(more)
-    return phrases.where(F.col("f") >= min_count).drop("hash"), words
+    # after two passes only triples of newly known pairs are left, which the last one counts as well
+    found = count_texts(texts, likely, known, before)
+    found = materialize(found.where((F.col("f") >= min_count) | (F.col("size") == 0)), "phrase-counts")
+    words = found.where("size = 0 and f > 0").select("lang", F.col("f").alias("n"))
+    return found.where("size > 0"), words
 
 
 def collocations(
@@ -196,7 +234,6 @@ def collocations(
     which decimals hold the products exactly.
     """
     phrases, words = frequent_phrases(documents, min_count, **columns)
-    phrases = materialize(phrases, "phrases")
     known = phrases.select("lang", "phrase", "f")
     part = F.split("phrase", " ")
     many = phrases.where("size > 1").withColumn("w", part)
