@@ -208,6 +208,121 @@ def loans(orders: DataFrame) -> DataFrame:
     )
 
 
+def _single(rows: DataFrame, name: str, image: Column, key: Column, time: Column, offset: Column) -> DataFrame:
+    """One event per row: every seventh key is deleted, the others are created."""
+    op = F.when(key % 7 == 3, "d").otherwise("c")
+    return to_records(
+        rows,
+        name,
+        key=key,
+        op=op,
+        time=time,
+        offset=offset,
+        before=F.when(op == "d", image),
+        after=F.when(op != "d", image),
+        partitions=3,
+    )
+
+
+def _image(**columns: Column | str) -> Column:
+    return F.struct(*[F.expr(c).alias(n) if isinstance(c, str) else c.alias(n) for n, c in columns.items()])
+
+
+def _seconds(key: str) -> Column:
+    return F.timestamp_seconds(F.col(key))
+
+
+def cards(customer: DataFrame) -> DataFrame:
+    image = _image(
+        card_id="c_custkey",
+        account_id="c_custkey % 1000",
+        card_type="c_mktsegment",
+        card_number_hash="sha2(c_name, 256)",
+        expiration_date="20000 + c_custkey % 1000",
+        issue_date="date_format(date_add(date'2020-01-01', cast(c_custkey % 365 as int)), 'yyyy-MM-dd')",
+        status="'active'",
+    )
+    key = F.col("c_custkey")
+    return _single(customer, "cards", image, key, _seconds("c_custkey"), key)
+
+
+def employees(supplier: DataFrame) -> DataFrame:
+    image = _image(
+        employee_id="s_suppkey",
+        branch_id="s_suppkey % 10",
+        first_name="s_name",
+        position="'clerk'",
+        hire_date="10000 + s_suppkey % 5000",
+    )
+    key = F.col("s_suppkey")
+    return _single(supplier, "employees", image, key, _seconds("s_suppkey"), key)
+
+
+def transaction_types(nation: DataFrame) -> DataFrame:
+    image = _image(type_id="n_nationkey", type_name="n_name", description="concat('region ', n_regionkey)")
+    key = F.col("n_nationkey")
+    return _single(nation, "transaction_types", image, key, _seconds("n_nationkey"), key)
+
+
+def audit_logs(events: DataFrame) -> DataFrame:
+    """The time of an entry comes in epoch milliseconds."""
+    time = F.col("ts").cast("timestamp")
+    image = _image(
+        log_id="event_id",
+        user_id="user_id",
+        action="event_type",
+        timestamp=F.unix_millis(time),
+        details="props",
+    )
+    return _single(events, "audit_logs", image, F.col("event_id"), time, F.col("event_id"))
+
+
+def products(part: DataFrame) -> DataFrame:
+    image = _image(
+        product_id="p_partkey",
+        product_name="p_name",
+        product_type="p_type",
+        description="p_brand",
+        interest_rate="cast(p_size as double) / 4",
+        min_balance="p_retailprice",
+    )
+    key = F.col("p_partkey")
+    return _single(part, "products", image, key, _seconds("p_partkey"), key)
+
+
+def services(region: DataFrame) -> DataFrame:
+    image = _image(service_id="r_regionkey", service_name="r_name", status="'open'")
+    key = F.col("r_regionkey")
+    return _single(region, "services", image, key, _seconds("r_regionkey"), key)
+
+
+def transaction_details(lineitem: DataFrame) -> DataFrame:
+    """Details whose ids repeat, as those of the transactions do."""
+    rows = lineitem.withColumn("_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    image = _image(
+        detail_id="_id",
+        transaction_id="_id",
+        item_description="l_linestatus",
+        item_amount="l_extendedprice",
+        category="l_returnflag",
+    )
+    offset = F.col("l_partkey") * 1000000 + F.col("l_suppkey")
+    return _single(
+        rows, "transaction_details", image, F.col("_id"), F.col("l_shipdate").cast("timestamp"), offset
+    )
+
+
+def merchants(customer: DataFrame) -> DataFrame:
+    image = _image(
+        merchant_id="c_custkey",
+        merchant_name="c_name",
+        category="c_mktsegment",
+        city="concat('city ', c_nationkey)",
+    )
+    key = F.col("c_custkey")
+    return _single(customer, "merchants", image, key, _seconds("c_custkey"), key)
+
+
 def with_faults(records: DataFrame) -> DataFrame:
     """The records plus faulty copies: broken text, tombstones, misfit numbers, other tables' rows.
 

@@ -155,11 +155,114 @@ counted AS (
   UNION ALL SELECT 'branches', count(*) + count_if(s_suppkey % 10 = 0), count(*),
     count_if(s_suppkey % 10 <> 0) FROM supplier
   UNION ALL SELECT 'loans', count(*), count(*), count(*) FROM orders
-  UNION ALL SELECT unnest(['cards', 'employees', 'transaction_types', 'audit_logs', 'products',
-    'services', 'transaction_details', 'merchants']), 0, 0, 0)
+  UNION ALL SELECT 'cards', count(*), count(*), count_if(c_custkey % 7 <> 3) FROM customer
+  UNION ALL SELECT 'merchants', count(*), count(*), count_if(c_custkey % 7 <> 3) FROM customer
+  UNION ALL SELECT 'employees', count(*), count(*), count_if(s_suppkey % 7 <> 3) FROM supplier
+  UNION ALL SELECT 'transaction_types', count(*), count(*), count_if(n_nationkey % 7 <> 3) FROM nation
+  UNION ALL SELECT 'audit_logs', count(*), count(*), count_if(event_id % 7 <> 3) FROM events
+  UNION ALL SELECT 'products', count(*), count(*), count_if(p_partkey % 7 <> 3) FROM part
+  UNION ALL SELECT 'services', count(*), count(*), count_if(r_regionkey % 7 <> 3) FROM region
+  UNION ALL SELECT 'transaction_details', count(*), count(DISTINCT transaction_id),
+    count(DISTINCT CASE WHEN transaction_id % 7 <> 3 THEN transaction_id END) FROM c)
 SELECT table_name, CAST(changes AS BIGINT) AS changes, CAST(keys AS BIGINT) AS keys,
   CAST(live_keys AS BIGINT) AS live_keys FROM counted"""
 
+# Per table: its rows, whether a row is a delete, its key, and the whole number that stands for a value
+# of each column that is ever filled, beside a text whose length does.
+_COLUMNS = {
+    "accounts": (
+        "a WHERE op <> 'x'", "op = 'd'", "account_id", "user_id",
+        {"customer_id": "user_id % 50", "account_type": "CASE WHEN user_id % 2 = 0 THEN 8 ELSE 7 END",
+         "balance": "round(value * 100)", "currency": "3", "status": "length(event_type)",
+         "last_activity_date": "epoch_us(ts)"},
+        "open_date",
+    ),
+    "customers": (
+        "b", "op = 'd'", "customer_id", "o_custkey",
+        {"first_name": "length(first_name)", "city": "length(city)",
+         "date_of_birth": "3650 + o_custkey % 10000", "registration_date": "epoch_us(registration_date)"},
+        "last_name email phone_number address_line1 address_line2 state zip_code gender last_update_timestamp",
+    ),
+    "atm_transactions": (
+        "c", "false", "transaction_id", "transaction_id",
+        {"account_id": "account_id", "transaction_type": "length(transaction_type)", "amount": "round(amount * 100)"},
+        "atm_id transaction_timestamp location status",
+    ),
+    "loans": (
+        "orders", "false", "loan_id", "o_orderkey",
+        {"account_id": "o_custkey", "principal_amount": "round(o_totalprice * 100)",
+         "start_date": "CAST(o_orderdate AS DATE) - DATE '1970-01-01'",
+         "end_date": "CAST(o_orderdate AS DATE) - DATE '1970-01-01'", "status": "length(o_orderstatus)"},
+        "loan_type interest_rate outstanding_balance",
+    ),
+    "cards": (
+        "customer", "c_custkey % 7 = 3", "card_id", "c_custkey",
+        {"account_id": "c_custkey % 1000", "card_type": "length(c_mktsegment)", "card_number_hash": "64",
+         "expiration_date": "20000 + c_custkey % 1000", "issue_date": "18262 + c_custkey % 365", "status": "6"},
+        "",
+    ),
+    "branches": (
+        "(SELECT *, false AS gone FROM supplier UNION ALL SELECT *, true FROM supplier WHERE s_suppkey % 10 = 0)",
+        "gone", "branch_id", "s_suppkey",
+        {"branch_name": "length(s_name)", "city": "length(CAST(s_nationkey AS VARCHAR))"},
+        "address state zip_code phone_number",
+    ),
+    "employees": (
+        "supplier", "s_suppkey % 7 = 3", "employee_id", "s_suppkey",
+        {"branch_id": "s_suppkey % 10", "first_name": "length(s_name)", "position": "5",
+         "hire_date": "10000 + s_suppkey % 5000"},
+        "last_name email",
+    ),
+    "transaction_types": (
+        "nation", "n_nationkey % 7 = 3", "type_id", "n_nationkey",
+        {"type_name": "length(n_name)", "description": "length('region ' || n_regionkey)"},
+        "",
+    ),
+    "audit_logs": (
+        "events", "event_id % 7 = 3", "log_id", "event_id",
+        {"user_id": "user_id", "action": "length(event_type)", "timestamp": "epoch_us(ts) // 1000 * 1000",
+         "details": "length(props)"},
+        "",
+    ),
+    "products": (
+        "part", "p_partkey % 7 = 3", "product_id", "p_partkey",
+        {"product_name": "length(p_name)", "product_type": "length(p_type)", "description": "length(p_brand)",
+         "interest_rate": "p_size * 25", "min_balance": "round(p_retailprice * 100)"},
+        "",
+    ),
+    "services": (
+        "region", "r_regionkey % 7 = 3", "service_id", "r_regionkey",
+        {"service_name": "length(r_name)", "status": "4"},
+        "description",
+    ),
+    "transaction_details": (
+        "lineitem", "(l_orderkey * 10 + l_linenumber) % 7 = 3", "detail_id", "l_orderkey * 10 + l_linenumber",
+        {"transaction_id": "l_orderkey * 10 + l_linenumber", "item_description": "length(l_linestatus)",
+         "item_amount": "round(l_extendedprice * 100)", "category": "length(l_returnflag)"},
+        "",
+    ),
+    "merchants": (
+        "customer", "c_custkey % 7 = 3", "merchant_id", "c_custkey",
+        {"merchant_name": "length(c_name)", "category": "length(c_mktsegment)", "city": "length('city ' || c_nationkey)"},
+        "state",
+    ),
+}
+
+
+def _column_totals() -> str:
+    lines = []
+    for table, (rows, gone, key, key_value, filled, empty) in _COLUMNS.items():
+        values = {key: key_value}
+        values |= {c: f"CASE WHEN NOT ({gone}) THEN {e} END" for c, e in filled.items()}
+        values |= dict.fromkeys(empty.split(), "NULL")
+        for column, value in values.items():
+            lines.append(
+                f"SELECT '{table}' AS table_name, '{column}' AS column_name, count({value}) AS filled, "
+                f"CAST(coalesce(sum(CAST({value} AS BIGINT)), 0) AS BIGINT) AS total FROM {rows}"
+            )
+    return f"WITH {A}, {B}, {C} " + " UNION ALL ".join(lines)
+
+
 CLOSED_DAYS = f"""WITH {DAILY}
 SELECT * FROM daily
 WHERE CAST(account_date AS TIMESTAMP) + INTERVAL 1 DAY <= (
@@ -309,6 +412,15 @@ ORACLES = {
     "stream_change_log": f"WITH {A} SELECT {CHANGE} FROM a WHERE op <> 'x'",
     "stream_latest": f"WITH {LATEST} SELECT {CHANGE} FROM newest",
     "stream_scd2": f"WITH {HISTORY} SELECT * FROM h",
+    "stream_silver": _column_totals(),
+    "stream_quarantine": f"""WITH {A}, counted AS (
+        SELECT 'accounts' AS table_name, 'malformed' AS reason, count_if(event_id % 50 = 1) AS events FROM a
+        UNION ALL SELECT 'accounts', 'invalid_operation',
+          count_if(op = 'x') + count_if(op = 'x' AND event_id % 40 = 1) FROM a
+        UNION ALL SELECT 'accounts', 'missing_key', count_if(op <> 'x' AND event_id % 40 = 1) FROM a
+        UNION ALL SELECT 'accounts', 'cast_failure', count_if(event_id % 30 = 1) FROM a
+        UNION ALL SELECT 'closed_accounts', 'unknown_table', count(*) FROM region)
+        SELECT table_name, reason, CAST(events AS BIGINT) AS events FROM counted WHERE events > 0""",
     "stream_daily_balances_append": CLOSED_DAYS,
     "stream_daily_balances_rebuilt": f"WITH {DAILY} SELECT * FROM daily",
     "stream_daily_transactions_append": f"""WITH {C}

@@ -11,11 +11,12 @@ from tidemark.config import LakeConfig, scratch_dir
 from tidemark.functions.envelope import parse_envelope, table_of
 from tidemark.functions.images import cast_text
 from tidemark.functions.money import exact_sum
+from tidemark.functions.order import event_order_key
 from tidemark.operators import bronze as bronze_ops
 from tidemark.operators import changelog, facts, joins, latest, quality, scd
 from tidemark.plans.layers import silver_tables
 from tidemark.plans.views import create_gold_views, create_schema
-from tidemark.schemas import table_schema
+from tidemark.schemas import key_of, table_schema
 from tidemark.sources.cdc import read_cdc_batch, read_cdc_stream
 from tidemark.sources.tables import (
     append,
@@ -28,6 +29,7 @@ from tidemark.sources.tables import (
 )
 from tidemark.streaming import keyed, live
 from tidemark.streaming import queries as streams
+from tidemark.streaming.fanout import SilverFanout
 
 MAKERS = {
     "accounts": (cdc.accounts, "events"),
@@ -35,6 +37,14 @@ MAKERS = {
     "atm_transactions": (cdc.transactions, "lineitem"),
     "branches": (cdc.branches, "supplier"),
     "loans": (cdc.loans, "orders"),
+    "cards": (cdc.cards, "customer"),
+    "employees": (cdc.employees, "supplier"),
+    "transaction_types": (cdc.transaction_types, "nation"),
+    "audit_logs": (cdc.audit_logs, "events"),
+    "products": (cdc.products, "part"),
+    "services": (cdc.services, "region"),
+    "transaction_details": (cdc.transaction_details, "lineitem"),
+    "merchants": (cdc.merchants, "customer"),
 }
 
 STATE_MOMENT = "timestamp'2024-01-15 00:00:00'"
@@ -265,33 +275,88 @@ def field_changes(spark, sf_dir):
     return changelog.field_changes(log(spark, sf_dir, "customers"), table_schema("customers"))
 
 
-def silver(spark, sf_dir):
-    """All thirteen silver tables from one stored raw log: changes, keys and live keys of each."""
-    path = scratch_dir(spark, "bronze")
+def raw_of_all_tables(spark, sf_dir, path):
+    """The raw log of all thirteen tables, stored."""
     everything = union_evolving(*[raw(spark, sf_dir, name) for name in MAKERS])
     append(everything, path, bronze_ops.PARTITIONS)
+    return read_bronze(spark, path)
+
+
+def silver(spark, sf_dir):
+    """All thirteen silver tables from one stored raw log: changes, keys and live keys of each.
+
+    Each log is read once; of a key's last event only its operation is wanted here.
+    """
+    bronze = raw_of_all_tables(spark, sf_dir, scratch_dir(spark, "bronze"))
     counts = None
-    for name, table in silver_tables(read_bronze(spark, path)).items():
-        of_log = table.log.agg(F.count(F.lit(1)).alias("changes"))
-        of_keys = table.snapshot.agg(
-            F.count(F.lit(1)).alias("keys"),
-            F.count_if(F.col("operation_type") != "d").alias("live_keys"),
+    for name, table in silver_tables(bronze).items():
+        key = key_of(table_schema(name))
+        keys = table.log.groupBy(key).agg(
+            F.count(F.lit(1)).alias("changes"),
+            F.max_by("operation_type", event_order_key()).alias("last"),
         )
-        # Two one-row aggregates side by side.
-        line = of_log.select(
-            F.lit(name).alias("table_name"), "changes", F.lit(0).alias("keys"),
-            F.lit(0).alias("live_keys"),
-        ).unionByName(
-            of_keys.select(
-                F.lit(name).alias("table_name"), F.lit(0).alias("changes"), "keys", "live_keys"
-            )
+        line = keys.agg(
+            F.lit(name).alias("table_name"),
+            F.coalesce(F.sum("changes"), F.lit(0)).alias("changes"),
+            F.count(F.lit(1)).alias("keys"),
+            F.count_if(F.col("last") != "d").alias("live_keys"),
         )
         counts = line if counts is None else counts.unionByName(line)
-    return counts.groupBy("table_name").agg(
-        F.sum("changes").alias("changes"),
-        F.sum("keys").alias("keys"),
-        F.sum("live_keys").alias("live_keys"),
+    return counts
+
+
+def column_totals(log: DataFrame, name: str) -> DataFrame:
+    """Per column of a change log: how many values, and their sum as whole numbers."""
+    whole = {
+        "string": lambda c: F.length(c),
+        "date": F.unix_date,
+        "timestamp": F.unix_micros,
+        "double": lambda c: F.round(F.col(c) * 100),
+    }
+    fields = table_schema(name).fields
+    found = log.agg(
+        *[F.count(f.name).alias(f"{f.name}_filled") for f in fields],
+        *[
+            F.sum(whole.get(f.dataType.simpleString(), F.col)(f.name).cast("bigint")).alias(f"{f.name}_total")
+            for f in fields
+        ],
+    )
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.col(f"{f.name}_filled").alias("filled"),
+                F.coalesce(f"{f.name}_total", F.lit(0).cast("bigint")).alias("total"),
+            )
+            for f in fields
+        ]
     )
+    return found.select(F.lit(name).alias("table_name"), F.inline(lines))
+
+
+def stream_silver(spark, sf_dir):
+    """One stream for all thirteen change logs, in two waves; the typed columns of each, added up."""
+    lake = LakeConfig.under(scratch_dir(spark, "stream_silver"))
+    events = raw_of_all_tables(spark, sf_dir, f"{lake.bronze_path}_all")
+    fan = SilverFanout(spark, lake)
+    totals = None
+    for wave in range(2):
+        append(events.filter(F.pmod("kafka_offset", F.lit(2)) == wave), lake.bronze_path, bronze_ops.PARTITIONS)
+        finish(fan.run(once=True))
+    for name in MAKERS:
+        line = column_totals(spark.read.parquet(fan.log_path(name)), name)
+        totals = line if totals is None else totals.unionByName(line)
+    return totals
+
+
+def stream_quarantine(spark, sf_dir):
+    """What the shared stream keeps out, unknown tables and misfit values included."""
+    lake = LakeConfig.under(scratch_dir(spark, "stream_quarantine"))
+    foreign = raw(spark, sf_dir, "services").withColumn("table_name", F.lit("closed_accounts"))
+    append(faulty(spark, sf_dir).unionByName(foreign), lake.bronze_path, bronze_ops.PARTITIONS)
+    fan = SilverFanout(spark, lake)
+    finish(fan.run(once=True))
+    return fan.quarantine().groupBy("table_name", "reason").agg(F.count(F.lit(1)).alias("events"))
 
 
 # Gold
@@ -690,6 +755,8 @@ QUERIES = {
     "state_at": state_at,
     "field_changes": field_changes,
     "silver_tables": silver,
+    "stream_silver": stream_silver,
+    "stream_quarantine": stream_quarantine,
     "scd2_history": scd2_history,
     "scd2_history_hot": scd2_history_hot,
     "scd2_current": scd2_current,

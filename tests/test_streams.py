@@ -12,7 +12,7 @@ from fixtures import cdc
 from tidemark.config import LakeConfig, scratch_dir
 from tidemark.operators import scd
 from tidemark.operators.bronze import to_bronze
-from tidemark.operators.changelog import change_log
+from tidemark.operators.changelog import change_log, quarantine
 from tidemark.operators.facts import (
     ACCOUNT_DIMENSIONS,
     daily_account_balances,
@@ -21,7 +21,7 @@ from tidemark.operators.facts import (
 from tidemark.operators.latest import latest_per_key
 from tidemark.sources.cdc import KafkaUnavailable, read_cdc_batch, read_cdc_stream
 from tidemark.sources.tables import read_bronze, read_bronze_stream, read_dataset
-from tidemark.streaming import keyed, live, queries
+from tidemark.streaming import fanout, keyed, live, queries
 
 
 @pytest.fixture
@@ -337,6 +337,62 @@ def test_latest_table_runs_as_a_stream(spark, lake):
     assert same(table.read().select("account_id", "balance"), batch.select("account_id", "balance"))
 
 
+def test_a_stream_per_table_reports_what_it_rejects(spark, lake, sf_dir):
+    to_bronze(cdc.accounts(cdc.table(spark, sf_dir, "events"))).write.parquet(lake.bronze_path)
+    query = live.run_silver_apart(spark, lake, ["accounts"], once=True)["accounts"]
+    query.awaitTermination(120)
+    seen = [p.observedMetrics["silver_accounts"] for p in query.recentProgress]
+    assert sum(s["events"] for s in seen) == 1000
+    assert sum(s["invalid_operation"] for s in seen) == 11
+
+
+def silver_batch(spark, sf_dir):
+    frames = [
+        cdc.with_faults(cdc.accounts(cdc.table(spark, sf_dir, "events"))).drop("fault"),
+        cdc.branches(cdc.table(spark, sf_dir, "supplier")),
+        cdc.services(cdc.table(spark, sf_dir, "region")).withColumn("topic", F.lit("a.b.unheard_of")),
+    ]
+    return to_bronze(frames[0].unionByName(frames[1]).unionByName(frames[2]), "topic")
+
+
+def test_the_shared_stream_parses_once_and_writes_each_log_like_batch(spark, lake, sf_dir):
+    fan = fanout.SilverFanout(spark, lake)
+    bronze = silver_batch(spark, sf_dir)
+    fan.apply(bronze, 0)
+    routed = fanout.route_events(bronze)._jdf.queryExecution().optimizedPlan().toString()
+    assert routed.count("from_json") == 1
+    for table in ("accounts", "branches"):
+        stored = spark.read.parquet(fan.log_path(table)).drop("batch_id", *VOLATILE)
+        assert same(stored, change_log(bronze, table).drop(*VOLATILE))
+        kept = fan.quarantine().filter(F.col("table_name") == table)
+        assert same(kept.select("reason", "kafka_offset"), quarantine(bronze, table).select("reason", "kafka_offset"))
+    unknown = fan.quarantine().filter("reason = 'unknown_table'")
+    assert rows_of(unknown, "table_name") == [("unheard_of",)] * 5
+    assert not os.path.exists(fan.log_path("cards"))
+
+
+VOLATILE = ("ingestion_timestamp", "processing_timestamp")
+
+
+def test_a_retried_batch_of_the_shared_stream_adds_nothing(spark, lake, sf_dir):
+    """Complete folders keep their files, which later streams may have read; broken ones are redone."""
+    fan = fanout.SilverFanout(spark, lake)
+    bronze = silver_batch(spark, sf_dir)
+    fan.apply(bronze, 7)
+    files = set(spark.read.parquet(fan.log_path("accounts")).inputFiles())
+    counts = [spark.read.parquet(fan.log_path(t)).count() for t in ("accounts", "branches")]
+    rejected = fan.quarantine().count()
+    half = spark.read.parquet(fan.log_path("branches")).limit(2).drop("batch_id")
+    half = spark.createDataFrame(half.collect(), half.schema)
+    half.write.mode("overwrite").parquet(f"{fan.log_path('branches')}/batch_id=7")
+    fan.apply(bronze, 7)
+    assert set(spark.read.parquet(fan.log_path("accounts")).inputFiles()) == files
+    assert [spark.read.parquet(fan.log_path(t)).count() for t in ("accounts", "branches")] == counts
+    assert fan.quarantine().count() == rejected
+    fan.apply(bronze.limit(0), 8)
+    assert fan.quarantine().count() == rejected
+
+
 def test_published_table_as_a_stream(spark, lake):
     spark.range(5).withColumn("x", F.lit("a")).write.mode("overwrite").option(
         "path", f"{lake.silver_path}/t"
@@ -369,12 +425,11 @@ def test_whole_lake_as_streams_equals_batch(spark, lake, sf_dir):
         drop_off(frame, inbox, name)
     stream = read_cdc_stream(spark, lake, "files", inbox + "/*")
     queries.run_bronze(stream, lake, once=True).awaitTermination(300)
-    for name, query in live.run_silver(spark, lake, list(made), once=True).items():
-        query.awaitTermination(300)
-        if name == "accounts":
-            seen = [p.observedMetrics[f"silver_{name}"] for p in query.recentProgress]
-            assert sum(s["events"] for s in seen) == 1000
-            assert sum(s["invalid_operation"] for s in seen) == 11
+    silver = live.run_silver(spark, lake, once=True)
+    silver.awaitTermination(300)
+    assert sum(len(p["sources"]) for p in silver.recentProgress) == len(silver.recentProgress)
+    rejected = fanout.SilverFanout(spark, lake).quarantine()
+    assert rows_of(rejected, "table_name", "reason") == [("accounts", "invalid_operation")] * 11
     gold = live.LiveGold(spark, lake)
     for query in gold.run(once=True).values():
         query.awaitTermination(300)

@@ -46,8 +46,8 @@ def typed_images(parsed: DataFrame, schema: T.StructType) -> DataFrame:
     return parsed.select(*flatten_images(schema), *METADATA)
 
 
-def _rejection(table: str, schema: T.StructType) -> Column:
-    """Why an event cannot enter the change log (NULL if it can).
+def rejection(table: str, schema: T.StructType) -> Column:
+    """Why a parsed event cannot enter the change log (NULL if it can).
 
     A Kafka tombstone (no text at all) is no event and is told apart from malformed text.
     """
@@ -86,13 +86,19 @@ def change_log(
     passing; streams report them with each micro-batch.
     """
     schema = schema or table_schema(table)
-    key = key_of(schema)
     parsed = parsed_events(bronze, table, schema)
     if observation is not None:
-        rejected = _rejection(table, schema)
+        rejected = rejection(table, schema)
         counts = [F.count_if(rejected == reason).alias(reason) for reason in REJECTIONS]
         parsed = parsed.observe(observation, F.count(F.lit(1)).alias("events"), *counts)
-    typed = typed_images(parsed.filter(_rejection(table, schema).isNull()), schema)
+    return typed_log(parsed.filter(rejection(table, schema).isNull()), table, schema)
+
+
+def typed_log(parsed: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
+    """The change log's rows of parsed events that are known to be valid."""
+    schema = schema or table_schema(table)
+    key = key_of(schema)
+    typed = typed_images(parsed, schema)
     return typed.withColumn(key, F.coalesce(F.col(key), F.col(f"before_{key}")))
 
 
@@ -105,7 +111,7 @@ def quarantine(bronze: DataFrame, table: str, schema: T.StructType | None = None
     schema = schema or table_schema(table)
     parsed = parsed_events(bronze, table, schema)
     bad_cast = F.when(any_cast_failed(schema), "cast_failure")
-    reason = F.coalesce(_rejection(table, schema), bad_cast)
+    reason = F.coalesce(rejection(table, schema), bad_cast)
     return (
         parsed.withColumn("reason", reason)
         .filter("reason IS NOT NULL AND reason <> 'tombstone'")
