@@ -24,7 +24,7 @@ SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Shares are whole numbers of this unit.
 UNIT = 1_000_000_000
 #: Cells of one shard's matrix of terms by sources, and sources whose sums one task gives out.
-SHARD_CELLS, SOURCE_BLOCK = 2_000_000, 512
+SHARD_CELLS, SOURCE_BLOCK = 50_000, 512
 
 
 def count_terms(documents: DataFrame) -> DataFrame:
