@@ -263,6 +263,50 @@ def _column_totals() -> str:
     return f"WITH {A}, {B}, {C} " + " UNION ALL ".join(lines)
 
 
+
+
+def _status_versions(name: str, key: str, rows: str) -> str:
+    """CTEs that end in ``name``: versions of the status by ``key``, closed by deletes."""
+    return f"""{name}1 AS (
+  SELECT {key} AS k, ts_ms, op, event_type FROM a WHERE {rows}
+  QUALIFY row_number() OVER (PARTITION BY {key}, ts_ms ORDER BY user_id % 6 DESC, event_id DESC) = 1),
+{name}2 AS (
+  SELECT *, CASE WHEN lag(ts_ms) OVER w IS NULL OR lag(op = 'd') OVER w <> (op = 'd')
+      OR (op <> 'd' AND event_type IS DISTINCT FROM lag(event_type) OVER w) THEN 1 ELSE 0 END AS opens
+  FROM {name}1 WINDOW w AS (PARTITION BY k ORDER BY ts_ms)),
+{name}3 AS (SELECT *, sum(opens) OVER (PARTITION BY k ORDER BY ts_ms) AS version FROM {name}2),
+{name}4 AS (
+  SELECT k, version, min(ts_ms) AS start_at, any_value(event_type) AS status, bool_or(op = 'd') AS gone
+  FROM {name}3 GROUP BY k, version),
+{name} AS (
+  SELECT * FROM (SELECT *, lead(start_at) OVER (PARTITION BY k ORDER BY version) AS end_at FROM {name}4)
+  WHERE NOT gone)"""
+
+
+HISTORY_JOIN = f"""WITH {A}, {_status_versions("x", "user_id", "op <> 'x'")},
+{_status_versions("y", "user_id % 50", "op NOT IN ('x', 'd')")}
+SELECT x.k AS account_id, x.k % 50 AS customer_id, x.status, y.status AS customer_status,
+  greatest(x.start_at, y.start_at) AS __START_AT, least(x.end_at, y.end_at) AS __END_AT
+FROM x JOIN y ON y.k = x.k % 50 AND x.start_at < coalesce(y.end_at, 9e18)
+  AND y.start_at < coalesce(x.end_at, 9e18)"""
+
+AUDITED = """audited AS (
+  SELECT CAST(event_id % 10 = 0 AS INTEGER) AS p, event_id AS o,
+         CASE WHEN event_id % 41 = 0 THEN 3 ELSE 1 END AS copies,
+         ts - CASE WHEN event_id % 53 = 0 THEN INTERVAL 2 DAY ELSE INTERVAL 0 DAY END AS t
+  FROM events WHERE event_id % 37 NOT IN (5, 6)),
+stepped AS (
+  SELECT *, lag(o) OVER w AS previous,
+    max(t) OVER (PARTITION BY p ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest
+  FROM audited WINDOW w AS (PARTITION BY p ORDER BY o))"""
+
+
+def _state(moment: str) -> str:
+    return f"""SELECT '{moment}' AS moment, {CHANGE} FROM (
+        SELECT * FROM a WHERE op <> 'x' AND date_trunc('milliseconds', ts) <= TIMESTAMP '{moment}'
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, event_id DESC) = 1) WHERE op <> 'd'"""
+
+
 CLOSED_DAYS = f"""WITH {DAILY}
 SELECT * FROM daily
 WHERE CAST(account_date AS TIMESTAMP) + INTERVAL 1 DAY <= (
@@ -433,6 +477,27 @@ ORACLES = {
     "stream_daily_balances_update": f"WITH {DAILY} SELECT * FROM daily",
     "stream_daily_balances_late": f"WITH {DAILY} SELECT * FROM daily",
     "stream_daily_transactions": f"WITH {TRANSACTIONS} SELECT * FROM summary",
+    "history_join": HISTORY_JOIN,
+    "history_join_walk": HISTORY_JOIN,
+    "state_at_snapshots": f"WITH {A} " + " UNION ALL ".join(
+        _state(m)
+        for m in ("2024-01-09 12:00:00", "2024-01-15 00:00:00", "2024-01-15 06:30:00", "2024-01-28 00:00:00")
+    ),
+    "offset_gaps": f"""WITH {AUDITED} SELECT 'accounts' AS kafka_topic, p AS kafka_partition,
+        previous + 1 AS first_missing, o - 1 AS last_missing, o - previous - 1 AS missing
+        FROM stepped WHERE o > previous + 1""",
+    "offset_audit": f"""WITH {AUDITED} SELECT 'accounts' AS kafka_topic, p AS kafka_partition,
+        min(o) AS first_offset, max(o) AS last_offset, count(*) AS offsets,
+        max(o) - min(o) + 1 - count(*) AS missing, CAST(sum(copies - 1) AS BIGINT) AS repeated,
+        count_if(t < latest) AS out_of_order FROM stepped GROUP BY p""",
+    "quality_profile": f"""WITH {A} SELECT DATE '2024-01-01' AS month, column_name,
+        count_if(op <> 'x') AS rows,
+        count_if(op <> 'x' AND (op <> 'd' OR column_name = 'account_id')) AS filled,
+        true AS distinct_within, true AS median_within
+        FROM a, unnest(['account_id', 'status', 'balance', 'last_activity_date']) AS c(column_name)
+        GROUP BY column_name""",
+    "key_lookup": f"""WITH {A} SELECT {CHANGE} FROM a WHERE op <> 'x' AND user_id IN (7, 77, 117)
+        AND date_trunc('milliseconds', ts) BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-12'""",
     "compact_partitions": f"SELECT {BASIC}, CAST(ts AS DATE) AS event_day FROM events",
     "compact_text_partitions": """SELECT event_id,
         lpad(CAST(event_id % 12 AS VARCHAR), 3, '0') AS desk FROM events""",

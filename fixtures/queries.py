@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +15,11 @@ from tidemark.functions.images import cast_text
 from tidemark.functions.money import exact_sum
 from tidemark.functions.order import event_order_key
 from tidemark.operators import bronze as bronze_ops
-from tidemark.operators import changelog, facts, joins, latest, quality, scd
+from tidemark.operators import changelog, facts, joins, latest, offsets, profiles, quality, scd
 from tidemark.plans.layers import silver_tables
 from tidemark.plans.views import create_gold_views, create_schema
 from tidemark.schemas import key_of, table_schema
+from tidemark.sources import clustering, snapshots
 from tidemark.sources.cdc import read_cdc_batch, read_cdc_stream
 from tidemark.sources.tables import (
     append,
@@ -716,6 +719,134 @@ def stream_daily_transactions(spark, sf_dir):
     return gold.daily_transactions
 
 
+# Histories joined, snapshots, audits, profiles and lookups
+
+
+def status_history(log, keys):
+    """Versions of the status by the given key; deletes close them."""
+    fields = [*dict.fromkeys(["account_id", "customer_id", *keys])]
+    changes = log.select(*fields, "status", "operation_type", "operation_timestamp_ms", "kafka_partition", "kafka_offset")
+    return scd.scd2_apply(
+        changes,
+        keys,
+        "operation_timestamp_ms",
+        ["status"],
+        "operation_type = 'd'",
+        ["operation_type", "operation_timestamp_ms", "kafka_partition"],
+        ["kafka_partition", "kafka_offset"],
+    )
+
+
+def history_join(spark, sf_dir, max_versions=joins.MAX_VERSIONS, rows_per_task=joins.ROWS_PER_TASK):
+    """Each account's status history against that of its customer, over all times both have one."""
+    changes = materialize(log(spark, sf_dir, "accounts"), "accounts_log")
+    accounts = materialize(status_history(changes, ["account_id"]).drop("kafka_offset"), "account_history")
+    customers = status_history(changes.filter("operation_type <> 'd'"), ["customer_id"])
+    customers = customers.withColumnRenamed("status", "customer_status")
+    customers = materialize(customers.select("customer_id", "customer_status", scd.START, scd.END), "customer_history")
+    return joins.history_join(
+        accounts,
+        customers,
+        ["account_id"],
+        {"customer_id": "customer_id"},
+        ["customer_status"],
+        rows_per_task,
+        max_versions,
+    )
+
+
+def history_join_walk(spark, sf_dir):
+    """The same with all histories taken as long."""
+    return history_join(spark, sf_dir, max_versions=0)
+
+
+SNAPSHOT_DAYS = (10, 15, 20)
+MOMENTS = ("2024-01-09 12:00:00", "2024-01-15 00:00:00", "2024-01-15 06:30:00", "2024-01-28 00:00:00")
+
+
+def state_at_snapshots(spark, sf_dir):
+    """The accounts at moments before, at and after stored snapshots."""
+    root = scratch_dir(spark, "snapshots")
+    snapshots.store_by_day(log(spark, sf_dir, "accounts"), f"{root}/log")
+    taken = snapshots.Snapshots(spark, f"{root}/snapshots", f"{root}/log", "account_id")
+    for day in SNAPSHOT_DAYS:
+        taken.take(datetime(2024, 1, day))
+    states = None
+    for moment in MOMENTS:
+        state = taken.state_at(datetime.fromisoformat(moment)).withColumn("moment", F.lit(moment))
+        states = state if states is None else states.unionByName(state)
+    return plain(states, "moment", *CHANGE_FIELDS)
+
+
+def audited_log(spark, sf_dir):
+    """A raw log of two Kafka partitions, nine tenths in one, with offsets lost, repeated and, by their
+    time, out of order."""
+    number = F.col("event_id")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").filter(~(number % 37).isin(5, 6))
+    copies = F.explode(F.sequence(F.lit(1), F.when(number % 41 == 0, 3).otherwise(1)))
+    late = F.when(number % 53 == 0, F.expr("INTERVAL 2 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    return events.select(
+        F.lit("accounts").alias("kafka_topic"),
+        (number % 10 == 0).cast("int").alias("kafka_partition"),
+        number.alias("kafka_offset"),
+        (F.col("ts").cast("timestamp") - late).alias("kafka_timestamp"),
+        copies.alias("_copy"),
+    ).drop("_copy")
+
+
+def offset_gaps(spark, sf_dir):
+    return offsets.offset_gaps(audited_log(spark, sf_dir), span=256)
+
+
+def offset_audit(spark, sf_dir):
+    return offsets.offset_audit(audited_log(spark, sf_dir), span=256)
+
+
+PROFILED = ["account_id", "status", "balance", "last_activity_date"]
+
+
+def quality_profile(spark, sf_dir):
+    """Daily profiles of the accounts' changes merged to the month, held against exact figures.
+
+    Whether the sketches' figures are within their errors: three standard errors of the number of
+    different values, two hundredths of the rows in the median's rank.
+    """
+    changes = materialize(log(spark, sf_dir, "accounts").select("event_time", *PROFILED), "profiled")
+    daily = materialize(profiles.daily_profile(changes, F.to_date("event_time"), PROFILED), "profile")
+    month = profiles.read_profile(profiles.merged_profile(daily, F.trunc("day", "month")), [0.5])
+    exact = None
+    for name in PROFILED:
+        number = F.unix_micros(name) / F.lit(1_000_000.0) if "date" in name else F.col(name)
+        number = F.lit(None).cast("double") if name == "status" else number.cast("double")
+        line = changes.agg(
+            F.lit(name).alias("column_name"),
+            F.countDistinct(F.col(name).cast("string")).alias("exact"),
+            F.percentile(number, [0.48, 0.52]).alias("around"),
+        )
+        exact = line if exact is None else exact.unionByName(line)
+    both = month.join(exact, "column_name")
+    median = F.col("quantiles")[0]
+    return both.select(
+        F.col("day").alias("month"),
+        "column_name",
+        "rows",
+        "filled",
+        (F.abs(F.col("distinct_values") / F.col("exact") - 1) <= 3 * 0.0163).alias("distinct_within"),
+        F.coalesce(median.between(F.col("around")[0], F.col("around")[1]), F.lit(True)).alias("median_within"),
+    )
+
+
+def key_lookup(spark, sf_dir):
+    """Changes of some accounts within some days, from files clustered by account and time."""
+    path = scratch_dir(spark, "clustered")
+    changes = log(spark, sf_dir, "accounts")
+    clustering.write_clustered(changes, path, ["account_id", "event_time"], files=16, bloom=["account_id"])
+    wanted = F.col("account_id").isin(7, 77, 117) & F.col("event_time").between(
+        F.lit("2024-01-05").cast("timestamp"), F.lit("2024-01-12").cast("timestamp")
+    )
+    return plain(spark.read.schema(changes.schema).parquet(path).filter(wanted), *CHANGE_FIELDS)
+
+
 def compacted(spark, sf_dir):
     """A raw log of many small files, rewritten into few."""
     root = scratch_dir(spark, "compact")
@@ -802,6 +933,13 @@ QUERIES = {
     "stream_daily_balances_update": stream_daily_balances_update,
     "stream_daily_balances_late": stream_daily_balances_late,
     "stream_daily_transactions": stream_daily_transactions,
+    "history_join": history_join,
+    "history_join_walk": history_join_walk,
+    "state_at_snapshots": state_at_snapshots,
+    "offset_gaps": offset_gaps,
+    "offset_audit": offset_audit,
+    "quality_profile": quality_profile,
+    "key_lookup": key_lookup,
     "compact_partitions": compacted,
     "compact_text_partitions": compacted_text,
 }
