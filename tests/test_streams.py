@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -19,6 +20,7 @@ from tidemark.operators.facts import (
     daily_transactions,
 )
 from tidemark.operators.latest import latest_per_key
+from tidemark.sources import files
 from tidemark.sources.cdc import KafkaUnavailable, read_cdc_batch, read_cdc_stream
 from tidemark.sources.tables import read_bronze, read_bronze_stream, read_dataset
 from tidemark.streaming import fanout, keyed, live, queries
@@ -306,6 +308,69 @@ def test_a_transaction_that_is_deleted_leaves_nothing(spark, lake):
         assert days == [[1], [2], []][wave]
 
 
+def log_folders(table):
+    return files.find(table.spark, f"{table.log_path}/bucket=*/period=*/batch_id=*")
+
+
+def keyed_tables(spark, lake):
+    """A table of every kind with the batches it takes, and what it should hold after all of them."""
+    accounts = [
+        change_log(to_bronze(records(spark, texts, start=i * 100)), "accounts")
+        for i, texts in enumerate(
+            [[change_at(h, float(h), h % 3) for h in range(w, 90 + w * 40, 3)] for w in range(4)]
+        )
+    ]
+    changes, rows = random_changes(spark, 6, days=90)
+    options = dict(keys=["k"], sequence_by="seq", tracked=["city"], delete_when="op = 'd'", tie_break=["off"])
+    whole = accounts[0].unionByName(accounts[1]).unionByName(accounts[2]).unionByName(accounts[3])
+    history = scd.scd2_apply(spark.createDataFrame(rows, CHANGES), **options)
+    return {
+        "latest": (
+            keyed.latest_table(spark, f"{lake.silver_path}/l", "account_id", 2),
+            accounts,
+            latest_per_key(whole, "account_id").drop("ingestion_timestamp", "processing_timestamp"),
+        ),
+        "balances": (
+            keyed.balances_table(spark, f"{lake.gold_path}/b", 2, "day"),
+            accounts,
+            daily_account_balances(whole),
+        ),
+        "history": (
+            keyed.history_table(spark, f"{lake.gold_path}/h", buckets=2, **options),
+            changes,
+            history,
+        ),
+    }
+
+
+@pytest.mark.parametrize("kind", ["latest", "balances", "history"])
+def test_merging_the_log_between_batches_changes_no_result(spark, lake, kind, monkeypatch):
+    table, batches, expected = keyed_tables(spark, lake)[kind]
+    table.apply(batches[0], 0)
+    table.apply(batches[1], 1)
+    closed = max(re.search("period=([^/]*)", f)[1] for f in log_folders(table))
+    table.apply(batches[2], 2)
+    assert table.merge_log(closed) > 0 and table._archived()
+    left = [re.search(r"period=([^/]*)/batch_id=(.)", f).groups() for f in log_folders(table)]
+    merged = set(table._archived())
+    assert left and not [f for f in left if f[0] in merged and f[1] < "2"]
+    assert len(log_folders(table)) < before + 10 and table._archived()
+    # a merge that dies before it has removed what it replaced, then one that dies while writing
+    with monkeypatch.context() as broken:
+        broken.setattr(keyed.KeyedTable, "_forget", lambda *a: None)
+        table.merge_log("9999", least=1)
+    half = f"{table.archive_path}/period={closed}/upto=999"
+    spark.range(3).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(half)
+    files.remove(spark, [f"{half}/_SUCCESS"])
+    table.apply(batches[3], 3)
+    table.apply(batches[3], 3)
+    assert same(table.read().select(*expected.columns), expected)
+    table.merge_log("9999", least=1)
+    assert {f.rsplit("=", 1)[1] for f in log_folders(table)} == {"3"}
+    table.apply(batches[0].limit(1), 4)
+    assert table.read().count() == expected.count() or kind == "balances"
+
+
 def test_pieces_come_in_lots(spark, monkeypatch):
     monkeypatch.setattr(keyed, "LISTED_PIECES", 3)
     rows = [(b, f"p{p}") for b in range(3) for p in range(4 if b else 2)]
