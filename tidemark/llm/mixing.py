@@ -80,21 +80,24 @@ def mix(
     Every document is repeated as often as the target holds the whole source. For the rest,
     documents are lined up by a hash of seed and id and taken one by one while the middle of the
     next one is not beyond the rest, so a source misses its target by half a document at most.
-    Rows that share an id are taken or left together.
+    Rows are told apart by id and text; of rows that share both, as many are taken as there is room
+    for, whichever they are.
 
     Adds ``size``, ``source_size``, ``target`` and ``repetitions`` (zero: left out); input columns
     of these names are replaced. Null texts have size 0, null is a source like any other, null ids
-    count as one id. An empty table gives an empty result.
+    are told apart by their texts. An empty table gives an empty result.
 
-    Only ids, sources and sizes are shuffled. A source's documents are summed in 4,096 hash ranges
+    Only hashes, sources and sizes are shuffled. A source's documents are summed in 4,096 hash ranges
     first and only the range in which the rest ends is sorted, so a source with a third of all
     documents is spread over many tasks.
     """
-    lot = _lot(seed, id_col)
+    lot = _lot(seed, id_col, text_col)
     docs = documents.select(
         F.col(source_col).alias("source"), lot.alias("lot"), n_words(text_col).alias("size")
     )
-    units = docs.groupBy("source", "lot").agg(F.sum("size").alias("size"))
+    units = docs.groupBy("source", "lot").agg(
+        F.sum("size").alias("size"), F.max("size").alias("each"), F.count(F.lit(1)).alias("n")
+    )
     units = materialize(units, "units")
     sources = materialize(
         units.groupBy("source").agg(F.sum("size").alias("source_size")), "sizes"
@@ -121,7 +124,7 @@ def mix(
     sources = sources.alias("s").join(last.alias("l"), F.col("s.source").eqNullSafe(F.col("l.source")), "left")
     sources = materialize(
         sources.select(
-            F.col("s.source").alias("__source"), "source_size", "target", "whole", "last"
+            F.col("s.source").alias("__source"), "source_size", "target", "whole", "last", "copies", "n"
         ),
         "targets",
     )
@@ -129,18 +132,44 @@ def mix(
     rows = documents.drop(*[c for c in added if c in documents.columns])
     rows = rows.withColumn("size", n_words(text_col))
     rows = rows.join(sources, rows[source_col].eqNullSafe(F.col("__source")))
-    more = F.coalesce(lot <= F.col("last"), F.lit(False)).cast("int")
-    rows = rows.withColumn("repetitions", (F.col("whole") + more).cast("int"))
-    return rows.drop("__source", "whole", "last")
-
-
-def _lot(seed: int, id_col: str) -> Column:
+    rows = rows.withColumnsRenamed({"last": "__last", "copies": "__copies", "n": "__n", "whole": "__whole"})
+    split = (lot == F.col("__last")) & (F.col("__copies") < F.col("__n"))
+    more = F.coalesce((lot < F.col("__last")) | ((lot == F.col("__last")) & ~split), F.lit(False)).cast("int")
+    if not sources.where("copies < n and copies > 0").isEmpty():  # equal rows of which only some are taken
+        split = F.coalesce(split, F.lit(False))
+        numbered = _numbered(rows.where(split)).withColumn("__more", (F.col("__number") < F.col("__copies")).cast("int"))
+        rows = rows.where(~split).withColumn("__more", more).unionByName(numbered.drop("__number"))
+        more = F.col("__more")
+    rows = rows.withColumn("repetitions", (F.col("__whole") + more).cast("int"))
+    return rows.drop("__source", "__whole", "__last", "__copies", "__n", "__more")
+
+
+def _lot(seed: int, id_col: str, text_col: str) -> Column:
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    return F.md5(F.concat(F.lit(f"{seed}:"), name).cast("binary"))
+    text = F.md5(text_or_empty(text_col).cast("binary"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), name, F.lit(":"), text).cast("binary"))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows numbered from 0 within their source, each task's own after those of the tasks before."""
+    rows = materialize(rows.withColumn("__task", F.spark_partition_id()), "split")
+    key = F.concat(F.isnull("__source").cast("string"), F.coalesce("__source", F.lit("")))
+    counts = rows.groupBy(key.alias("__key"), "__task").agg(F.count(F.lit(1)).alias("__rows"))
+    earlier = Window.partitionBy("__key").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__rows").over(earlier), F.lit(0))
+    counts = counts.select("__key", F.col("__task").alias("__of"), before.alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__key", "__task").orderBy(F.lit(0)))
+    rows = rows.withColumn("__key", key).withColumn("__own", own)
+    counts = counts.withColumnRenamed("__key", "__group")
+    rows = rows.join(counts, (F.col("__key") == F.col("__group")) & (F.col("__task") == F.col("__of")))
+    return rows.withColumn("__number", F.col("__before") + F.col("__own") - 1).drop(
+        "__key", "__task", "__rows", "__of", "__before", "__own", "__group"
+    )
 
 
 def _last_lots(units: DataFrame, sources: DataFrame) -> DataFrame:
-    """Per source the last lot that is taken once more, ``(source, last)``."""
+    """Per source the last lot of which a row is taken once more, how many rows it has and how many of
+    them are taken, ``(source, last, n, copies)``."""
     bucket = F.substring("lot", 1, 3).alias("bucket")
     sums = units.groupBy("source", bucket).agg(F.sum("size").alias("size"))
     so_far = Window.partitionBy("source").orderBy("bucket")
@@ -162,12 +191,16 @@ def _last_lots(units: DataFrame, sources: DataFrame) -> DataFrame:
     )
     line = Window.partitionBy("u.source").orderBy("lot")
     own = F.coalesce(F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    middle = F.col("before") + own + F.col("size") / 2
-    taken = inside.select("u.source", "u.bucket", "lot", "rest", middle.alias("middle"))
-    taken = taken.where("middle <= rest").groupBy("source").agg(F.max("lot").alias("lot"))
+    start = F.col("before") + own
+    taken = inside.select("u.source", "lot", "rest", "each", "n", start.alias("start"))
+    # the middle of a lot's first row is within the rest, and of as many more as there is room for
+    room = F.floor(F.try_divide(F.col("rest") - F.col("start"), "each") + 0.5)
+    copies = F.least(F.col("n"), F.coalesce(room, F.col("n"))).alias("copies")
+    taken = taken.where("start + each / 2 <= rest").groupBy("source")
+    taken = taken.agg(F.max(F.struct("lot", "n", copies)).alias("t")).select("source", "t.*")
     # before a range of which nothing is taken, all earlier ranges are
     last = ends.alias("e").join(taken.alias("t"), F.col("e.source").eqNullSafe(F.col("t.source")), "left")
-    return last.select("e.source", F.coalesce("t.lot", "e.bucket").alias("last"))
+    return last.select("e.source", F.coalesce("t.lot", "e.bucket").alias("last"), "n", "copies")
 
 
 def repeated(mixed: DataFrame) -> DataFrame:

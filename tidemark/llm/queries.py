@@ -154,7 +154,8 @@ QUERIES = {
 
 OP6_SQL = """
 WITH docs AS (
-  SELECT doc_id, source, md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS lot,
+  SELECT doc_id, source,
+         md5('0:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS lot,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents
 ), sources AS (
@@ -174,17 +175,15 @@ WITH docs AS (
 ), targets AS (
   SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), (SELECT level FROM level) * weight) AS target
   FROM sources
-), lots AS (
-  SELECT source, lot, sum(size) AS size FROM docs GROUP BY source, lot
 ), lined AS (
-  SELECT l.source, l.lot, source_size, target, floor(target / source_size) AS whole,
-         coalesce(sum(size) OVER (PARTITION BY l.source ORDER BY lot
+  SELECT d.doc_id, d.size, source_size, target, floor(target / source_size) AS whole,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY lot
                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size / 2 AS middle
-  FROM lots l JOIN targets t ON l.source IS NOT DISTINCT FROM t.source
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 )
-SELECT d.doc_id, d.size, source_size, target,
-       CAST(d.size * (whole + CASE WHEN middle <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM docs d JOIN lined x ON d.source IS NOT DISTINCT FROM x.source AND d.lot = x.lot
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN middle <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM lined
 """
 
 OP10_SQL = """
