@@ -120,3 +120,30 @@ def test_awkward_rows(spark):
     assert d.find_contamination(nothing(spark), benchmark).count() == 0
     empty = d.find_contamination(documents, benchmark.where("false")).select("found.*").collect()
     assert {r.longest for r in empty} == {0}
+
+
+def test_equal_and_long_items_keep_every_block_within_its_bound(spark, monkeypatch):
+    """A third of the benchmark is one row over and over, and one item is longer than a block."""
+    chance = random.Random(8)
+    monkeypatch.setattr(d, "BLOCK_WORDS", 2000)
+    monkeypatch.setattr(d, "PIECE_WORDS", 100)
+
+    def prose(n):
+        return " ".join(f"w{chance.randint(0, 900)}" for _ in range(n))
+
+    same_text, long = prose(60), prose(5000)
+    items = [(9000, same_text)] * 200 + [(i, prose(40)) for i in range(400)] + [(9001, long)]
+    benchmark = spark.createDataFrame(items, "item string, text string")
+    pieces, blocks = d._dealt(benchmark, 13)
+    sizes = [sum(len(d.words_of(r.text)) for r in pieces.where(f"block = {b}").collect()) for b in range(blocks)]
+    assert blocks > 8 and max(sizes) <= 2000 + 2 * 112 and min(sizes) > 0
+    assert pieces.where("item = 9000").count() == 1
+    docs = [(1, same_text), (2, prose(30) + " " + " ".join(long.split()[2000:2400])), (2, "nothing"), (None, None)]
+    documents = spark.createDataFrame(docs, "doc_id long, text string")
+    parts = d.find_contamination(documents, benchmark, item_col="item").orderBy("doc_id", "text").collect()
+    monkeypatch.setattr(d, "BLOCK_WORDS", 10**6)
+    whole = d.find_contamination(documents, benchmark, item_col="item").orderBy("doc_id", "text").collect()
+    assert [(r.doc_id, r.text, r.found.spans, r.found["items"]) for r in parts] == [
+        (r.doc_id, r.text, r.found.spans, r.found["items"]) for r in whole
+    ]
+    assert [len(r.found.spans) for r in parts] == [0, 1, 0, 1]

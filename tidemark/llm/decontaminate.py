@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.columns import pick, text_or_empty, text_slices
 from tidemark.sources.tables import materialize
@@ -18,6 +20,8 @@ from tidemark.sources.tables import materialize
 BLOCK_WORDS = 200_000
 #: Longer items are cut into overlapping pieces that hold all their windows.
 PIECE_WORDS = 1000
+#: Ranges of hashes that blocks are filled from.
+RANGES = 65_536
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _TO_WORDS = bytes(
@@ -171,16 +175,35 @@ def _merge(spans: list[list[int]]) -> list[list[int]]:
     return merged
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[Column | None]:
-    """Filters that divide the items by hash so that each part is about one automaton's words."""
-    word = F.lit("[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
-    words = F.sum(F.regexp_count(F.lower(text_or_empty(text_col)), word))
-    total = benchmark.agg(words).first()[0] or 0
-    blocks = -(-total // BLOCK_WORDS)
-    if blocks < 2:
-        return [F.lit(True)]
-    part = F.pmod(F.xxhash64(item_col, text_col), F.lit(blocks))
-    return [part == block for block in range(blocks)]
+def _dealt(benchmark: DataFrame, window: int) -> tuple[DataFrame, int]:
+    """Pieces ``(item, text, block)`` of the items ``(item, text)``, and the number of blocks.
+
+    Equal rows count once and long items come in pieces, so that no row is large and the rows' hashes
+    are spread evenly; blocks are filled in the order of hashes, range after range, up to
+    ``BLOCK_WORDS`` and what the last range brings beyond.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            pieces = [p for item, text in rows for p in _pieces(item, text, window) if p[1]]
+            columns = [
+                pa.array([item for item, _ in pieces], pa.string()),
+                pa.array([b" ".join(words).decode("utf-8", "surrogatepass") for _, words in pieces], pa.string()),
+                pa.array([len(words) for _, words in pieces], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "text", "words"])
+
+    items = benchmark.select(F.col("item").cast("string"), text_or_empty("text").alias("text")).distinct()
+    pieces = items.mapInArrow(cut, "item string, text string, words long").distinct()
+    pieces = pieces.withColumn("range", F.pmod(F.xxhash64("item", "text"), F.lit(RANGES)))
+    pieces = materialize(pieces, "benchmark")
+    sums = pieces.groupBy("range").agg(F.sum("words").alias("words"))
+    before = F.sum("words").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    block = F.floor(F.coalesce(before, F.lit(0)) / BLOCK_WORDS).alias("block")
+    blocks = materialize(sums.select("range", block), "blocks")
+    last = blocks.agg(F.max("block")).first()[0]
+    return pieces.join(blocks, "range").select("item", "text", "block"), 0 if last is None else last + 1
 
 
 def find_contamination(
@@ -203,41 +226,47 @@ def find_contamination(
     words. Items with a null id are matched but not listed, items that share an id are listed
     once, items without words match nothing. An empty benchmark finds nothing.
 
-    The documents are read once and not shuffled. The benchmark is turned into automata of at
-    most about ``BLOCK_WORDS`` words; for more than one, the documents are scanned once for each.
+    The benchmark is turned into automata of about ``BLOCK_WORDS`` words. If one does, documents are
+    read once and not shuffled. For more they are stored once with a row number, scanned once for each
+    block, and only numbers and findings are brought together.
     """
-    items = pick(benchmark, item=item_col, text=item_text_col)
-    blocks = _blocks(items, "item", "text")
-    result = documents.withColumn(found_col, F.lit(None).cast(f"struct<{_struct(FOUND)}>"))
-    for number, block in enumerate(blocks):
-        rows = items.where(block).select(F.col("item").cast("string"), text_or_empty("text")).collect()
-        result = result.withColumn(found_col, _finder(rows, window)(text_col, found_col))
-        if number < len(blocks) - 1:
-            result = materialize(result, "matched")
-    return result
+    pieces, blocks = _dealt(pick(benchmark, item=item_col, text=item_text_col), window)
 
+    def finder(block: int) -> Callable[[Column], Column]:
+        rows = pieces.where(F.col("block") == block).select("item", "text").collect()
+        return _finder(rows, window)
 
-def _struct(ddl: str) -> str:
-    return ", ".join(part.replace(" ", ":", 1) for part in ddl.split(", "))
+    if blocks < 2:
+        return documents.withColumn(found_col, finder(0)(text_col))
+    stored = documents.drop(found_col).withColumn("__row", F.monotonically_increasing_id())
+    stored = materialize(stored, "documents")
+    parts = [stored.select("__row", finder(block)(F.col(text_col)).alias("f")) for block in range(blocks)]
+    found = reduce(DataFrame.union, parts).groupBy("__row")
+    found = found.agg(
+        F.max("f.n_words").alias("n_words"),
+        F.sort_array(F.flatten(F.collect_list("f.spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("f.items")))).alias("items"),
+        F.max("f.longest").alias("longest"),
+    )
+    merge = F.udf(_merge, "array<array<int>>")
+    spans = F.when(F.size("spans") > 1, merge("spans")).otherwise(F.col("spans")).alias("spans")
+    found = found.select("__row", F.struct("n_words", spans, "items", "longest").alias(found_col))
+    return stored.join(materialize(found, "found"), "__row").drop("__row")
 
 
 def _finder(rows, window: int):
-    pieces = [piece for item, text in rows for piece in _pieces(item, text, window)]
+    pieces = [(item, words_of(text)) for item, text in rows]
     held: list[SuffixAutomaton] = []
 
-    def find(texts: pa.Array, before: pa.Array) -> pa.Array:
+    def find(texts: pa.Array) -> pa.Array:
         if not held:
             held.append(SuffixAutomaton(pieces, window))
         out = []
-        for start, part in text_slices(texts):
-            for text, old in zip(part, before.slice(start, len(part)).to_pylist()):
+        for _, part in text_slices(texts):
+            for text in part:
                 words = words_of(text or "")
                 spans, ids, longest = held[0].matches(words)
                 ids.discard(None)
-                if old is not None:
-                    spans = _merge([*spans, *old["spans"]])
-                    ids.update(old["items"])
-                    longest = max(longest, old["longest"])
                 out.append(
                     {"n_words": len(words), "spans": spans, "items": sorted(ids), "longest": longest}
                 )
