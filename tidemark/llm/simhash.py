@@ -7,7 +7,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import pick, text_or_empty, text_slices
@@ -170,14 +170,17 @@ def one_per_group(
     """The documents that remain when one of each near-duplicate group stays, with all columns.
 
     The row with the group's smallest id stays (rows with null ids come last); among rows of that
-    id any one, the same at each run unless they have equal texts too.
+    id any one, the same at each run unless they have equal texts too. Rows are only brought together
+    where one is repeated, and then each task sends one of them.
     """
     docs = pick(documents, doc_id=id_col, text=text_col)
     grouped = _grouped(docs, shingle, max_distance)
-    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row_key")).alias("first")
-    kept = grouped.groupBy("root").agg(first).select(F.col("first.row_key").alias("__key"))
-    keyed = documents.withColumn("__key", _row_key(id_col, text_col))
-    rows = keyed.join(materialize(kept, "kept"), "__key", "left_semi")
-    alone = Window.partitionBy("__key", id_col, text_col).orderBy(F.lit(0))
-    rows = rows.withColumn("__copy", F.row_number().over(alone)).where("__copy = 1")
-    return rows.drop("__key", "__copy")
+    rows = grouped.groupBy("root", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row_key", "n")).alias("first")
+    kept = rows.groupBy("root").agg(first)
+    kept = kept.select(F.col("first.row_key").alias("__key"), (F.col("first.n") > 1).alias("__repeated"))
+    keyed = documents.withColumn("__key", _row_key(id_col, text_col)).join(materialize(kept, "kept"), "__key")
+    alone = keyed.where(~F.col("__repeated")).select(*documents.columns)
+    repeated = keyed.where("__repeated").groupBy("__key")
+    repeated = repeated.agg(F.any_value(F.struct(*documents.columns)).alias("__row")).select("__row.*")
+    return alone.unionByName(repeated)
