@@ -18,17 +18,25 @@ def plain_distance(a, b):
     return row[-1]
 
 
-def plain_removed(texts, radius=3, least=0.8):
-    """Line numbers to remove per document, by comparing all pairs of different lines."""
+def plain_removed(texts, radius=None, least=0.8, short=False):
+    """Line numbers to remove per document, by comparing all pairs of different lines.
+
+    Only with a ``radius`` does it matter how far their SimHashes are apart."""
     places = []
     for doc, text in texts:
         for number, line in enumerate((text or "").split("\n")):
             norm = re.sub(r"[\x00-/:-@\[-`{-\x7f]+", " ", line.lower()).strip()
             if len(norm.split(" ")) >= 5:
                 places.append((doc, number, norm))
-    different = list(dict.fromkeys(p[2] for p in places))
+            elif short and line.strip():
+                places.append((doc, number, norm or line.strip()))
+    different = list(dict.fromkeys(p[2] for p in places if len(p[2].split(" ")) >= 5))
+    different.sort(key=len)
     prints = lines.line_prints("\n".join(different).encode())[2].view(np.uint64)
-    root = {x: x for x in different}
+    sizes = np.array([len(x) for x in different])
+    letters = [np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) % 512, minlength=512) for x in different]
+    letters = np.array(letters).reshape(-1, 512)
+    root = {x: x for _, _, x in places}
 
     def find(x):
         while root[x] != x:
@@ -36,10 +44,14 @@ def plain_removed(texts, radius=3, least=0.8):
         return x
 
     for i, a in enumerate(different):
-        for j in np.flatnonzero(np.bitwise_count(prints[:i] ^ prints[i]) <= radius):
-            b = different[j]
-            if plain_distance(a, b) <= int((1 - least) * max(len(a), len(b)) + 1e-9):
-                root[find(a)] = find(b)
+        most = (1 - least) * sizes[i] + 1e-9
+        # an edit changes the counts of two letters at most, by one each
+        near = (sizes[:i] >= sizes[i] - most) & (np.abs(letters[:i] - letters[i]).sum(axis=1) <= 2 * most)
+        if radius is not None:
+            near &= np.bitwise_count(prints[:i] ^ prints[i]) <= radius
+        for j in np.flatnonzero(near):
+            if find(a) != find(different[j]) and lines.similar(a.split(" "), different[j].split(" "), least):
+                root[find(a)] = find(different[j])
     seen, gone = set(), {}
     for doc, number, norm in places:
         if find(norm) in seen:
@@ -52,7 +64,7 @@ def plain_removed(texts, radius=3, least=0.8):
 def test_equals_comparing_all_pairs(documents, texts, size):
     found = lines.with_removed(documents, lines.repeated_lines(documents, prints=size, lines=size))
     found = {r.doc_id: r["__removed"] for r in found.collect() if r["__removed"]}
-    assert found == plain_removed(texts)
+    assert found == plain_removed(texts, radius=3)
 
 
 def test_edit_distance():
