@@ -364,6 +364,10 @@ ORACLES = {
         CASE WHEN op <> 'd' THEN value END AS balance, op AS operation_type,
         event_id AS kafka_offset FROM a WHERE op <> 'x'
         UNION ALL SELECT 1, NULL, 'c', event_id FROM a WHERE event_id % 30 = 1""",
+    "foreign_events": """SELECT 'kept' AS outcome, count(*) AS events FROM orders
+        UNION ALL SELECT 'wrong_table', count(*) FROM events""",
+    "stream_by_name": """SELECT o_orderkey AS loan_id, o_custkey AS account_id,
+        CAST(o_orderdate AS DATE) AS start_date, o_orderstatus AS status FROM orders""",
     "cast_failures": """SELECT image, field, CAST(CASE WHEN image = 'after' AND field = 'balance'
           THEN (SELECT count_if(event_id % 30 = 1) FROM events) ELSE 0 END AS BIGINT) AS failed
         FROM unnest(['before', 'after']) AS i(image), unnest(['account_id', 'customer_id',
@@ -455,6 +459,7 @@ ORACLES = {
         CAST(NULL AS VARCHAR) AS email, c_acctbal AS score FROM customer""",
     "stream_change_log": f"WITH {A} SELECT {CHANGE} FROM a WHERE op <> 'x'",
     "stream_latest": f"WITH {LATEST} SELECT {CHANGE} FROM newest",
+    "stream_latest_state": f"WITH {LATEST} SELECT {CHANGE} FROM newest",
     "stream_scd2": f"WITH {HISTORY} SELECT * FROM h",
     "stream_silver": _column_totals(),
     "stream_quarantine": f"""WITH {A}, counted AS (

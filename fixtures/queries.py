@@ -28,9 +28,10 @@ from tidemark.sources.tables import (
     publish,
     read_bronze,
     read_bronze_stream,
+    read_dataset,
     union_evolving,
 )
-from tidemark.streaming import keyed, live
+from tidemark.streaming import keyed, live, states
 from tidemark.streaming import queries as streams
 from tidemark.streaming.fanout import SilverFanout
 
@@ -222,6 +223,17 @@ def accepted(spark, sf_dir):
     return kept.select("account_id", "balance", "operation_type", "kafka_offset")
 
 
+def foreign_events(spark, sf_dir):
+    """One topic with the events of two tables: a table's log takes those that name it as their source."""
+    both = records(spark, sf_dir, "accounts").unionByName(records(spark, sf_dir, "loans"))
+    mixed = bronze_ops.to_bronze(both.withColumn("topic", F.lit("a.b.loans")), route_by="topic")
+    kept, rejected = changelog.split_valid(mixed, "loans")
+    counted = kept.agg(F.lit("kept").alias("outcome"), F.count(F.lit(1)).alias("events"))
+    return counted.unionByName(
+        rejected.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("events"))
+    )
+
+
 def cast_failures(spark, sf_dir):
     parsed = changelog.parsed_events(faulty(spark, sf_dir), "accounts")
     return quality.cast_failures(parsed, table_schema("accounts"))
@@ -607,6 +619,16 @@ def stream_latest(spark, sf_dir):
     return plain(table.read(), *CHANGE_FIELDS)
 
 
+def stream_latest_state(spark, sf_dir):
+    """Newest events by a stateful operator; the last one passed on per key counts."""
+    lake = LakeConfig.under(scratch_dir(spark, "stream_state"))
+    newest = states.newest_events_stream(accounts_log_stream(spark, sf_dir), "account_id")
+    writer = newest.writeStream.format("parquet").option("checkpointLocation", lake.checkpoint_path)
+    path = f"{lake.silver_path}/accounts_newest"
+    finish(streams.with_trigger(writer, lake.trigger_interval, once=True).start(path))
+    return plain(latest.latest_per_key(spark.read.parquet(path), "account_id"), *CHANGE_FIELDS)
+
+
 def stream_scd2(spark, sf_dir):
     """Customers arriving in two waves, out of order, into an incremental history.
 
@@ -680,6 +702,18 @@ def stream_daily_transactions_append(spark, sf_dir):
     )
 
 
+def stream_by_name(spark, sf_dir):
+    """A published table followed as a stream by its name, into a second one."""
+    create_schema(spark, "silver")
+    root = scratch_dir(spark, "by_name")
+    publish(log(spark, sf_dir, "loans"), "silver.followed_loans", path=f"{root}/loans", quality="silver")
+    followed = read_dataset(spark, "silver.followed_loans", streaming=True)
+    dated = followed.select("loan_id", "account_id", "start_date", "status")
+    writer = dated.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint")
+    finish(streams.with_trigger(writer, "1 second", once=True).start(f"{root}/copy"))
+    return spark.read.schema(dated.schema).parquet(f"{root}/copy")
+
+
 def live_gold(spark, lake, table):
     """Gold tables over the stored change log of one table, after its stream has drained."""
     gold = live.LiveGold(spark, lake)
@@ -877,6 +911,7 @@ QUERIES = {
     "valid_operations": valid_operations,
     "quarantine": quarantined,
     "split_valid": accepted,
+    "foreign_events": foreign_events,
     "cast_failures": cast_failures,
     "quality_report": quality_report,
     "route_by_table": route_by_table,
@@ -925,7 +960,9 @@ QUERIES = {
     "grown_log": grown_log,
     "enforced_schema": enforced_schema,
     "stream_change_log": stream_change_log,
+    "stream_by_name": stream_by_name,
     "stream_latest": stream_latest,
+    "stream_latest_state": stream_latest_state,
     "stream_scd2": stream_scd2,
     "stream_daily_balances_append": stream_daily_balances_append,
     "stream_daily_balances_rebuilt": stream_daily_balances_rebuilt,

@@ -23,7 +23,7 @@ from tidemark.operators.latest import latest_per_key
 from tidemark.sources import files
 from tidemark.sources.cdc import KafkaUnavailable, read_cdc_batch, read_cdc_stream
 from tidemark.sources.tables import read_bronze, read_bronze_stream, read_dataset
-from tidemark.streaming import fanout, keyed, live, queries
+from tidemark.streaming import fanout, keyed, live, queries, states
 
 
 @pytest.fixture
@@ -379,6 +379,38 @@ def test_pieces_come_in_lots(spark, monkeypatch):
     assert [tuple(p) for lot in lots for p in lot] == sorted(rows)
 
 
+def account_change(op, hours, account, balance=1.0):
+    image = {"account_id": account, "balance": balance}
+    images = {"before": image} if op == "d" else {"after": image}
+    return event("accounts", op, hours * 3_600_000, **images)
+
+
+def test_state_lets_go_of_deleted_keys(spark, lake):
+    """After the retention the state of deleted keys is gone, that of the others stays."""
+    batches = [
+        [account_change("c", 1, k) for k in range(10)],
+        [account_change("d", 2, k) for k in range(8)] + [account_change("u", 0, 9, 5.0)],  # older: nothing
+        [account_change("u", 3, 0, 7.0)],  # back before its timer
+        [account_change("u", 60, 9)],
+        [account_change("u", 61, 9)],
+        [account_change("u", 62, 9)],
+    ]
+    inbox, rows = f"{lake.bronze_path}_inbox", []
+    for i, batch in enumerate(batches):
+        drop_off(records(spark, batch, start=i * 100), inbox, f"b{i}")
+        stream = spark.readStream.schema(RECORD).parquet(inbox + "/*")
+        log = change_log(to_bronze(stream, "topic"), "accounts")
+        newest = states.newest_events_stream(log, "account_id", retention_ms=3_600_000)
+        writer = newest.writeStream.format("parquet").option("checkpointLocation", lake.checkpoint_path)
+        query = queries.with_trigger(writer, "1 second", once=True).start(lake.silver_path)
+        query.awaitTermination(120)
+        rows.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+    assert max(rows) >= 10 and rows[-1] <= max(rows) - 7
+    found = latest_per_key(spark.read.parquet(lake.silver_path), "account_id")
+    seen = {r.account_id: (r.operation_type, r.balance) for r in found.collect()}
+    assert seen[0] == ("u", 7.0) and seen[1][0] == "d" and seen[9] == ("u", 1.0) and len(seen) == 10
+
+
 def test_a_new_checkpoint_on_an_old_log_is_refused(spark, lake):
     stream = account_files(spark, f"{lake.bronze_path}_inbox", [[change_at(5, 1.0)]])
     log = change_log(to_bronze(stream, "topic"), "accounts")
