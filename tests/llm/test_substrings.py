@@ -67,3 +67,40 @@ def test_awkward_rows(spark):
     assert by_id[4].n_removed == by_id[4].n_bytes and by_id[4].n_spans == 1
     assert by_id[1].n_bytes == 0 and by_id[1].kept_sha256 == hashlib.sha256(b"").hexdigest()
     assert substrings.removed(nothing(spark), 200).count() == 0
+
+
+def test_smaller_neighbours():
+    draw = np.random.default_rng(3)
+    for many in (0, 1, 2, 50):
+        for values in (draw.permutation(many), np.arange(many), np.arange(many)[::-1]):
+            before, after = substrings.smaller_neighbours(values)
+            for i in range(many):
+                assert before[i] == max((j for j in range(i) if values[j] < values[i]), default=-1)
+                assert after[i] == min((j for j in range(i + 1, many) if values[j] < values[i]), default=-1)
+
+
+@pytest.mark.parametrize("window", [8, 13, 40, 200])
+def test_longest_previous_factors_equal_brute_force(window):
+    draw = np.random.default_rng(window)
+    for letters in (1, 2, 4):
+        parts = [bytes(draw.integers(97, 97 + letters, draw.integers(window, 2 * window + 20), np.uint8)) for _ in range(3)]
+        parts.append(parts[0][3:] + parts[1][:window])
+        data = np.frombuffer(b"".join(parts) + b"\0" * 8, np.uint8)
+        ends = np.cumsum([len(p) for p in parts])
+        windows = np.concatenate([np.arange(e - len(p), e - window + 1) for p, e in zip(parts, ends)])
+        text = data.tobytes()
+        expected = []
+        for i, a in enumerate(windows):
+            best = 0
+            for b in windows[:i]:
+                n = 0
+                while n < window and text[a + n] == text[b + n]:
+                    n += 1
+                best = max(best, n)
+            expected.append(best)
+        found = substrings.longest_previous_factors(data, windows, window)
+        assert found.tolist() == expected
+        copy, source = substrings.repeated_windows(data, windows, window)
+        assert (copy == (found >= window)).all()
+        strings = [text[a : a + window] for a in windows]
+        assert (copy | source).tolist() == [strings.count(x) > 1 for x in strings]

@@ -129,29 +129,91 @@ def _runs(docs: DataFrame, window: int) -> DataFrame:
     return keyed.mapInArrow(scan, schema)
 
 
-def previous_factors(data: np.ndarray, windows: np.ndarray, window: int) -> tuple:
-    """For each window its earlier and its later nearest equal one, or -1.
+def smaller_neighbours(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each place of an array of different values the nearest place before it, and the nearest
+    after it, with a smaller value; -1 if there is none.
 
-    Positions are put in the order of their ``window`` bytes (ranks of 8 bytes, doubled), equal
-    ones by position. What precedes a window in this order is then its previous smaller position
-    with a common prefix of ``window`` bytes, and it has a longest previous factor of that length
-    just if there is one; what follows it has it as such.
-    """
+    All places point to their neighbour first. A pointer to a larger value moves on to where that one
+    points, as all in between is larger still, until none has to."""
+
+    def before(values: np.ndarray) -> np.ndarray:
+        to = np.arange(-1, len(values) - 1)
+        open_ = np.arange(len(values))
+        while open_.size:
+            at = to[open_]
+            open_ = open_[(at >= 0) & (values[at] > values[open_])]
+            to[open_] = to[to[open_]]
+        return to
+
+    after = len(values) - 1 - before(values[::-1])[::-1]
+    return before(values), np.where(after == len(values), -1, after)
+
+
+def suffix_ranks(data: np.ndarray, window: int) -> list[tuple[int, np.ndarray]]:
+    """Ranks of the positions by their first 8, 16, ... and ``window`` bytes, ``(size, ranks)``.
+
+    ``data`` ends with 8 spare bytes."""
     eights = np.lib.stride_tricks.as_strided(data[:8].view(">u8"), (len(data) - 7,), (1,))
-    rank = np.unique(eights.astype(np.uint64), return_inverse=True)[1].astype(np.int64)
-    size = 8
+    rank = np.unique(eights.astype(np.uint64), return_inverse=True)[1]
+    levels, size = [(8, rank.astype(np.int32))], 8
     while size < window:
         step = min(size, window - size)
-        pairs = rank[:-step] * (len(rank) + 1) + rank[step:]
-        rank = np.unique(pairs, return_inverse=True)[1].astype(np.int64)
+        pairs = rank[:-step].astype(np.int64) * (len(rank) + 1) + rank[step:]
+        rank = np.unique(pairs, return_inverse=True)[1]
         size += step
-    ranks = rank[windows]
-    order = np.lexsort((windows, ranks))
-    same = ranks[order][1:] == ranks[order][:-1]
-    before, after = np.full(len(windows), -1), np.full(len(windows), -1)
-    before[order[1:][same]] = order[:-1][same]
-    after[order[:-1][same]] = order[1:][same]
-    return before, after
+        levels.append((size, rank.astype(np.int32)))
+    return levels
+
+
+def _in_order(ranks: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows in suffix order, and for each in that order the places of its previous and next
+    smaller position."""
+    order = np.lexsort((windows, ranks[windows]))
+    return order, *smaller_neighbours(windows[order])
+
+
+def longest_previous_factors(data: np.ndarray, windows: np.ndarray, window: int) -> np.ndarray:
+    """Length of the longest string that starts at each of the positions and at an earlier one of
+    them, cut off at ``window``.
+
+    In suffix order the earlier position with the longest common prefix is the previous or the next
+    smaller position. Common prefixes are measured by the ranks of 8, 16, ... bytes, longest first,
+    and the rest byte by byte.
+    """
+    levels = suffix_ranks(data, window)
+    order, *sides = _in_order(levels[-1][1], windows)
+    at, factors = windows[order], np.zeros(len(windows), np.int64)
+    for side in sides:
+        some = np.flatnonzero(side >= 0)
+        here, there = at[some], at[side[some]]
+        length = np.zeros(len(some), np.int64)
+        for size, ranks in reversed(levels):
+            fits = np.flatnonzero(length + size <= window)
+            same = ranks[here[fits] + length[fits]] == ranks[there[fits] + length[fits]]
+            length[fits[same]] += size
+        going = np.flatnonzero(length < window)
+        while going.size:  # fewer than 8 bytes, or what is left below the window
+            going = going[data[here[going] + length[going]] == data[there[going] + length[going]]]
+            length[going] += 1
+            going = going[length[going] < window]
+        factors[order[some]] = np.maximum(factors[order[some]], length)
+    return factors
+
+
+def repeated_windows(data: np.ndarray, windows: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows have a longest previous factor of ``window`` bytes or more, and which are one.
+
+    The decision of ``longest_previous_factors`` without the shorter lengths: the previous or the next
+    smaller position has the same rank."""
+    ranks = suffix_ranks(data, window)[-1][1]
+    order, *sides = _in_order(ranks, windows)
+    own = ranks[windows[order]]
+    copy, source = np.zeros(len(windows), bool), np.zeros(len(windows), bool)
+    for side in sides:
+        same = np.flatnonzero((side >= 0) & (own[side] == own))
+        copy[order[same]] = True
+        source[order[side[same]]] = True
+    return copy, source
 
 
 def _covered(flags: np.ndarray) -> list[list[int]]:
@@ -188,8 +250,8 @@ def _in_suffix_order(groups: DataFrame, window: int, later_only: bool) -> DataFr
         numbers = lengths - window + 1
         ends = np.cumsum(numbers)
         windows = np.arange(ends[-1]) + np.repeat(starts - (ends - numbers), numbers)
-        before, after = previous_factors(data, windows, window)
-        hit = before >= 0 if later_only else (before >= 0) | (after >= 0)
+        copy, source = repeated_windows(data, windows, window)
+        hit = copy if later_only else copy | source
         spans = [_covered(hit[e - n : e]) for e, n in zip(ends, numbers)]
         keys = np.array(list(held), np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays(
@@ -294,7 +356,7 @@ def repeated_spans(
     by hash instead.
     """
     docs = pick(documents, doc_id=id_col, text=text_col)
-    runs = _runs(docs, window)
+    runs = materialize(_runs(docs, window), "runs")
     grams = runs.groupBy("gram").agg(
         F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high")
     )
