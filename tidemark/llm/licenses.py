@@ -126,6 +126,73 @@ SENTENCES = {
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ],
+    "lgpl-free": ["This library is free software;", "This library is free software:"],
+    "lgpl21-terms": [
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation;"
+    ],
+    "lgpl21-later": ["either version 2.1 of the License, or (at your option) any later version."],
+    "lgpl3-later": [
+        "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."
+    ],
+    "lgpl3-notice": [
+        "Licensed under the GNU Lesser General Public License, version 3.",
+        "Released under the GNU Lesser General Public License, version 3.",
+    ],
+    "agpl3-later": [
+        "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License "
+        "as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version."
+    ],
+    "agpl3-notice": [
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "Released under the GNU Affero General Public License, version 3.",
+    ],
+    "zlib-as-is": ["This software is provided 'as-is', without any express or implied warranty."],
+    "zlib-liability": [
+        "In no event will the authors be held liable for any damages arising from the use of this software."
+    ],
+    "zlib-grant": [
+        "Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following restrictions:"
+    ],
+    "boost-grant": [
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+        "software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, "
+        "display, distribute, execute, and transmit the Software, and to prepare derivative works of the "
+        "Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the "
+        "following:"
+    ],
+    "boost-notice": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Licensed under the Boost Software License, Version 1.0.",
+    ],
+    "cc0": [
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and "
+        "neighboring rights to this software to the public domain worldwide.",
+        "Licensed under CC0 1.0.",
+        "This work is licensed under CC0 1.0 Universal.",
+    ],
+    "epl2": [
+        "This program and the accompanying materials are made available under the terms of the Eclipse "
+        "Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "Licensed under the Eclipse Public License, version 2.0.",
+    ],
+    "0bsd-grant": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+        "fee is hereby granted."
+    ],
+    "cc-by-nd": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
+    "cc-by-nc-sa": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+        "International License.",
+    ],
     "all-rights": ["All rights reserved."],
 }
 
@@ -141,6 +208,10 @@ RULES = [
     ("GPL-2.0-or-later", ["gpl-free", "gpl2-terms", "gpl2-later"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl3-later", "gpl-hope", "gpl-details"]),
     ("GPL-3.0-or-later", ["gpl-free", "gpl3-later"]),
+    ("LGPL-2.1-or-later", ["lgpl-free", "lgpl21-terms", "lgpl21-later"]),
+    ("LGPL-3.0-or-later", ["lgpl-free", "lgpl3-later"]),
+    ("AGPL-3.0-or-later", ["gpl-free", "agpl3-later"]),
+    ("Zlib", ["zlib-as-is", "zlib-liability", "zlib-grant"]),
     ("MIT", ["mit-notice"]),
     ("MIT", ["mit-title"]),
     ("BSD", ["bsd-notice"]),
@@ -153,6 +224,15 @@ RULES = [
     ("CC-BY-NC-4.0", ["cc-by-nc"]),
     ("CC-BY-SA-4.0", ["cc-by-sa"]),
     ("CC-BY-4.0", ["cc-by"]),
+    ("LGPL-3.0-only", ["lgpl3-notice"]),
+    ("AGPL-3.0-only", ["agpl3-notice"]),
+    ("BSL-1.0", ["boost-grant"]),
+    ("BSL-1.0", ["boost-notice"]),
+    ("CC0-1.0", ["cc0"]),
+    ("EPL-2.0", ["epl2"]),
+    ("0BSD", ["0bsd-grant"]),
+    ("CC-BY-ND-4.0", ["cc-by-nd"]),
+    ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa"]),
     ("all-rights-reserved", ["all-rights"]),
 ]
 
