@@ -237,3 +237,15 @@ def test_epochs_in_microseconds(spark):
     df = spark.createDataFrame([("1700000000000000",), ("5000",), ("2023-11-14T22:13:20Z",)], "v STRING")
     typed = df.select(F.unix_micros(cast_text(F.col("v"), T.TimestampType(), epoch="micros")))
     assert [r[0] for r in typed.collect()] == [1700000000000000, 5000, 1700000000000000]
+
+
+def test_events_without_room_in_the_order_are_quarantined(spark):
+    from tidemark.operators.changelog import change_log, quarantine
+
+    good = bronze(spark, [event("accounts", "c", 5, after={"account_id": 1})], start=7)
+    bad = good.withColumn("kafka_offset", F.lit(10**18)).unionByName(
+        good.withColumn("kafka_partition", F.lit(10**6))
+    )
+    mixed = good.unionByName(bad).unionByName(good.withColumn("kafka_offset", F.lit(None).cast("bigint")))
+    assert change_log(mixed, "accounts").count() == 2
+    assert rows_of(quarantine(mixed, "accounts"), "reason") == [("bad_position",)] * 2

@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 from datetime import datetime
 
 import pytest
@@ -197,9 +198,17 @@ def test_append_mode_drops_events_past_the_watermark_and_batch_has_them(spark, l
     stream = account_files(spark, f"{lake.bronze_path}_inbox", batches)
     log = change_log(to_bronze(stream, "topic"), "accounts")
     facts = queries.daily_balances_stream(log, "10 minutes")
+    late = queries.LateRows()
+    spark.streams.addListener(late)
     query = queries.run_closed_days(facts, "daily", "account_date", lake, once=True)
     query.awaitTermination(120)
     assert queries.rows_dropped_late(query) == 1
+    for _ in range(100):  # progress reaches listeners a little later
+        if late.counts.get(query.id):
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.counts[query.id] == 1
     closed = spark.read.parquet(f"{lake.gold_path}/daily")
     assert rows_of(closed, "end_of_day_balance", "daily_updates_count") == [(2.0, 2), (6.0, 2)]
     static = spark.read.schema(RECORD).parquet(f"{lake.bronze_path}_inbox/*")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.envelope import parse_envelope
 from tidemark.functions.images import cast_text, flatten_images
+from tidemark.functions.order import position_out_of_range
 from tidemark.operators.bronze import route
 from tidemark.operators.quality import VALID_OPERATION, any_cast_failed, holds
 from tidemark.schemas import key_of, table_schema, text_image
@@ -31,6 +32,7 @@ REJECTIONS = (
     "invalid_operation",
     "missing_key",
     "bad_time",
+    "bad_position",
 )
 
 
@@ -67,6 +69,7 @@ def rejection(table: str, schema: T.StructType) -> Column:
         .when(~holds(VALID_OPERATION["valid_operation"]), "invalid_operation")
         .when(cast_text(key_text, key.dataType).isNull(), "missing_key")
         .when(F.col("event_time").isNull(), "bad_time")
+        .when(F.coalesce(position_out_of_range(), F.lit(False)), "bad_position")
     )
 
 
@@ -106,7 +109,8 @@ def quarantine(bronze: DataFrame, table: str, schema: T.StructType | None = None
     """Events kept out of the change log, and those let in with a value that did not fit its type.
 
     ``reason`` is ``malformed``, ``wrong_table``, ``invalid_operation``, ``missing_key``,
-    ``bad_time`` or ``cast_failure``. Tombstones are not faults and do not appear.
+    ``bad_time``, ``bad_position`` (a partition or offset beyond what the event order has room for)
+    or ``cast_failure``. Tombstones are not faults and do not appear.
     """
     schema = schema or table_schema(table)
     parsed = parsed_events(bronze, table, schema)

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from tidemark.config import ROCKSDB_PROVIDER, LakeConfig
 from tidemark.functions.money import exact_sum
@@ -63,9 +63,10 @@ def run_change_log(
 
 
 def rows_dropped_late(query: StreamingQuery) -> int:
-    """Rows that came after the watermark had passed their day, as the query's recent progress has
-    it. Spark counts them after its partial aggregation. If there are any, the closed days
-    are incomplete; ``rebuild_closed_days`` makes them whole."""
+    """Rows that came after the watermark had passed their day, as the query's recent progress (its
+    last 100 micro-batches) has it; ``LateRows`` counts them for good. Spark counts after its
+    partial aggregation. If there are any, the closed days are incomplete; ``rebuild_closed_days``
+    makes them whole."""
     return sum(
         operator.get("numRowsDroppedByWatermark", 0)
         for progress in query.recentProgress
@@ -73,6 +74,30 @@ def rows_dropped_late(query: StreamingQuery) -> int:
     )
 
 
+class LateRows(StreamingQueryListener):
+    """Counts every query's rows behind the watermark from when it is added to ``spark.streams`` on.
+
+    ``counts`` goes by query id, which a query keeps over restarts; it starts from zero with the driver.
+    """
+
+    def __init__(self):
+        self.counts: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        query = str(event.progress.id)
+        self.counts[query] = self.counts.get(query, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def rebuild_closed_days(facts: DataFrame, name: str, day: str, config: LakeConfig) -> str:
     """Write facts computed from the whole stored log to a new place and return it.
 
