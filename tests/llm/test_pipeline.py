@@ -100,6 +100,6 @@ def test_run_gives_the_same(spark, sf_dir, after):
 
 def test_registered():
     names = registry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and "pipeline" not in registry.oracle_sql()
