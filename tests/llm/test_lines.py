@@ -117,7 +117,7 @@ def test_prints_are_majorities_of_the_different_words_bits():
     many = [f"w{i}" for i in range(600)]
     text = [" ".join(words), "", "  ", "alpha " * 700 + "be " * 300, words[2], " ".join(many), "alpha be"]
     n, hashes, prints, sizes = lines.line_prints("\n".join(text).encode())
-    assert list(n) == [4, 0, 0, 1000, 1, 600, 2] and sizes[0] == len(text[0].encode())
+    assert list(n) == [4, 0, 0, 1000, 1, 600, 2] and sizes[0] == len(text[0])
 
     def majority(some):
         own = [int(lines.line_prints(w.encode())[2].view(np.uint64)[0]) for w in some]
@@ -127,3 +127,27 @@ def test_prints_are_majorities_of_the_different_words_bits():
     assert prints.view(np.uint64).tolist() == expected
     assert len({*hashes.tolist()}) == 6
     assert lines.line_prints(b"one two")[1][0] != lines.line_prints(b"two one")[1][0]
+
+
+def test_bounds_never_exclude_a_similar_pair():
+    """Lengths and pairs of bytes allow whatever the edit distance allows."""
+    chance = random.Random(11)
+    for letters in ("ab ", "abcdefg hij", "añé\u4e16\U0001f600 b"):
+        texts = []
+        for _ in range(60):
+            base = [chance.choice(letters) for _ in range(chance.randint(5, 40))]
+            for _ in range(4):
+                other = list(base)
+                for _ in range(chance.randint(0, 8)):
+                    at = chance.randrange(len(other))
+                    other[at : at + 1] = [chance.choice(letters) for _ in range(chance.randint(0, 2))]
+                    other = other or ["a"]
+                texts.append(" ".join("".join(other).split()) or "a")
+        profiles = lines.pair_profiles([t.encode() for t in texts]).astype(int)
+        sizes = np.array([len(t) for t in texts])
+        for i in range(len(texts)):
+            for j in range(i):
+                if lines.similar(texts[i].split(" "), texts[j].split(" "), 0.8):
+                    factor = 4 if (texts[i] + texts[j]).isascii() else 10
+                    assert np.abs(profiles[i] - profiles[j]).sum() <= factor * (0.2 * max(sizes[i], sizes[j]) + 1)
+                    assert lines._lengths_fit(sizes, i, j, 0.8)

@@ -26,6 +26,8 @@ PRINTS, LINES, CHARS = 2048, 32_768, 16_000_000
 SKETCH, BAND, AGREEING = 64, 4, 22
 #: Bytes whose 5-grams are hashed at once. Plan only.
 SKETCHED = 200_000
+#: Counters of pairs of bytes that bound an edit distance, a power of two.
+PROFILE = 512
 _SEEDS = np.random.default_rng(5).integers(1, 2**31, SKETCH).astype(np.uint32) * np.uint32(2) + np.uint32(1)
 
 _TO_WORDS = bytes(b if b >= 128 or b == 10 or bytes([b]).isalnum() else 32 for b in range(256))
@@ -84,8 +86,8 @@ def _majorities(words: np.ndarray, lines: np.ndarray) -> np.ndarray:
 
 
 def line_prints(text: bytes) -> tuple[np.ndarray, ...]:
-    """Number of words, hash, SimHash and length of each line of a text that has nothing but words,
-    blanks and line ends (``words_only``); further blanks do not count.
+    """Number of words, hash, SimHash and length in characters of each line of a text that has nothing
+    but words, blanks and line ends (``words_only``); further blanks do not count.
 
     The SimHash is over a line's different words, each counting once: by number, the few most
     frequent words of a language would make all its long lines alike.
@@ -108,7 +110,8 @@ def line_prints(text: bytes) -> tuple[np.ndarray, ...]:
         place = (np.arange(len(starts)) - np.repeat(firsts, n[some])).astype(np.uint64)
         placed = _mixed(words + place * np.uint64(0x9E3779B97F4A7C15))
         hashes[some] = np.add.reduceat(placed, firsts)
-        sizes[some] = np.add.reduceat(lengths, firsts) + n[some] - 1
+        characters = np.concatenate([[0], np.cumsum((body & 0xC0) != 0x80)])
+        sizes[some] = np.add.reduceat(characters[ends] - characters[starts], firsts) + n[some] - 1
         prints[some] = _majorities(words, np.repeat(np.arange(len(some)), n[some]))
     return n, hashes.view(np.int64), prints, sizes
 
@@ -280,42 +283,121 @@ def _sketches(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, SKETCH)
 
 
-def _near_sketches(sketches: DataFrame, size: int) -> DataFrame:
-    """Links ``(a, b)`` between lines that share a band of their sketches and agree in ``AGREEING``
-    bytes, enough to connect all that are connected so. ``sketches`` is ``(line, sketch)``."""
-    bands = [
-        F.xxhash64(F.lit(i), F.substring("sketch", i * BAND + 1, BAND)) for i in range(SKETCH // BAND)
-    ]
-    placed = sketches.select("line", F.explode(F.array(*bands)).alias("key"))
+def _lengths_fit(sizes: np.ndarray, at, others, least: float) -> np.ndarray:
+    """Whether the lengths of lines allow an edit similarity of ``least``."""
+    low, high = np.minimum(sizes[at], sizes[others]), np.maximum(sizes[at], sizes[others])
+    return high - low <= (1 - least) * high + 1e-9
+
+
+def _met_first(marks: np.ndarray, at: int, others: np.ndarray, band: int) -> np.ndarray:
+    """Whether a band is the first in which a sketch agrees with each of the others."""
+    bands = marks.view(np.uint32)
+    return (bands[others] == bands[at]).argmax(axis=1) == band
+
+
+def _near_sketches(sketches: DataFrame, size: int, least: float) -> DataFrame:
+    """Lines that are to be compared, ``(block, root, band, line)``.
+
+    ``sketches`` is ``(line, sketch, size)``. Lines meet in a block for each band in which they agree,
+    and are compared in the first of them, if they agree in ``AGREEING`` bytes and their lengths allow
+    it. Those that are connected so within a block share a ``root``."""
+    bands = F.array(
+        *[
+            F.struct(F.lit(i).alias("band"), F.xxhash64(F.lit(i), F.substring("sketch", i * BAND + 1, BAND)).alias("key"))
+            for i in range(SKETCH // BAND)
+        ]
+    )
+    placed = sketches.select("line", F.inline(bands))
     shared = placed.groupBy("key").agg(F.count("*").alias("n"))
     shared = materialize(shared.where("n > 1"), "shared")
-    members = materialize(placed.join(shared, "key"), "members")
     # sketches only go to lines that meet another
-    members = materialize(members.join(sketches, "line"), "sketched")
+    members = materialize(placed.join(shared, "key"), "members").join(sketches, "line")
     parts = F.ceil(F.col("n") * 2 / size)
-    groups = in_parts(members.withColumn("parts", parts), "line").groupBy("key", "part")
+    groups = in_parts(members.withColumn("parts", parts), "line").groupBy("key", "part", "band")
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [], []
-            for row in range(batch.num_rows):
-                members = batch.column(0).slice(row, 1).flatten()
-                ids = members.field("line").to_pylist()
-                for a, b in spanning_links(_sketches(members.field("sketch")), SKETCH - AGREEING):
-                    left.append(ids[a])
-                    right.append(ids[b])
+            lists = batch.column(2)
+            members = lists.flatten()
+            ids = members.field("line").to_numpy(zero_copy_only=False)
+            sizes = members.field("size").to_numpy(zero_copy_only=False)
+            marks = _sketches(members.field("sketch"))
+            bands = batch.column(1).to_numpy(zero_copy_only=False)
+            counts = lists.value_lengths().to_numpy(zero_copy_only=False)
+            starts = np.cumsum(counts) - counts
+            # groups of two at once
+            twos = np.flatnonzero(counts == 2)
+            one = starts[twos]
+            near = (marks[one] == marks[one + 1]).sum(axis=1) >= AGREEING
+            near &= _lengths_fit(sizes, one, one + 1, least)
+            words = marks.view(np.uint32)
+            near &= (words[one] == words[one + 1]).argmax(axis=1) == bands[twos]
+            rows, roots = [twos[near], twos[near]], [ids[one[near]]] * 2
+            found = [ids[one[near]], ids[one[near] + 1]]
+            for row in np.flatnonzero(counts > 2).tolist():
+                start, n = int(starts[row]), int(counts[row])
+                own, own_sizes, band = marks[start : start + n], sizes[start : start + n], bands[row]
+
+                def fits(at: int, others: np.ndarray) -> np.ndarray:
+                    return _lengths_fit(own_sizes, at, others, least) & _met_first(own, at, others, band)
+
+                root: dict[int, int] = {}
+                for a, b in spanning_links(own, SKETCH - AGREEING, fits):
+                    root[b] = root.setdefault(a, a)
+                if root:
+                    nodes = np.array(list(root)) + start
+                    rows.append(np.full(len(nodes), row))
+                    roots.append(ids[np.array(list(root.values())) + start])
+                    found.append(ids[nodes])
+            rows = np.concatenate(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"]
+                [
+                    batch.column(0).take(pa.array(rows)),
+                    pa.array(np.concatenate(roots), pa.int64()),
+                    pa.array(bands[rows], pa.int32()),
+                    pa.array(np.concatenate(found), pa.int64()),
+                ],
+                ["block", "root", "band", "line"],
             )
 
-    groups = groups.agg(F.collect_list(F.struct("line", "sketch")).alias("members"))
-    return groups.select("members").mapInArrow(walk, "a long, b long")
+    groups = groups.agg(F.collect_list(F.struct("line", "sketch", "size")).alias("members"))
+    blocks = groups.select(F.xxhash64("key", "part").alias("block"), "band", "members")
+    return blocks.mapInArrow(walk, "block long, root long, band int, line long")
+
+
+def _similar_in_blocks(docs: DataFrame, compared: DataFrame, size: int, least: float) -> DataFrame:
+    """Links ``(a, b)`` of similar lines among ``compared``, ``(line, fp, size, first)`` with a sketch
+    as ``fp``, enough to connect all similar pairs that share a band and agree in ``AGREEING`` bytes.
+
+    Every pair is compared in one block only and every link is verified there, so no group of lines
+    beyond a block is ever brought together."""
+    sketches = compared.select("line", F.col("fp").alias("sketch"), "size")
+    meet = materialize(_near_sketches(sketches, size, least), "meeting")
+    wanted = compared.join(meet.select("line").distinct(), "line")
+    places = materialize(wanted.select("line", "fp", "first.doc", "first.line_no"), "places")
+    texts = materialize(_fetched(docs, places).select("line", "fp", "raw"), "compared")
+    groups = meet.join(texts, "line").groupBy("block", "root")
+    members = F.collect_list(F.struct("line", "fp", "raw")).alias("members")
+    return _verified(groups.agg(members, F.first("band").alias("band")), 0, least, banded=True)
+
+
+def pair_profiles(texts: list[bytes]) -> np.ndarray:
+    """How often each pair of neighbouring bytes, by hash, is in each text; counts end at 65,535."""
+    profiles = np.zeros((len(texts), PROFILE), np.uint16)
+    for i, text in enumerate(texts):
+        data = np.frombuffer(text, np.uint8).astype(np.uint32)
+        pairs = ((data[:-1] * 257 + data[1:]) * np.uint32(0x9E3779B1)) >> np.uint32(32 - PROFILE.bit_length() + 1)
+        profiles[i] = np.minimum(np.bincount(pairs, minlength=PROFILE), 65_535)
+    return profiles
 
 
-def _verified(groups: DataFrame, radius: int, least: float) -> DataFrame:
+def _verified(groups: DataFrame, radius: int, least: float, banded: bool = False) -> DataFrame:
     """Spanning links ``(a, b)`` between the ids of similar lines in every row's ``members``.
 
-    Where members have sketches these decide which lines are compared, else SimHashes do."""
+    Where members have sketches these decide which lines are compared (if ``banded``, in the first
+    ``band`` they agree in), else SimHashes do. Before the
+    edit distance is measured, lengths and pairs of bytes must allow it: an edit changes one
+    character, so eight bytes of two texts and ten of their pairs at most."""
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -323,7 +405,13 @@ def _verified(groups: DataFrame, radius: int, least: float) -> DataFrame:
             for row in range(batch.num_rows):
                 members = batch.column(0).slice(row, 1).flatten()
                 ids = members.field("line").to_pylist()
-                texts = [normalised(t) for t in members.field("raw").to_pylist()]
+                raw = [words_only(t) for t in members.field("raw").to_pylist()]
+                words = [t.split() for t in raw]
+                texts = [[w.decode("utf-8", "surrogatepass") for w in ws] for ws in words]
+                joined = [b" ".join(ws) for ws in words]
+                plain = np.array([t.isascii() for t in joined])
+                sizes = np.array([sum(map(len, ws)) + len(ws) - 1 for ws in texts])
+                profiles = pair_profiles(joined)
                 prints, most = members.field("fp"), radius
                 if pa.types.is_binary(prints.type):
                     prints, most = _sketches(prints), SKETCH - AGREEING
@@ -331,7 +419,16 @@ def _verified(groups: DataFrame, radius: int, least: float) -> DataFrame:
                     prints = prints.to_numpy(zero_copy_only=False).view(np.uint64)
 
                 def confirm(at: int, others: np.ndarray) -> np.ndarray:
-                    return np.array([similar(texts[at], texts[i], least) for i in others])
+                    edits = (1 - least) * np.maximum(sizes[at], sizes[others])
+                    # pairs gone and pairs new: two each for an edit between single bytes
+                    bound = np.where(plain[at] & plain[others], 4, 10) * (edits + 1)
+                    apart = np.abs(profiles[others].astype(np.int32) - profiles[at]).sum(axis=1)
+                    out = (apart <= bound) & _lengths_fit(sizes, at, others, least)
+                    if banded:
+                        out &= _met_first(prints, at, others, batch.column(1)[row].as_py())
+                    for i in np.flatnonzero(out):
+                        out[i] = similar(texts[at], texts[others[i]], least)
+                    return out
 
                 for a, b in spanning_links(prints, most, confirm):
                     left.append(ids[a])
@@ -340,7 +437,30 @@ def _verified(groups: DataFrame, radius: int, least: float) -> DataFrame:
                 [pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"]
             )
 
-    return groups.select("members").mapInArrow(walk, "a long, b long")
+    columns = ["members", "band"] if banded else ["members"]
+    return groups.select(*columns).mapInArrow(walk, "a long, b long")
+
+
+def _similar_by_print(
+    docs: DataFrame, compared: DataFrame, radius: int, least: float, prints: int, lines: int
+) -> DataFrame:
+    """Links ``(a, b)`` of similar lines with SimHashes ``fp`` at most ``radius`` bits apart."""
+    by_print = materialize(compared.groupBy("fp").agg(F.count("*").alias("lines")), "prints")
+    near = connected_components(_near_prints(by_print.select("fp"), radius, prints))
+    # lines that have a neighbour by SimHash, by connected group
+    shared = by_print.where("lines > 1").select("fp", F.col("fp").alias("group"))
+    grouped = near.select(F.col("node").alias("fp"), F.col("component").alias("group"))
+    grouped = grouped.union(shared).groupBy("fp").agg(F.min("group").alias("group"))
+    wanted = compared.select("line", "fp", "size", "first").join(materialize(grouped, "grouped"), "fp")
+    wanted = materialize(wanted, "wanted")
+    parts = F.ceil(2 * F.greatest(F.count("*") / lines, F.sum("size") / CHARS))
+    sizes = wanted.groupBy("group").agg(F.count("*").alias("n"), parts.alias("parts"))
+    sizes = materialize(sizes.where("n > 1").select("group", "parts"), "sizes")
+    places = wanted.select("line", "fp", "group", "first.doc", "first.line_no").join(sizes, "group")
+    members = _fetched(docs, materialize(places, "places"))
+    groups = in_parts(members, "line").groupBy("group", "part")
+    members = groups.agg(F.collect_list(F.struct("line", "fp", "raw")).alias("members"))
+    return _verified(members, radius, least)
 
 
 def repeated_lines(
@@ -372,10 +492,10 @@ def repeated_lines(
     MinHash of their 5-grams and in a third of it, so that the edit similarity alone decides for
     nearly all pairs, and ``radius`` is not used.
 
-    The first scan yields hashes only. Lines whose SimHash has a neighbour are then fetched, and
-    meet in groups of lines connected by SimHash alone, each line once. Groups of more than
-    ``lines`` lines or ``CHARS`` characters (or ``prints`` fingerprints) are compared part by part
-    in different tasks.
+    The first scan yields hashes only. Lines that have a neighbour by SimHash or sketch are then fetched.
+    By sketch, they are verified within the blocks of lines that share a band; by SimHash, in groups
+    connected by SimHash alone, each line once. Groups of more than ``lines`` lines or ``CHARS``
+    characters (or ``prints`` fingerprints or sketches) are compared part by part in different tasks.
     """
     docs = pick(documents, doc_id=id_col, text=text_col)
     found = materialize(_found(docs, min_words, sketched, short), "occurrences")
@@ -390,31 +510,14 @@ def repeated_lines(
     distinct = materialize(distinct, "lines")
     compared = distinct.where(F.col("fp").isNotNull())
     if sketched:
-        near = connected_components(_near_sketches(compared.select("line", F.col("fp").alias("sketch")), prints))
-        grouped = near.select(F.col("node").alias("line"), F.col("component").alias("group"))
-        by = "line"
+        verified = _similar_in_blocks(docs, compared, prints, similarity)
     else:
-        by_print = materialize(compared.groupBy("fp").agg(F.count("*").alias("lines")), "prints")
-        near = connected_components(_near_prints(by_print.select("fp"), radius, prints))
-        # lines that have a neighbour by SimHash, by connected group
-        shared = by_print.where("lines > 1").select("fp", F.col("fp").alias("group"))
-        grouped = near.select(F.col("node").alias("fp"), F.col("component").alias("group"))
-        grouped = grouped.union(shared).groupBy("fp").agg(F.min("group").alias("group"))
-        by = "fp"
-    wanted = compared.select("line", "fp", "size", "first", "n").join(materialize(grouped, "grouped"), by)
-    wanted = materialize(wanted, "wanted")
-    parts = F.ceil(2 * F.greatest(F.count("*") / lines, F.sum("size") / CHARS))
-    sizes = wanted.groupBy("group").agg(F.count("*").alias("n"), parts.alias("parts"))
-    sizes = materialize(sizes.where("n > 1").select("group", "parts"), "sizes")
-    places = wanted.select("line", "fp", "group", "first.doc", "first.line_no").join(sizes, "group")
-    members = _fetched(docs, materialize(places, "places"))
-    groups = in_parts(members, "line").groupBy("group", "part")
-    members = groups.agg(F.collect_list(F.struct("line", "fp", "raw")).alias("members"))
-    classes = connected_components(_verified(members, radius, similarity))
+        verified = _similar_by_print(docs, compared, radius, similarity, prints, lines)
+    classes = materialize(connected_components(verified), "classes")
     classes = classes.select(F.col("node").alias("line"), F.col("component").alias("class"))
 
     # the occurrence that stays, for every line that is not alone
-    similar_lines = wanted.join(classes, "line").select("line", "first", "class")
+    similar_lines = compared.join(classes, "line").select("line", "first", "class")
     repeated = distinct.where("n > 1").join(classes, "line", "left_anti")
     linked = similar_lines.union(repeated.select("line", "first", F.col("line").alias("class")))
     linked = materialize(linked, "linked")
