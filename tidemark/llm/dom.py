@@ -46,6 +46,7 @@ HIDDEN, CONTROLS = 1 << len(HINTS), frozenset("input button select textarea".spl
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _SIMPLE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>")
+_LIKE_A_TAG = re.compile("</?[a-zA-Z]")
 _NAMES = re.compile(r"""(?<![\w-])(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _CONCEALED = re.compile(r"""(?<![\w-])hidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
@@ -112,9 +113,10 @@ class Forest:
                 at = start = len(html) if stop < 0 else stop + (3 if comment else 1)
                 continue
             tag = tag_at.match(html, at)
-            if tag is None and tag_at is _TAG and (after == "/" or after.isalpha()):
-                if html.find(">", at) >= 0:  # a quote that never ends: from here on quotes mean nothing
-                    tag_at = _SIMPLE_TAG
+            if tag is None and _LIKE_A_TAG.match(html, at):
+                if html.find(">", at) < 0:  # no tag can end any more
+                    break
+                tag_at = _SIMPLE_TAG  # a quote that never ends: from here on quotes mean nothing
                 tag = _SIMPLE_TAG.match(html, at)
             if tag is None:
                 at += 1
