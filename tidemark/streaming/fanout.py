@@ -85,11 +85,15 @@ class SilverFanout:
             rows = staged.filter(F.col("destination") == table)
             return _rejected(rows.filter(any_cast_failed(table_schema(table))), F.lit("cast_failure"))
 
+        def write_quarantine() -> None:
+            faults = staged.filter((F.col("destination") == REJECTED) & (F.col("reason") != "tombstone"))
+            faults = reduce(DataFrame.unionByName, map(misfits, accepted), _rejected(faults, F.col("reason")))
+            self._write_once(faults, self.quarantine_path, batch_id)
+
         with ThreadPoolExecutor(WRITERS) as pool:
-            list(pool.map(write_log, accepted))
-        faults = staged.filter((F.col("destination") == REJECTED) & (F.col("reason") != "tombstone"))
-        faults = reduce(DataFrame.unionByName, map(misfits, accepted), _rejected(faults, F.col("reason")))
-        self._write_once(faults, self.quarantine_path, batch_id)
+            work = [pool.submit(write_quarantine), *[pool.submit(write_log, table) for table in accepted]]
+            for done in work:
+                done.result()
 
     def _write_once(self, rows: DataFrame, path: str, batch_id: int, expected: int | None = None) -> None:
         """The batch's folder of a table, unless it holds the ``expected`` rows from an earlier try."""
