@@ -226,3 +226,49 @@ def test_places_follow_the_steps_of_each_column(spark):
     steps = [r._place for r in placed]
     assert steps == sorted(steps) and steps[0] == 0 and steps[-1] == 255
     assert max(steps.count(s) for s in set(steps)) <= 8
+
+
+def moved(spark, build):
+    """Rows that all shuffles of a result's plan wrote, by the plan's own counters."""
+    result = build()
+    result.write.format("noop").mode("overwrite").save()
+    plan = result._jdf.queryExecution().executedPlan()
+    result.collect()
+    total, waiting = 0, [plan]
+    while waiting:
+        node = waiting.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            waiting.append(node.executedPlan())
+            continue
+        if name.endswith("QueryStage"):
+            waiting.append(node.plan())
+            continue
+        if name == "Exchange":
+            written = node.metrics().get("shuffleRecordsWritten")
+            total += written.get().value() if written.isDefined() else 0
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+@pytest.mark.parametrize("max_versions", [32, 0])
+def test_history_join_moves_versions_not_overlaps(spark, max_versions):
+    """20 accounts of one customer, whose 1,000 versions each meet all of them: 20,000 overlaps and more."""
+    left = [(k, 0, v, 50 * v + k, 50 * v + k + 50) for k in range(20) for v in range(20)]
+    right = [(0, i, i, i + 1) for i in range(1000)]
+    accounts = spark.createDataFrame(left, "account INT, ref INT, v INT, __START_AT INT, __END_AT INT")
+    customers = spark.createDataFrame(right, "customer INT, w INT, __START_AT INT, __END_AT INT")
+
+    def build():
+        return joins.history_join(
+            accounts, customers, ["account"], {"ref": "customer"}, ["w"], max_versions=max_versions
+        )
+
+    expected = sum(s < f and t < e for _, _, _, s, e in left for _, _, t, f in right)
+    assert build().count() == expected > 19_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert moved(spark, build) < expected / 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
