@@ -7,7 +7,7 @@ import time
 from datetime import datetime
 
 import pytest
-from helpers import RECORD, event, records, rows_of, same
+from helpers import RECORD, bronze, event, records, rows_of, same
 from pyspark.sql import functions as F
 
 from fixtures import cdc
@@ -551,3 +551,17 @@ def test_whole_lake_as_streams_equals_batch(spark, lake, sf_dir):
     transactions = latest_per_key(log("atm_transactions"), "transaction_id")
     assert same(gold.daily_transactions, daily_transactions(transactions))
     assert same(gold.daily_account_balances, daily_account_balances(log("accounts")))
+
+
+def test_fanout_stages_a_batch_without_sorting_its_texts(spark, tmp_path):
+    """A table partitioned by destination would have every text of the batch sorted by it."""
+    events = [event("accounts", "c", 1000 + i, after={"account_id": i}) for i in range(5)]
+    loans = [event("loans", "c", 2000 + i, after={"loan_id": i}) for i in range(3)]
+    batch = bronze(spark, [*events, "{bad"]).unionByName(bronze(spark, loans, "loans"))
+    fan = fanout.SilverFanout(spark, LakeConfig.under(str(tmp_path)))
+    fan.apply(batch, 0)
+    fan.apply(batch, 0)
+    assert not list((tmp_path / "silver/staging").glob("destination=*"))
+    assert spark.read.parquet(fan.log_path("accounts")).count() == 5
+    assert spark.read.parquet(fan.log_path("loans")).count() == 3
+    assert [r.reason for r in fan.quarantine().collect()] == ["malformed"]

@@ -1,6 +1,6 @@
 """All silver change logs from one stream: each micro-batch of the raw log is read and parsed once.
 
-A stream has one sink, so the batch goes to a staging table by destination, and from there to the logs
+A stream has one sink, so the batch goes to a staging table with its destinations, and from there to the logs
 of the tables it holds and to the quarantine, each a folder per batch. Folders are replaced whole, and a
 folder that already has all rows of its batch is left alone, so a retried batch adds nothing twice.
 """
@@ -22,7 +22,7 @@ from tidemark.functions.envelope import parse_envelope
 from tidemark.operators.changelog import rejection, typed_log
 from tidemark.operators.quality import any_cast_failed
 from tidemark.schemas import TABLES, table_schema
-from tidemark.sources.tables import read_bronze_stream, spread_for_write
+from tidemark.sources.tables import CODEC, read_bronze_stream, spread_for_write
 from tidemark.streaming.queries import with_trigger
 
 # Destination of events that enter no log.
@@ -34,6 +34,8 @@ QUARANTINE_SCHEMA = (
 )
 # Logs of one batch that are written at the same time. Plan only.
 WRITERS = 4
+# Rows from which a batch's part of a log is written in the pieces in which it is read. Plan only.
+MANY_ROWS = 1_000_000
 
 
 def route_events(raw: DataFrame, tables: Sequence[str] = TABLES) -> DataFrame:
@@ -71,7 +73,9 @@ class SilverFanout:
         """Take in one micro-batch of the raw log; taking it in again changes nothing."""
         staging = f"{self.lake.silver_path}/staging"
         routed = route_events(batch, self.tables)
-        routed.write.mode("overwrite").partitionBy("destination").parquet(staging)
+        # Not partitioned, for which all texts would be sorted: a file of the raw log holds one table's
+        # events, so most staged row groups have one destination and the others' readers skip them.
+        routed.write.mode("overwrite").option("compression", CODEC).parquet(staging)
         staged = self.spark.read.schema(routed.schema).parquet(staging)
         # one row per table at most
         present = {r.destination: r["count"] for r in staged.groupBy("destination").count().collect()}
@@ -100,7 +104,9 @@ class SilverFanout:
         folder = f"{path}/batch_id={batch_id}"
         if expected is not None and self._stored(folder) == expected:
             return
-        spread_for_write(rows).write.mode("overwrite").parquet(folder)
+        many = expected is not None and expected >= MANY_ROWS
+        rows = rows if many else spread_for_write(rows)
+        rows.write.mode("overwrite").option("compression", CODEC).parquet(folder)
 
     def _stored(self, folder: str) -> int | None:
         try:
