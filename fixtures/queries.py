@@ -105,13 +105,16 @@ def records(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def made(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return bronze_ops.to_bronze(records(spark, sf_dir, name), route_by="topic")
+
+
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The raw log of one table, stored the first time a session asks for it: queries are about what
     they do with a log, not about making one."""
     place = (spark.sparkContext.applicationId, sf_dir, name)
     if place not in _STORED:
-        made = bronze_ops.to_bronze(records(spark, sf_dir, name), route_by="topic")
-        _STORED[place] = materialize(made, f"raw_{name}")
+        _STORED[place] = materialize(made(spark, sf_dir, name), f"raw_{name}")
     return _STORED[place]
 
 
@@ -300,12 +303,29 @@ def field_changes(spark, sf_dir):
 
 
 def raw_of_all_tables(spark, sf_dir, path):
-    """The raw log of all thirteen tables, stored."""
-    everything = union_evolving(*[raw(spark, sf_dir, name) for name in MAKERS])
-    append(everything, path, bronze_ops.PARTITIONS)
+    """The raw log of all thirteen tables, stored.
+
+    Each table's part goes where it stays as it is made: one partition, dealt evenly, so nothing is
+    shuffled, sorted or written a second time. What the session has stored already is copied."""
+    for name in MAKERS:
+        place = (spark.sparkContext.applicationId, sf_dir, name)
+        rows = in_partitions(_STORED[place]) if place in _STORED else [made(spark, sf_dir, name)]
+        for part in rows:
+            append(part, path, bronze_ops.PARTITIONS, spread=False)
+        _STORED.setdefault(place, bronze_ops.route(read_bronze(spark, path), name))
     return read_bronze(spark, path)
 
 
+def in_partitions(rows):
+    """The parts of a stored raw log by partition, with the partition's values as constants: a writer
+    then need not sort them."""
+    found = rows.select(*bronze_ops.PARTITIONS).distinct().collect()  # a table and a day each
+    for part in found:
+        same = [F.col(c).eqNullSafe(F.lit(part[c])) for c in bronze_ops.PARTITIONS]
+        constant = {c: F.lit(part[c]).cast(rows.schema[c].dataType) for c in bronze_ops.PARTITIONS}
+        yield rows.filter(same[0] & same[1]).withColumns(constant)
+
+
 def silver(spark, sf_dir):
     """All thirteen silver tables from one stored raw log: changes, keys and live keys of each.
 
@@ -317,13 +337,14 @@ def silver(spark, sf_dir):
         key = key_of(table_schema(name))
         keys = table.log.groupBy(key).agg(
             F.count(F.lit(1)).alias("changes"),
-            F.max_by("operation_type", event_order_key()).alias("last"),
+            # a boolean, unlike a text, is aggregated by hash
+            F.max_by(F.col("operation_type") == "d", event_order_key()).alias("deleted"),
         )
         line = keys.agg(
             F.lit(name).alias("table_name"),
             F.coalesce(F.sum("changes"), F.lit(0)).alias("changes"),
             F.count(F.lit(1)).alias("keys"),
-            F.count_if(F.col("last") != "d").alias("live_keys"),
+            F.count_if(~F.col("deleted")).alias("live_keys"),
         )
         counts = line if counts is None else counts.unionByName(line)
     return counts
@@ -367,7 +388,9 @@ def stream_silver(spark, sf_dir):
     fan = SilverFanout(spark, lake)
     totals = None
     for wave in range(2):
-        append(events.filter(F.pmod("kafka_offset", F.lit(2)) == wave), lake.bronze_path, bronze_ops.PARTITIONS)
+        for part in in_partitions(events):
+            arriving = part.filter(F.pmod("kafka_offset", F.lit(2)) == wave)
+            append(arriving, lake.bronze_path, bronze_ops.PARTITIONS, spread=False)
         finish(fan.run(once=True))
     for name in MAKERS:
         line = column_totals(spark.read.parquet(fan.log_path(name)), name)

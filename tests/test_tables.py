@@ -6,7 +6,7 @@ import pytest
 from helpers import rows_of, same
 from pyspark.sql import functions as F
 
-from fixtures import cdc
+from fixtures import cdc, queries
 from tidemark.config import ROCKSDB_PROVIDER, LakeConfig, scratch_dir, session_builder
 from tidemark.operators.bronze import to_bronze
 from tidemark.operators.changelog import change_log
@@ -139,3 +139,32 @@ def test_lazy_layers_agree_with_check_values(spark, raw_log):
     assert daily.agg(F.sum("daily_updates_count")).first()[0] == 790
     assert gold["gold_customer_dimension"].count() == 93
     assert change_log(raw_log, "accounts").count() == 989
+
+
+def test_raw_logs_of_all_tables_are_stored_once(spark, tmp_path, monkeypatch):
+    """Made straight into the shared log: no second copy, and one write moves no text."""
+    regions = spark.createDataFrame([(i, f"R{i}") for i in range(8)], "r_regionkey BIGINT, r_name STRING")
+    regions.write.parquet(f"{tmp_path}/region.parquet")
+    suppliers = spark.createDataFrame(
+        [(i, f"S{i}", i % 3) for i in range(1, 41)], "s_suppkey BIGINT, s_name STRING, s_nationkey INT"
+    )
+    suppliers.write.parquet(f"{tmp_path}/supplier.parquet")
+    monkeypatch.setattr(queries, "MAKERS", {n: queries.MAKERS[n] for n in ("services", "branches")})
+    monkeypatch.setattr(queries, "_STORED", {})
+    everything = queries.raw_of_all_tables(spark, str(tmp_path), f"{tmp_path}/all")
+    assert {r.table_name: r["count"] for r in everything.groupBy("table_name").count().collect()} == {
+        "services": 8, "branches": 44
+    }
+    for name in queries.MAKERS:
+        stored = queries.raw(spark, str(tmp_path), name)
+        assert all(f"{tmp_path}/all/table_name=" in f for f in stored.inputFiles())
+        made = queries.made(spark, str(tmp_path), name)
+        assert rows_of(stored, "raw_cdc_json", "kafka_offset") == rows_of(made, "raw_cdc_json", "kafka_offset")
+    # what is stored already is copied by partition
+    again = queries.raw_of_all_tables(spark, str(tmp_path), f"{tmp_path}/again")
+    assert rows_of(again) == rows_of(everything)
+    parts = list(queries.in_partitions(everything))
+    assert len(parts) == 2 and sum(p.count() for p in parts) == 52
+    for part in parts:
+        plan = part._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan
