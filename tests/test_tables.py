@@ -168,3 +168,18 @@ def test_raw_logs_of_all_tables_are_stored_once(spark, tmp_path, monkeypatch):
     for part in parts:
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Sort" not in plan
+
+
+def test_a_table_dealt_evenly_is_read_as_it_lies(spark, tmp_path):
+    """Rows move only where some core would have far more of them than others."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(4000).withColumnRenamed("id", "n")
+    rows.repartition(4 * cores).write.parquet(f"{tmp_path}/even.parquet")
+    rows.coalesce(1).write.parquet(f"{tmp_path}/one.parquet")
+    rows.repartition(4 * cores, F.greatest("n", F.lit(3900))).write.parquet(f"{tmp_path}/heavy.parquet")
+    spark.range(0).write.parquet(f"{tmp_path}/empty.parquet")
+    for name, moved in (("even", False), ("one", True), ("heavy", True), ("empty", True)):
+        table = cdc.table(spark, str(tmp_path), name)
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert ("Exchange" in plan) == moved, name
+        assert table.count() == (0 if name == "empty" else 4000)
