@@ -317,6 +317,20 @@ def test_a_transaction_that_is_deleted_leaves_nothing(spark, lake):
         assert days == [[1], [2], []][wave]
 
 
+def test_keyed_streams_do_not_count_their_state(spark, lake):
+    """Counting would look every key up again; other streams of the session keep their settings."""
+    inbox, setting = f"{lake.bronze_path}_inbox", f"{queries.ROCKSDB}.trackTotalNumberOfRows"
+    table = keyed.transactions_table(spark, f"{lake.gold_path}/t", buckets=1)
+    drop_off(records(spark, [transaction("c", h, 5.0, h) for h in range(9)], "a.b.atm_transactions"), inbox, "w")
+    log = change_log(to_bronze(spark.readStream.schema(RECORD).parquet(inbox + "/*"), "topic"), "atm_transactions")
+    query = table.run(keyed.transaction_places(log), "t", lake, once=True)
+    query.awaitTermination(120)
+    state = query.recentProgress[0]["stateOperators"][0]
+    assert state["numRowsUpdated"] == 9 and state["numRowsTotal"] == 0
+    assert spark.conf.get(setting, "unset") == "unset"
+    assert table.read().agg(F.sum("number_of_transactions")).first()[0] == 9
+
+
 def log_folders(table):
     return files.find(table.spark, f"{table.log_path}/bucket=*/period=*/batch_id=*")
 
