@@ -151,3 +151,17 @@ def test_bounds_never_exclude_a_similar_pair():
                     factor = 4 if (texts[i] + texts[j]).isascii() else 10
                     assert np.abs(profiles[i] - profiles[j]).sum() <= factor * (0.2 * max(sizes[i], sizes[j]) + 1)
                     assert lines._lengths_fit(sizes, i, j, 0.8)
+
+
+def test_lines_that_meet_by_all_bands_meet_once(spark):
+    """Sketches are not sent again for a band that brings the same lines together, nor to lines whose
+    lengths leave them alone there."""
+    sketch, other = bytes(range(64)), bytes(range(32)) + bytes(range(100, 132))
+    rows = [(1, sketch, 50), (2, sketch, 55), (3, sketch, 500), (4, other, 56), (5, other, 70), (6, bytes(64), 50)]
+    # 4 and 5 share the first eight bands with 1 and 2, and the others with each other alone
+    found = lines._members(spark.createDataFrame(rows, "line BIGINT, sketch BINARY, size INT"), 0.8)
+    met = {}
+    for row in found.collect():
+        met.setdefault(row.key, (row.key >> lines.BAND_BITS, row.n, []))[2].append(row.line)
+    met = sorted((band, n, sorted(group)) for band, n, group in met.values())
+    assert met == [(0, 4, [1, 2, 4, 5]), (8, 2, [1, 2]), (8, 2, [4, 5])]

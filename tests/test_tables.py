@@ -1,6 +1,7 @@
 """Stored tables, views, configuration and a full refresh."""
 
 import glob
+import time
 
 import pytest
 from helpers import rows_of, same
@@ -13,6 +14,7 @@ from tidemark.operators.changelog import change_log
 from tidemark.plans.layers import gold_tables, refresh, silver_tables
 from tidemark.plans.views import GOLD_VIEWS
 from tidemark.sources.tables import (
+    SHUFFLES_GO,
     append,
     compact_partitions,
     materialize,
@@ -183,3 +185,20 @@ def test_a_table_dealt_evenly_is_read_as_it_lies(spark, tmp_path):
         plan = table._jdf.queryExecution().executedPlan().toString()
         assert ("Exchange" in plan) == moved, name
         assert table.count() == (0 if name == "empty" else 4000)
+
+
+def test_shuffle_files_of_stored_steps_go(spark):
+    """Large steps need not pile up on the executors' disks."""
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        return sum(f.getName().startswith("shuffle_") for f in (local.getAllFiles().apply(i) for i in range(local.getAllFiles().size())))
+
+    before = held()
+    counts = materialize(spark.range(20_000).groupBy((F.col("id") % 5000).alias("k")).count(), "counts")
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.2)
+    assert held() <= before and counts.count() == 5000
+    assert spark.conf.get(SHUFFLES_GO) == "false"
