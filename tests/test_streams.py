@@ -579,3 +579,23 @@ def test_fanout_stages_a_batch_without_sorting_its_texts(spark, tmp_path):
     assert spark.read.parquet(fan.log_path("accounts")).count() == 5
     assert spark.read.parquet(fan.log_path("loans")).count() == 3
     assert [r.reason for r in fan.quarantine().collect()] == ["malformed"]
+
+
+def test_the_shared_stream_parses_events_as_their_table_does(spark, tmp_path):
+    """Texts are staged as they came and read as the batch log reads them; a log without faults is not
+    read again for the quarantine."""
+    loans = [event("loans", "c", 2000 + i, after={"loan_id": i}) for i in range(3)]
+    twice = '{"after":{"account_id":1,"account_id":2},"source":{"table":"accounts"},"op":"c","ts_ms":1704067200000}'
+    misfit = event("accounts", "c", 3000, after={"account_id": 5, "balance": "abc"})
+    batch = bronze(spark, [twice, misfit]).unionByName(bronze(spark, loans, "loans"))
+    fan = fanout.SilverFanout(spark, LakeConfig.under(str(tmp_path)))
+    read_again = []
+    whole = fanout.quarantine
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(fanout, "quarantine", lambda rows, table: read_again.append(table) or whole(rows, table))
+        fan.apply(batch, 0)
+    assert read_again == ["accounts"]
+    assert spark.read.parquet(str(tmp_path / "silver/staging")).columns == batch.columns
+    stored = spark.read.parquet(fan.log_path("accounts"))
+    assert rows_of(stored, "account_id") == [(2,), (5,)] == rows_of(change_log(batch, "accounts"), "account_id")
+    assert rows_of(fan.quarantine(), "table_name", "reason") == [("accounts", "cast_failure")]

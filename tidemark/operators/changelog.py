@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,11 +99,13 @@ def change_log(
     return typed_log(parsed.filter(rejection(table, schema).isNull()), table, schema)
 
 
-def typed_log(parsed: DataFrame, table: str, schema: T.StructType | None = None) -> DataFrame:
-    """The change log's rows of parsed events that are known to be valid."""
+def typed_log(
+    parsed: DataFrame, table: str, schema: T.StructType | None = None, extra: Sequence[Column] = ()
+) -> DataFrame:
+    """The change log's rows of parsed events that are known to be valid; ``extra`` columns are taken along."""
     schema = schema or table_schema(table)
     key = key_of(schema)
-    typed = typed_images(parsed, schema)
+    typed = parsed.select(*flatten_images(schema), *METADATA, *extra)
     return typed.withColumn(key, F.coalesce(F.col(key), F.col(f"before_{key}")))
 
 
